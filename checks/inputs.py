@@ -6,6 +6,7 @@ Every derived text uses the whole text of its document.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lawloom.functions.arrays import exploded
 from lawloom.sources.readers import spread_small
 
 FIELD_HEADERS = ["서비스 내용", "규제특례", "부가 조건", "관련규제", "기대 효과", "개선 결과", "기타"]
@@ -196,7 +197,7 @@ def financial_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def case_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, pos, title, tag, html, is_visible): a heading, then three case blocks, and so on."""
     doc, i, l = F.col("doc_id"), F.col("pos"), _escaped(F.col("l"))
-    lines = documents(spark, sf_dir).select("doc_id", F.posexplode("a").alias("pos", "l"))
+    lines = exploded(documents(spark, sf_dir), ["doc_id"], "a", "pos", "l")
     tag = F.when(i % 4 == 0, "h4").otherwise("div")
     allowed = F.when(i % 8 == 3, "").otherwise(" 허용")
     html = (
@@ -261,4 +262,4 @@ def bulleted_law_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, i, l): one row per sentence."""
-    return documents(spark, sf_dir).select("doc_id", F.posexplode("a").alias("i", "l"))
+    return exploded(documents(spark, sf_dir), ["doc_id"], "a", "i", "l")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from lawloom import constants as C
+from lawloom.functions.arrays import exploded
 from lawloom.functions import clauses, markup, text as X
 from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, order, segment, tables
 
@@ -114,7 +115,7 @@ def noise_lines(spark, sf):
 
 def law_lines(spark, sf):
     kept = segment.law_lines(F.col("text"), F.col("law_name"))
-    return I.law_texts(spark, sf).select("doc_id", F.posexplode(kept).alias("line_no", "line"))
+    return exploded(I.law_texts(spark, sf), ["doc_id"], kept, "line_no", "line")
 
 
 def law_segment(spark, sf):
@@ -140,8 +141,7 @@ def law_outcomes(spark, sf):
 
 def clause_split(spark, sf):
     return (
-        I.clause_texts(spark, sf)
-        .select("doc_id", F.posexplode(clauses.clause_array(F.col("text"))).alias("pos", "c"))
+        exploded(I.clause_texts(spark, sf), ["doc_id"], clauses.clause_array(F.col("text")), "pos", "c")
         .select("doc_id", "pos", F.col("c.mark").alias("mark"), F.col("c.text").alias("text"))
     )
 
@@ -166,7 +166,7 @@ def law_supplement_rows(spark, sf):
 
 
 def html_blocks(spark, sf):
-    tokens = I.table(spark, sf, "pages").select("page_id", F.posexplode(markup.tag_tokens(F.col("html"))).alias("pos", "t"))
+    tokens = exploded(I.table(spark, sf, "pages"), ["page_id"], markup.tag_tokens(F.col("html")), "pos", "t")
     return tokens.select("page_id", "pos", "t.*")
 
 
@@ -176,13 +176,11 @@ def html_text(spark, sf):
 
 def html_links(spark, sf):
     links = F.transform(markup.pieces(F.col("html"), "li"), lambda li: tables.row_link(li, token="/"))
-    return I.table(spark, sf, "pages").select("page_id", F.posexplode(F.array_distinct(links)).alias("pos", "url"))
+    return exploded(I.table(spark, sf, "pages"), ["page_id"], F.array_distinct(links), "pos", "url")
 
 
 def detail_links(spark, sf):
-    return I.financial_list_pages(spark, sf).select(
-        "doc_id", F.posexplode(tables.page_links(markup.prepare(F.col("html")))).alias("pos", "url")
-    )
+    return exploded(I.financial_list_pages(spark, sf), ["doc_id"], tables.page_links(markup.prepare(F.col("html"))), "pos", "url")
 
 
 def html_list_rows(spark, sf):
@@ -201,8 +199,7 @@ def kv_last_wins(spark, sf):
 def kv_table(spark, sf):
     table = tables.section_table(markup.prepare(F.col("html")))
     return (
-        I.financial_pages(spark, sf)
-        .select("doc_id", F.posexplode(tables.label_rows(table)).alias("pos", "p"))
+        exploded(I.financial_pages(spark, sf), ["doc_id"], tables.label_rows(table), "pos", "p")
         .select("doc_id", "pos", "p.*")
     )
 
@@ -214,16 +211,14 @@ def _root():
 
 def kv_pairs(spark, sf):
     return (
-        I.detail_pages(spark, sf)
-        .select("doc_id", F.posexplode(fields.label_pairs(_root())).alias("pos", "p"))
+        exploded(I.detail_pages(spark, sf), ["doc_id"], fields.label_pairs(_root()), "pos", "p")
         .select("doc_id", "pos", "p.*")
     )
 
 
 def strong_sections(spark, sf):
     return (
-        I.detail_pages(spark, sf)
-        .select("doc_id", F.posexplode(fields.strong_sections(_root(), F.col("서비스명"))).alias("pos", "s"))
+        exploded(I.detail_pages(spark, sf), ["doc_id"], fields.strong_sections(_root(), F.col("서비스명")), "pos", "s")
         .select("doc_id", "pos", "s.*")
     )
 

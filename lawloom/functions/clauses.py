@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
+from lawloom.functions.arrays import bind
 from lawloom.functions.text import blank_to_null, collapse, strip
 
 
@@ -17,20 +18,24 @@ def split_clause_start(line: Column) -> tuple[Column, Column]:
 
 def clause_array(text: Column, keep_lead: bool = False) -> Column:
     """array<struct<mark,text>>; text before the first mark is dropped unless `keep_lead`."""
-    t = collapse(text)
-    whole = F.array(F.struct(F.lit(None).cast("string").alias("mark"), t.alias("text")))
     pattern = f"([{C.CLAUSE_MARKS}])([^{C.CLAUSE_MARKS}]*)"
-    pairs = F.zip_with(
-        F.regexp_extract_all(t, F.lit(pattern), F.lit(1)),
-        F.regexp_extract_all(t, F.lit(pattern), F.lit(2)),
-        lambda m, x: F.struct(m.alias("mark"), F.trim(x).alias("text")),
-    )
-    if keep_lead:
-        lead = F.trim(F.regexp_extract(t, f"^([^{C.CLAUSE_MARKS}]*)", 1))
-        pairs = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("mark"), lead.alias("text"))), pairs)
-    found = F.filter(pairs, lambda p: p.text != "")
-    unsplit = F.contains(t, F.lit(C.OMITTED)) | ~t.rlike(f"[{C.CLAUSE_MARKS}]")
-    return F.when(unsplit | (F.size(found) == 0), whole).otherwise(found)
+    no_mark = F.lit(None).cast("string").alias("mark")
+
+    def split(t):
+        pairs = F.zip_with(
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(1)),
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(2)),
+            lambda m, x: F.struct(m.alias("mark"), F.trim(x).alias("text")),
+        )
+        if keep_lead:
+            lead = F.trim(F.regexp_extract(t, f"^([^{C.CLAUSE_MARKS}]*)", 1))
+            pairs = F.concat(F.array(F.struct(no_mark, lead.alias("text"))), pairs)
+        whole = F.array(F.struct(no_mark, t.alias("text")))
+        unsplit = F.contains(t, F.lit(C.OMITTED)) | ~t.rlike(f"[{C.CLAUSE_MARKS}]")
+        found = bind(F.filter(pairs, lambda p: p.text != ""), lambda f: F.when(F.size(f) > 0, f).otherwise(whole))
+        return F.when(unsplit, whole).otherwise(found)
+
+    return bind(collapse(text), split)
 
 
 def clause_label(mark: Column) -> Column:

@@ -7,7 +7,7 @@ are missing in malformed pages therefore never swallow what follows.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lawloom.functions.arrays import running_sum
+from lawloom.functions.arrays import bind, running_sum
 from lawloom.functions.text import collapse, strip, unescape
 
 NOT_CONTENT = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>"
@@ -111,9 +111,13 @@ def cells(row: Column) -> Column:
     )
 
 
-def cells_of(row: Column, tag: str) -> Column:
+def raw_of(row_cells: Column, tag: str) -> Column:
     """Raw insides of the cells of one kind."""
-    return F.transform(F.filter(cells(row), lambda c: c.tag == tag), lambda c: c.raw)
+    return F.transform(F.filter(row_cells, lambda c: c.tag == tag), lambda c: c.raw)
+
+
+def cells_of(row: Column, tag: str) -> Column:
+    return raw_of(cells(row), tag)
 
 
 def outer_cells(fragment: Column) -> Column:
@@ -122,24 +126,28 @@ def outer_cells(fragment: Column) -> Column:
     Depth counts table tags only; a cell ends at its end tag or at the next cell or row of
     the same table.
     """
+
+    def marked(p, depth):
+        edges = r"(?i)</t(?:d|r|h|body|head|foot)\s*>|<(?:tr|th|tbody)\b[^>]*>"
+        own = F.regexp_replace(F.regexp_replace(p, edges, MARK_B + "$0"), r"(?i)<td\b[^>]*>", MARK_A)
+        closed = (depth <= 0) & p.rlike(r"(?i)^</table\b")
+        return F.when(depth == 1, own).when(closed, F.concat(F.lit(MARK_B), p)).otherwise(p)
+
     parts = F.split(fragment, r"(?i)(?=</?table\b)")
-    steps = F.transform(
-        parts,
-        lambda p: F.when(p.rlike(r"(?i)^<table\b"), F.lit(1)).when(p.rlike(r"(?i)^</table\b"), F.lit(-1)).otherwise(F.lit(0)),
-    )
-    marked = F.zip_with(
+    joined = bind(parts, lambda ps: F.array_join(F.zip_with(ps, running_sum(steps(ps, "table")), marked), ""))
+    return F.transform(runs_after(joined, MARK_A), lambda r: F.substring_index(r, MARK_B, 1))
+
+
+def steps(parts: Column, names: str) -> Column:
+    """+1 for a part that begins with an opening tag of `names`, -1 for a closing one, else 0."""
+    return F.transform(
         parts,
-        running_sum(steps),
-        lambda p, depth: F.when(
-            depth == 1,
-            F.regexp_replace(
-                F.regexp_replace(p, r"(?i)</t(?:d|r|h|body|head|foot)\s*>|<(?:tr|th|tbody)\b[^>]*>", MARK_B + "$0"),
-                r"(?i)<td\b[^>]*>",
-                MARK_A,
-            ),
-        )
-        .when((depth <= 0) & p.rlike(r"(?i)^</table\b"), F.concat(F.lit(MARK_B), p))
-        .otherwise(p),
+        lambda p: F.when(p.rlike(rf"(?i)^<(?:{names})\b"), F.lit(1))
+        .when(p.rlike(rf"(?i)^</(?:{names})\b"), F.lit(-1))
+        .otherwise(F.lit(0)),
     )
-    runs = F.split(F.array_join(marked, ""), MARK_A)
-    return F.transform(F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(0))), lambda r: F.substring_index(r, MARK_B, 1))
+
+
+def runs_after(tagged: Column, mark: str) -> Column:
+    """What follows each mark; text before the first one is left out."""
+    return bind(F.split(tagged, mark), lambda r: F.slice(r, F.lit(2), F.size(r)))

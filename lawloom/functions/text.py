@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
+from lawloom.functions.arrays import bind
 
 
 def strip(c: Column) -> Column:
@@ -70,10 +71,7 @@ def list_detail_url(item_id: Column, base: str = C.LIST_BASE, path: str = C.LIST
 
 def iso_date(c: Column) -> Column:
     """Eight digits to yyyy-MM-dd; anything else unchanged."""
-    s = strip(F.coalesce(c, F.lit("")))
-    return F.when(
-        s.rlike(r"^\p{Nd}{8}\z"), F.regexp_replace(s, r"^(.{4})(.{2})(.{2})\z", "$1-$2-$3")
-    ).otherwise(s)
+    return F.regexp_replace(strip(F.coalesce(c, F.lit(""))), r"^(\p{Nd}{4})(\p{Nd}{2})(\p{Nd}{2})\z", "$1-$2-$3")
 
 
 def letters_spaced(c: Column) -> Column:
@@ -145,8 +143,7 @@ def round_title(c: Column) -> Column:
 
 
 def trial_title(c: Column) -> Column:
-    full = collapse(c)
-    return F.coalesce(blank_to_null(F.regexp_replace(full, C.TRIAL_PREFIX, "")), full)
+    return bind(collapse(c), lambda full: F.coalesce(blank_to_null(F.regexp_replace(full, C.TRIAL_PREFIX, "")), full))
 
 
 def drop_prefix(c: Column, pattern: str) -> Column:
@@ -159,11 +156,15 @@ def strip_separators(c: Column) -> Column:
 
 def remove_once(c: Column, part: Column) -> Column:
     """Delete the first occurrence of `part`."""
-    at = F.position(part, c)
-    return F.when(
-        (at > 0) & (part != ""),
-        F.concat(F.substr(c, F.lit(1), at - 1), F.substr(c, at + F.length(part))),
-    ).otherwise(c)
+
+    def cut(z):
+        at = F.position(z.part, z.text)
+        return F.when(
+            (z.part != "") & (at > 0),
+            F.concat(F.substr(z.text, F.lit(1), at - 1), F.substr(z.text, at + F.length(z.part))),
+        ).otherwise(z.text)
+
+    return bind(F.struct(c.alias("text"), part.alias("part")), cut)
 
 
 def unescape(c: Column) -> Column:
@@ -174,13 +175,15 @@ def unescape(c: Column) -> Column:
 
 
 def null_word_to_blank(c: Column) -> Column:
-    v = strip(F.coalesce(c, F.lit("")))
-    return F.when(v.isin(C.NULL_WORDS) | v.rlike(C.NULL_WORD_PATTERN), F.lit("")).otherwise(v)
+    return bind(
+        strip(F.coalesce(c, F.lit(""))),
+        lambda v: F.when(v.isin(C.NULL_WORDS) | v.rlike(C.NULL_WORD_PATTERN), F.lit("")).otherwise(v),
+    )
 
 
 def is_noise(c: Column) -> Column:
-    t = collapse(c)
-    return (t == "") | t.rlike("|".join(C.NOISE_TOKENS))
+    t = F.coalesce(c, F.lit(""))
+    return ~t.rlike(C.NOT_WS) | t.rlike("|".join(C.NOISE_TOKENS))
 
 
 def signature(texts: Column, n: int = 5) -> Column:

@@ -1,14 +1,13 @@
 """Six case fields of a detail page, each with the rule that filled it."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import last_of, running_sum
+from lawloom.functions.arrays import bind, last_of, running_sum
 from lawloom.functions.markup import (
-    MARK_A, FIELD, block, cells, cells_of, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare,
+    FIELD, MARK_A, after_open, block, cells, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare, raw_of,
+    runs_after, steps,
 )
 from lawloom.functions.text import blank_to_null, collapse, compare_key, is_noise, letters_spaced, remove_once, strip_separators
 
@@ -22,20 +21,15 @@ def _longest(texts: Column) -> Column:
 
 def _form_parts(page: Column) -> Column:
     """array<struct<html,section,in_section>>: every form with the section it stands in."""
-    parts = F.split(page, r"(?i)(?=</?(?:section|form)\b)")
 
-    def step(opening, closing):
-        return F.transform(
-            parts, lambda p: F.when(p.rlike(opening), F.lit(1)).when(p.rlike(closing), F.lit(-1)).otherwise(F.lit(0))
+    def placed(parts):
+        opened = F.transform(parts, lambda p: p.rlike(r"(?i)^<section\b").cast("int"))
+        zipped = F.arrays_zip(
+            parts.alias("html"), running_sum(steps(parts, "section")).alias("depth"), running_sum(opened).alias("section")
         )
+        return F.filter(zipped, lambda z: z.html.rlike(r"(?i)^<form\b"))
 
-    sections = r"(?i)^<section\b"
-    zipped = F.arrays_zip(
-        parts.alias("html"),
-        running_sum(step(sections, r"(?i)^</section\b")).alias("depth"),
-        running_sum(F.transform(parts, lambda p: F.when(p.rlike(sections), F.lit(1)).otherwise(F.lit(0)))).alias("section"),
-    )
-    return F.filter(zipped, lambda z: z.html.rlike(r"(?i)^<form\b"))
+    return bind(F.split(page, r"(?i)(?=</?(?:section|form)\b)"), placed)
 
 
 def content_cell(page: Column) -> Column:
@@ -43,22 +37,34 @@ def content_cell(page: Column) -> Column:
 
     Selectors, specific to general: third section's form, any section's form, any form, any table.
     """
-    forms = _form_parts(page)
-
-    def cells_in(kept):
-        return F.flatten(F.transform(kept, lambda f: F.when(f.html.rlike(rf"(?i){opens('div')}"), body_cells(f.html)).otherwise(F.array().cast("array<string>"))))
+    none = F.array().cast("array<string>")
 
     def body_cells(html):
-        return F.when(html.rlike(rf"(?i){opens('tbody')}"), outer_cells(html)).otherwise(F.array().cast("array<string>"))
+        return F.when(html.rlike(rf"(?i){opens('tbody')}"), outer_cells(html)).otherwise(none)
 
-    candidates = [
-        cells_in(F.filter(forms, lambda f: (f.section == 3) & (f.depth > 0))),
-        cells_in(F.filter(forms, lambda f: f.depth > 0)),
-        cells_in(forms),
-        body_cells(page),
-    ]
-    best = [_longest(c) for c in candidates]
-    return F.coalesce(*[F.when(b.size > 0, b.raw) for b in best])
+    def in_forms(parts):
+        return F.transform(
+            parts,
+            lambda f: F.struct(
+                f.section.alias("section"),
+                f.depth.alias("depth"),
+                F.when(f.html.rlike(rf"(?i){opens('div')}"), body_cells(f.html)).otherwise(none).alias("cells"),
+            ),
+        )
+
+    def longest_of(kept):
+        best = _longest(F.flatten(F.transform(kept, lambda f: f["cells"])))
+        return bind(best, lambda b: F.when(b["size"] > 0, b.raw))
+
+    def by_rule(forms):
+        return F.coalesce(
+            longest_of(F.filter(forms, lambda f: (f.section == 3) & (f.depth > 0))),
+            longest_of(F.filter(forms, lambda f: f.depth > 0)),
+            longest_of(forms),
+        )
+
+    anywhere = bind(_longest(body_cells(page)), lambda b: F.when(b["size"] > 0, b.raw))
+    return F.coalesce(bind(in_forms(_form_parts(page)), by_rule), anywhere)
 
 
 def strong_sections(root: Column, title: Column) -> Column:
@@ -66,22 +72,32 @@ def strong_sections(root: Column, title: Column) -> Column:
 
     Noise lines and repeats of the service title are left out; sections without text too.
     """
-    title_key = compare_key(title)
     strong = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
-    def tagged(p):
-        inner = block(p)
-        text = flow_text(inner)
-        headed = inner.rlike(strong)
-        header = flow_text(F.regexp_extract(inner, strong, 1))
-        own = F.when(headed, strip_separators(remove_once(text, header))).otherwise(text)
-        keep = (own != "") & ~is_noise(own) & ~compare_key(own).eqNullSafe(title_key)
-        body = F.when(keep, F.concat(F.lit(" "), own)).otherwise("")
-        return F.when(headed, F.concat(F.lit(MARK_A), header, F.lit(FIELD), body)).otherwise(body)
-
-    runs = F.split(F.array_join(F.transform(pieces(root, "p"), tagged), ""), MARK_A)
+    def body(own, title_key):
+        keep = ~is_noise(own) & ~compare_key(own).eqNullSafe(title_key)
+        return F.when(keep, F.concat(F.lit(" "), own)).otherwise("")
+
+    def headed(inner, title_key):
+        def with_header(header):
+            own = bind(strip_separators(remove_once(flow_text(inner), header)), lambda o: body(o, title_key))
+            return F.concat(F.lit(MARK_A), header, F.lit(FIELD), own)
+
+        return bind(flow_text(F.regexp_extract(inner, strong, 1)), with_header)
+
+    def tagged(p, title_key):
+        return bind(
+            block(p),
+            lambda inner: F.when(inner.rlike(strong), headed(inner, title_key)).otherwise(
+                bind(flow_text(inner), lambda own: body(own, title_key))
+            ),
+        )
+
+    joined = bind(
+        compare_key(title), lambda key: F.array_join(F.transform(pieces(root, "p"), lambda p: tagged(p, key)), "")
+    )
     sections = F.transform(
-        F.slice(runs, F.lit(2), F.size(runs)),
+        runs_after(joined, MARK_A),
         lambda r: F.struct(F.substring_index(r, FIELD, 1).alias("header"), collapse(F.substring_index(r, FIELD, -1)).alias("body")),
     )
     return F.filter(sections, lambda s: s.body != "")
@@ -89,21 +105,23 @@ def strong_sections(root: Column, title: Column) -> Column:
 
 def header_field(header: Column) -> Column:
     """Field of a section header: exact words first, then words it contains; else NULL."""
-    k = compare_key(header)
     words = F.create_map(*[F.lit(x) for pair in C.HEADER_FIELDS.items() for x in pair])
 
-    def has(word):
-        return F.contains(k, F.lit(word))
-
-    return F.coalesce(
-        F.try_element_at(words, k),
-        F.when(has("서비스") & (has("내용") | has("개요")), "서비스 내용")
-        .when(has("특례"), "특례 내용")
-        .when(has("부가") & has("조건"), "부가조건")
-        .when(has("규제"), "규제")
-        .when((has("기대") & has("효과")) | has("파급효과"), "기대효과")
-        .when(has("개선") & (has("결과") | has("효과") | has("사항")), "개선결과"),
-    )
+    def field(k):
+        def has(word):
+            return F.contains(k, F.lit(word))
+
+        return F.coalesce(
+            F.try_element_at(words, k),
+            F.when(has("서비스") & (has("내용") | has("개요")), "서비스 내용")
+            .when(has("특례"), "특례 내용")
+            .when(has("부가") & has("조건"), "부가조건")
+            .when(has("규제"), "규제")
+            .when((has("기대") & has("효과")) | has("파급효과"), "기대효과")
+            .when(has("개선") & (has("결과") | has("효과") | has("사항")), "개선결과"),
+        )
+
+    return bind(compare_key(header), field)
 
 
 def label_pairs(root: Column) -> Column:
@@ -119,7 +137,9 @@ def label_pairs(root: Column) -> Column:
     empty = F.array().cast("array<struct<label:string,value:string>>")
 
     def row_pairs(row):
-        ths, tds = cells_of(row, "th"), cells_of(row, "td")
+        return bind(cells(row), lambda c: bind(raw_of(c, "th"), lambda ths: bind(raw_of(c, "td"), lambda tds: paired(ths, tds))))
+
+    def paired(ths, tds):
         joined = collapse(F.array_join(F.transform(tds, flow_text), " "))
         return (
             F.when((F.size(ths) == 1) & (F.size(tds) >= 1), F.array(pair(F.get(ths, F.lit(0)), joined)))
@@ -128,16 +148,16 @@ def label_pairs(root: Column) -> Column:
         )
 
     def list_pairs(dl):
-        inner = inside(dl, "dl")
-        dts, dds = pieces(inner, "dt"), pieces(inner, "dd")
-        cut = r"(?i)</?d[dtl]\b"
-
         def content(p):
-            return F.get(F.split(F.regexp_replace(p, r"^<[^>]*>", ""), cut, 2), F.lit(0))
+            return F.get(F.split(after_open(p), r"(?i)</?d[dtl]\b", 2), F.lit(0))
+
+        def zipped(dts, dds):
+            both = F.zip_with(dts, dds, lambda t, d: pair(content(t), flow_text(content(d))))
+            return F.when(F.size(dts) == F.size(dds), both).otherwise(empty)
 
-        return F.when(
-            F.size(dts) == F.size(dds), F.zip_with(dts, dds, lambda t, d: pair(content(t), flow_text(content(d))))
-        ).otherwise(empty)
+        return bind(
+            inside(dl, "dl"), lambda i: bind(pieces(i, "dt"), lambda dts: bind(pieces(i, "dd"), lambda dds: zipped(dts, dds)))
+        )
 
     tables = F.flatten(F.transform(pieces(root, "tr"), row_pairs))
     lists = F.flatten(F.transform(pieces(root, "dl"), list_pairs))
@@ -182,8 +202,8 @@ def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명",
     )
     found = {}
     for f in C.FIELDS:
-        strong = F.array_join(F.transform(F.filter("_strong", lambda s, f=f: s.field == f), lambda s: s.body), " ")
-        pairs = last_of(F.transform(F.filter("_pairs", lambda p, f=f: label_matches(p.label, f, exact_labels)), lambda p: p.value))
+        strong = F.array_join(F.transform(F.filter("_strong", lambda s: s.field == f), lambda s: s.body), " ")
+        pairs = last_of(F.transform(F.filter("_pairs", lambda p: label_matches(p.label, f, exact_labels)), lambda p: p.value))
         rules = [("strong", blank_to_null(strong)), ("pairs", blank_to_null(pairs)), ("label", labelled_text(F.col("_lines"), f))]
         if f == "서비스 내용":
             rules.append(("fallback", F.when(~is_noise(F.col("_whole")), F.col("_whole"))))

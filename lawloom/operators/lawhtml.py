@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
+from lawloom.functions.arrays import exploded
 from lawloom.functions.clauses import clause_array, clause_label, full_text
 from lawloom.functions.markup import (
     FIELD, MARK_A, MARK_B, after_open, block, class_token, flow_text, pieces, plain_text, prepare,
@@ -121,17 +122,17 @@ def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html",
     placed = pages.select(
         *keys, "law_name", F.flatten(F.transform(F.split("_tagged", f"(?={MARK_B})"), in_chapter)).alias("_groups")
     )
-    rows = placed.select(
-        *keys,
-        "law_name",
-        F.posexplode(
-            F.flatten(
-                F.transform(
-                    "_groups",
-                    lambda g: F.when(is_supplement(g.html), supplement_rows(g.html)).otherwise(article_rows(g.html, g.chapter)),
-                )
+    rows = exploded(
+        placed,
+        [*keys, "law_name"],
+        F.flatten(
+            F.transform(
+                "_groups",
+                lambda g: F.when(is_supplement(g.html), supplement_rows(g.html)).otherwise(article_rows(g.html, g.chapter)),
             )
-        ).alias("ord", "_row"),
+        ),
+        "ord",
+        "_row",
     )
     return rows.select(
         *keys, "law_name", "ord", *[F.col(f"_row.{c}").alias(c) for c in C.LAW_HTML_COLUMNS if c != "law_name"]

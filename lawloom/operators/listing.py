@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
+from lawloom.functions.arrays import exploded
 from lawloom.functions.markup import attribute, cells_of, class_token, flow_text, open_tag, pieces, plain_text, prepare
 from lawloom.functions.text import blank_to_null, iso_date, joined_cells, list_detail_url
 
@@ -79,8 +80,9 @@ def index_rows(
     read = pages.select("form_code", "page_no", list_items(F.col("html")).alias("_items"))
     read = read.withColumn("_n", F.size("_items"))
     rows = (
-        pages_before_stop(read, "form_code", "page_no", "_n", max_pages)
-        .select("form_code", "page_no", F.posexplode("_items").alias("pos", "_item"))
+        exploded(
+            pages_before_stop(read, "form_code", "page_no", "_n", max_pages), ["form_code", "page_no"], "_items", "pos", "_item"
+        )
         .select("form_code", "page_no", "pos", "_item.*")
     )
     if keyword:

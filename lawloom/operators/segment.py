@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
+from lawloom.functions.arrays import bind, exploded
 from lawloom.functions.clauses import split_clause_start
 from lawloom.functions.text import blank_to_null, lines_of, strip
 
@@ -132,11 +133,15 @@ def _tag_line(line: Column, rules: Rules) -> Column:
 
 def _tag_heading(line: Column, rules: Rules) -> Column:
     number, title, body = heading_parts(line, rules)
-    mark, rest = split_clause_start(body)
-    tail = F.concat(F.lit(PLAIN), body)
-    if rules.strict_article:
-        tail = F.when(mark.isNotNull(), F.concat(F.lit(CLAUSE), mark, F.lit(FIELD), rest)).otherwise(tail)
-    return F.concat(F.lit(ARTICLE), number, F.lit(FIELD), title, F.lit(FIELD), tail)
+
+    def tail(b):
+        plain = F.concat(F.lit(PLAIN), b)
+        if not rules.strict_article:
+            return plain
+        mark, rest = split_clause_start(b)
+        return F.when(mark.isNotNull(), F.concat(F.lit(CLAUSE), mark, F.lit(FIELD), rest)).otherwise(plain)
+
+    return F.concat(F.lit(ARTICLE), number, F.lit(FIELD), title, F.lit(FIELD), bind(body, tail))
 
 
 def _leaf_text(leaf: Column) -> Column:
@@ -164,11 +169,13 @@ def with_tagged_text(df: DataFrame, lines: str, rules: Rules, entry: Column | No
     df = df.withColumn("_fold", fold).withColumn("_flags", F.split("_fold.flags", ""))
 
     def resolve(part, ok):
-        line = F.regexp_extract(part, f"^{CANDIDATE}([^{PLAIN}{CHAPTER}{CLAUSE}]*)", 1)
-        rest = F.substr(part, F.length(line) + 2)
-        heading = F.concat(_tag_heading(line, rules), rest)
+        after = F.substring(part, 2, 2147483647)
+        heading = bind(
+            F.regexp_extract(after, f"^[^{PLAIN}{CHAPTER}{CLAUSE}]*", 0),
+            lambda line: F.concat(_tag_heading(line, rules), F.substr(after, F.length(line) + 1)),
+        )
         if rules.gap_limit is not None:
-            heading = F.when(ok == "1", heading).otherwise(F.concat(F.lit(PLAIN), line, rest))
+            heading = F.when(ok == "1", heading).otherwise(F.concat(F.lit(PLAIN), after))
         return F.when(F.startswith(part, F.lit(CANDIDATE)), heading).otherwise(part)
 
     flags = F.concat(F.array(F.lit("")), F.col("_flags"))
@@ -244,7 +251,9 @@ def with_row_array(df: DataFrame, carried: dict[str, Column] | None = None) -> D
     )
 
     def rows_of(z):
-        leaves = F.split(z["_bounds"], f"(?={CLAUSE})")
+        return bind(F.split(z["_bounds"], f"(?={CLAUSE})"), lambda leaves: leaf_rows(z, leaves))
+
+    def leaf_rows(z, leaves):
         clauses = F.transform(
             F.slice(leaves, F.lit(2), F.size(leaves)),
             lambda k, i: F.struct(_header_field(k, 1).alias("mark"), _leaf_text(k).alias("text"), (i + 1).alias("leaf")),
@@ -288,8 +297,7 @@ def segment(
     if not rules.keep_preamble:
         tagged = tagged.withColumn("_tagged", _drop_text_before_first_article(F.col("_tagged"), F.lit(False)))
     return (
-        with_row_array(tagged)
-        .select(*keys, "law_name", F.posexplode("_rows").alias("ord", "_row"))
+        exploded(with_row_array(tagged), [*keys, "law_name"], "_rows", "ord", "_row")
         .select(
             *keys,
             "law_name",

@@ -105,7 +105,7 @@ def with_financial_fields(df: DataFrame, html: str = "html", anchor: str | None
     for field in C.FIN_FIELDS:
         labels = [k for k, v in C.FIN_LABELS.items() if v == field]
         labelled = last_of(
-            F.transform(F.filter("_labels", lambda p, labels=labels: p.label.isin(labels)), lambda p: p.value)
+            F.transform(F.filter("_labels", lambda p: p.label.isin(labels)), lambda p: p.value)
         )
         value = F.coalesce(blank_to_null(labelled), _row_value(F.col("_table"), C.FIN_ROW_NUMBERS[field]), F.lit(""))
         if field == "서비스명":

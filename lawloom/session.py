@@ -14,6 +14,7 @@ def local_session(cpus: int | None = None, app: str = "lawloom") -> SparkSession
         .config("spark.sql.shuffle.partitions", str(cpus or os.cpu_count() or 8))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lawloom.functions.arrays import exploded
 from lawloom.functions.text import file_stem, lines_of
 
 
@@ -51,4 +52,4 @@ def read_law_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> Dat
 
 def page_lines(pages: DataFrame, keys: list[str], page: str = "page_no", text: str = "text") -> DataFrame:
     """(keys, page, line_no, line): trimmed non-blank lines of page texts; a NULL page has none."""
-    return pages.select(*keys, page, F.posexplode(lines_of(F.col(text))).alias("line_no", "line"))
+    return exploded(pages, [*keys, page], lines_of(F.col(text)), "line_no", "line")
