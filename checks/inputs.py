@@ -249,7 +249,7 @@ def preformatted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decorated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text): documents with bullets, tags, rule lines, odd blanks put in."""
-    text = F.replace(F.col("text"), F.lit(", "), F.lit(",\u200b •<LAW_1>  "))
+    text = F.replace(F.col("text"), F.lit(", "), F.lit(",\u200b •<LAW_1>  "))
     text = F.replace(text, F.lit("\n"), F.lit("\n---\n\n\n\t\u3000★ "))
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
 

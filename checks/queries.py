@@ -233,8 +233,8 @@ def best_container(spark, sf):
 
 def best_table(spark, sf):
     page = markup.prepare(F.col("html"))
-    by_score = markup.flow_text(tables.section_table(page, anchor=None))
-    by_header = markup.flow_text(tables.list_table(page))
+    by_score = markup.flow_text(markup.inside(tables.section_table(page, anchor=None), "table"))
+    by_header = markup.flow_text(markup.inside(tables.list_table(page), "table"))
     return I.financial_pages(spark, sf).select("doc_id", by_score.alias("section_text"), by_header.alias("list_text"))
 
 

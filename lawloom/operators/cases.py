@@ -163,16 +163,16 @@ def with_two_sections(df: DataFrame, pre: str = "pre") -> DataFrame:
         }
     )
 
-    def section(has, end, other_has, other_start):
-        upto = F.when(F.col(other_has) & (F.col(other_start) >= F.col(end)), F.col(other_start) - F.col(end))
-        rest = F.substr("_text", F.col(end) + 1)
-        cut = F.when(upto.isNotNull(), F.substr(rest, F.lit(1), upto)).otherwise(rest)
+    def section(has, start, end, other_has, other_start):
+        ends_early = F.col(other_has) & (F.col(start) < F.col(other_start))
+        size = F.greatest(F.col(other_start) - F.col(end), F.lit(0))
+        cut = F.when(ends_early, F.substr("_text", F.col(end) + 1, size)).otherwise(F.substr("_text", F.col(end) + 1))
         return F.when(F.col(has), collapse(cut)).otherwise("")
 
     df = df.withColumns(
         {
-            "_rel": section("_has_rel", "_rel_end", "_has_spec", "_spec_start"),
-            "_spec": section("_has_spec", "_spec_end", "_has_rel", "_rel_start"),
+            "_rel": section("_has_rel", "_rel_start", "_rel_end", "_has_spec", "_spec_start"),
+            "_spec": section("_has_spec", "_spec_start", "_spec_end", "_has_rel", "_rel_start"),
             "_strong": F.split("_inner", r"(?is)<strong\b[^>]*>.*?</strong\s*>", 3),
         }
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import exploded
+from lawloom.functions.arrays import bind, exploded
 from lawloom.functions.clauses import clause_array, clause_label, full_text
 from lawloom.functions.markup import (
     FIELD, MARK_A, MARK_B, after_open, block, class_token, flow_text, pieces, plain_text, prepare,
@@ -40,7 +40,9 @@ def group_title(group: Column) -> Column:
     """Chapter title of a group or NULL; supplementary groups have none."""
     paragraphs = pieces(group, "p")
     titled = F.concat(_with_class(paragraphs, r"[^\s\"'>]*pty1_tit[^\s\"'>]*"), _with_class(paragraphs, "gtit"))
-    return F.when(~is_supplement(group), plain_text(block(F.get(titled, F.lit(0)))))
+    return bind(
+        F.get(titled, F.lit(0)), lambda t: F.when(t.isNotNull() & ~is_supplement(group), plain_text(block(t)))
+    )
 
 
 def is_supplement(group: Column) -> Column:
