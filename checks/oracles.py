@@ -188,7 +188,15 @@ strong AS (
 paired AS (
   SELECT doc_id, field, max_by(value, i * 10 + n) AS value FROM (
     SELECT DISTINCT p.doc_id, a.field, p.i, p.n, p.value FROM pairs p JOIN aliases a ON contains(p.label, a.alias)) GROUP BY ALL),
-labelled AS (SELECT doc_id, '개선결과' AS field, {collapse('l')} AS value FROM dl WHERE i = 1 AND {collapse('l')} <> ''),
+heads AS (
+  SELECT dl.doc_id, dl.i, CASE WHEN dl.i = 1 THEN '개선 사항' ELSE {HEADERS}[(dl.i // 4 % 7 + 1)::INT] END AS head,
+    coalesce(nullif({collapse('dl.l')}, ''), (SELECT min_by(p.own, p.i) FROM paras p WHERE p.doc_id = dl.doc_id AND p.i > dl.i AND trim(p.own) <> '')) AS value
+  FROM dl WHERE dl.i % 4 = 0 OR dl.i = 1),
+labelled AS (
+  SELECT doc_id, field, min_by(value, n) AS value FROM (
+    SELECT h.doc_id, a.field, a.n, min_by({collapse('h.value')}, h.i) AS value
+    FROM heads h JOIN aliases a ON suffix(h.head, a.alias) WHERE h.value IS NOT NULL GROUP BY ALL)
+  WHERE NOT regexp_matches(value, '{NOISE}') GROUP BY ALL),
 found AS (
   SELECT d.doc_id, f.field, CASE WHEN s.value IS NOT NULL THEN s.value WHEN p.value IS NOT NULL THEN p.value
       WHEN l.value IS NOT NULL THEN l.value ELSE '' END AS value,
@@ -216,7 +224,7 @@ CASE_PARTS = rf"""
 parts AS (
   SELECT page_id, pos, CASE pos % 4 WHEN 1 THEN '[' || l || ']' WHEN 2 THEN '제목 ' || pos
       ELSE CASE WHEN regexp_matches(l, '\[[^\]]+\]') THEN {collapse(r"regexp_extract(l, '\[([^\]]+)\]', 1)")}
-        ELSE trim(substr(regexp_extract(regexp_extract({collapse("l || ' ☞ ' || l || allowed")}, '^(.*?)(허용|$)', 1), '^(.+?)([.!?。…]|$)', 1), 1, 120), ' ') END
+        ELSE trim(substr(regexp_extract({collapse("l || ' ☞ ' || l || allowed")}, '^(.+?)([.!?。…]|$)', 1), 1, 120), ' ') END
       END AS subtitle,
     CASE pos % 4 WHEN 1 THEN {collapse(r"regexp_replace(l, '^[:\-–—·.)]*\s*', '') || ' ' || l")} WHEN 2 THEN CASE WHEN l = '' THEN ':' ELSE l END ELSE '' END AS stat,
     CASE WHEN pos % 4 = 2 THEN CASE WHEN l = '' THEN '-' ELSE l || ' ' || l END WHEN l = '' OR allowed = '' THEN '' ELSE l || ' 허용' END AS allow
