@@ -60,6 +60,7 @@ HTML_ARTICLE_PATTERN = rf"^(제\p{{Nd}}+조(?:의\p{{Nd}}+)?){WS}*(?:\(([^)]*)\)
 CLAUSE_MARKS = "①-⑳"
 
 # --- fixed values: list and detail pages ---------------------------------
+FORMS = ("FORM_002", "FORM_003")
 INDEX_COLUMNS = [
     "form_code",
     "bdSeq",

@@ -4,10 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import running_sum
-from lawloom.functions.markup import FIELD, MARK_A, MARK_B, flow_text, node_lines, prepare
+from lawloom.functions.arrays import bind, running_sum
+from lawloom.functions.markup import FIELD, MARK_A, MARK_B, flow_text, node_lines, prepare, runs_after, steps
 from lawloom.functions.text import (
-    blank_to_null, collapse, drop_leading_index, drop_prefix, first_sentence, letters_only, round_title, strip, trial_title,
+    collapse, drop_leading_index, drop_prefix, first_sentence, letters_only, round_title, strip, trial_title,
 )
 from lawloom.operators.carry import fill_forward
 
@@ -16,39 +16,51 @@ _WS = C.WS
 
 def subtitle(html: Column) -> Column:
     """First strong text; else the first bracketed text; else the first sentence before a label."""
-    page = prepare(html)
     strong = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
-    flat = flow_text(page)
     bracket = r"\[([^\]]+)\]"
-    before = F.get(F.split(flat, rf"[(\[]?{_WS}*(?:현황|허용|조건부{_WS}*허용){_WS}*[)\]]", 2), F.lit(0))
-    return (
-        F.when(page.rlike(strong), flow_text(F.regexp_extract(page, strong, 1)))
-        .when(flat.rlike(bracket), collapse(F.regexp_extract(flat, bracket, 1)))
-        .otherwise(first_sentence(before))
-    )
+    label = rf"[(\[]?{_WS}*(?:현황|허용|조건부{_WS}*허용){_WS}*[)\]]"
+
+    def of_text(flat):
+        before = F.get(F.split(flat, label, 2), F.lit(0))
+        return F.when(flat.rlike(bracket), collapse(F.regexp_extract(flat, bracket, 1))).otherwise(first_sentence(before))
+
+    def of_page(page):
+        return F.when(page.rlike(strong), flow_text(F.regexp_extract(page, strong, 1))).otherwise(bind(flow_text(page), of_text))
+
+    return bind(prepare(html), of_page)
 
 
 def _labelled(part: Column) -> Column:
-    """struct<state,text>: state 'stat', 'allow' or NULL of one block, its label removed from the text."""
-    text = flow_text(part)
-    label = F.regexp_extract(text, "(?i)" + C.STATUS_LABEL, 1)
-    bold = F.filter(
-        F.transform(F.regexp_extract_all(part, F.lit(r"(?is)<(b|strong)\b[^>]*>(.*?)</\1\s*>"), F.lit(2)), flow_text),
-        lambda b: b.rlike("현황|허용"),
-    )
-    first_bold = F.get(bold, F.lit(0))
-    pointed = F.startswith(text, F.lit("☞")) & F.contains(text, F.lit("허용"))
-    state = (
-        F.when(label != "", F.when(F.contains(label, F.lit("허용")), "allow").otherwise("stat"))
-        .when(first_bold.isNotNull(), F.when(F.contains(first_bold, F.lit("현황")), "stat").otherwise("allow"))
-        .when(pointed, "allow")
-    )
-    rest = (
-        F.when(label != "", drop_prefix(text, C.STATUS_LABEL))
-        .when(first_bold.isNull() & pointed, strip(F.ltrim(text, F.lit("☞"))))
-        .otherwise(text)
-    )
-    return F.struct(state.alias("state"), rest.alias("text"), (text != "").alias("filled"))
+    """struct<state,text,filled>: state 'stat', 'allow' or NULL of one block, its label removed from the text."""
+    bold = r"(?is)<(b|strong)\b[^>]*>(.*?)</\1\s*>"
+
+    def state_of(label, word, pointed):
+        return (
+            F.when(label != "", F.when(F.contains(label, F.lit("허용")), "allow").otherwise("stat"))
+            .when(word.isNotNull(), F.when(F.contains(word, F.lit("현황")), "stat").otherwise("allow"))
+            .when(pointed, "allow")
+        )
+
+    def of_text(text):
+        words = F.filter(F.transform(F.regexp_extract_all(part, F.lit(bold), F.lit(2)), flow_text), lambda w: w.rlike("현황|허용"))
+        signs = F.struct(
+            F.regexp_extract(text, "(?i)" + C.STATUS_LABEL, 1).alias("label"),
+            F.get(words, F.lit(0)).alias("word"),
+            (F.startswith(text, F.lit("☞")) & F.contains(text, F.lit("허용"))).alias("pointed"),
+        )
+        return bind(
+            signs,
+            lambda s: F.struct(
+                state_of(s.label, s.word, s.pointed).alias("state"),
+                F.when(s.label != "", drop_prefix(text, C.STATUS_LABEL))
+                .when(s.word.isNull() & s.pointed, strip(F.ltrim(text, F.lit("☞"))))
+                .otherwise(text)
+                .alias("text"),
+                (text != "").alias("filled"),
+            ),
+        )
+
+    return bind(flow_text(part), of_text)
 
 
 def _labelled_runs(html: Column) -> Column:
@@ -57,25 +69,22 @@ def _labelled_runs(html: Column) -> Column:
     A part begins at every opening or closing p/div tag, so text is never taken twice and
     text after a nested block stays with its parent. Text before any label is dropped.
     """
-    parts = F.split(prepare(html), r"(?i)(?=</?(?:p|div)\b)")
-    steps = F.transform(
-        parts,
-        lambda p: F.when(p.rlike(r"(?i)^<(?:p|div)\b"), F.lit(1)).when(p.rlike(r"(?i)^</(?:p|div)\b"), F.lit(-1)).otherwise(F.lit(0)),
-    )
-    inside = F.transform(
-        F.filter(F.arrays_zip(parts.alias("part"), running_sum(steps).alias("depth")), lambda z: (z.depth > 0) | z.part.rlike(r"(?i)^<(?:p|div)\b")),
-        lambda z: _labelled(z.part),
-    )
+
+    def inside_blocks(parts):
+        placed = F.arrays_zip(parts.alias("part"), running_sum(steps(parts, "p|div")).alias("depth"))
+        kept = F.filter(placed, lambda z: (z.depth > 0) | z.part.rlike(r"(?i)^<(?:p|div)\b"))
+        return F.transform(kept, lambda z: _labelled(z.part))
+
+    blocks = bind(F.split(prepare(html), r"(?i)(?=</?(?:p|div)\b)"), inside_blocks)
     tagged = F.array_join(
         F.transform(
-            F.filter(inside, lambda b: b.filled),
+            F.filter(blocks, lambda b: b.filled),
             lambda b: F.concat(F.coalesce(F.concat(F.lit(MARK_B), b.state, F.lit(FIELD)), F.lit(MARK_A)), b.text),
         ),
         "",
     )
-    runs = F.split(tagged, MARK_B)
     return F.transform(
-        F.slice(runs, F.lit(2), F.size(runs)),
+        runs_after(tagged, MARK_B),
         lambda r: F.struct(
             F.substring_index(r, FIELD, 1).alias("state"),
             F.replace(F.substring_index(r, FIELD, -1), F.lit(MARK_A), F.lit(" ")).alias("text"),
@@ -91,20 +100,31 @@ def with_status_and_allowance(df: DataFrame, html: str = "html") -> DataFrame:
         return collapse(F.array_join(F.transform(F.filter("_runs", lambda r: r.state == state), lambda r: r.text), " "))
 
     split = runs.withColumns({"_stat": joined("stat"), "_allow": joined("allow")})
-    flat = flow_text(prepare(F.col(html)))
-    for pattern, name in [
-        (rf"[(\[]{_WS}*현황{_WS}*[)\]]", "현황"),
-        (rf"[(\[]{_WS}*(?:조건부{_WS}*)?허용{_WS}*[)\]]", "허용"),
-        (r"(?<!\|)\b현황\b(?!\|)", "현황"),
-        (rf"(?<!\|)\b(?:조건부{_WS}*)?허용\b(?!\|)", "허용"),
-    ]:
-        flat = F.regexp_replace(flat, pattern, f" ||{name}|| ")
-    flat = F.regexp_replace(flat, r"☞+([^|]*허용[^|]*)", " ||허용|| $1 ")
+
+    def flat_sections(flat):
+        for pattern, name in [
+            (rf"[(\[]{_WS}*현황{_WS}*[)\]]", "현황"),
+            (rf"[(\[]{_WS}*(?:조건부{_WS}*)?허용{_WS}*[)\]]", "허용"),
+            (r"(?<!\|)\b현황\b(?!\|)", "현황"),
+            (rf"(?<!\|)\b(?:조건부{_WS}*)?허용\b(?!\|)", "허용"),
+        ]:
+            flat = F.regexp_replace(flat, pattern, f" ||{name}|| ")
+        flat = F.regexp_replace(flat, r"☞+([^|]*허용[^|]*)", " ||허용|| $1 ")
+        stat = r"(?s)\|\|현황\|\|(.*?)(?=\|\|허용\|\||\z)"
+        return bind(
+            flat,
+            lambda t: F.struct(
+                collapse(F.regexp_extract(t, stat, 1)).alias("stat"),
+                collapse(F.regexp_extract(t, r"(?s)\|\|허용\|\|(.*)\z", 1)).alias("allow"),
+            ),
+        )
+
     none = (F.col("_stat") == "") & (F.col("_allow") == "")
-    stat = F.when(none, collapse(F.regexp_extract(flat, r"(?s)\|\|현황\|\|(.*?)(?=\|\|허용\|\||\z)", 1))).otherwise(F.col("_stat"))
-    allow = F.when(none, collapse(F.regexp_extract(flat, r"(?s)\|\|허용\|\|(.*)\z", 1))).otherwise(F.col("_allow"))
+    split = split.withColumn("_flat", F.when(none, flat_sections(flow_text(prepare(F.col(html))))))
+    stat = F.coalesce(F.col("_flat.stat"), F.col("_stat"))
+    allow = F.coalesce(F.col("_flat.allow"), F.col("_allow"))
     return split.withColumns({"현황": drop_prefix(stat, C.STATUS_PREFIX), "허용": drop_prefix(allow, C.ALLOW_PREFIX)}).drop(
-        "_runs", "_stat", "_allow"
+        "_runs", "_stat", "_allow", "_flat"
     )
 
 
@@ -114,21 +134,25 @@ def case_rows(
     """(대제목, 중제목, 소제목, 현황, 허용) of visible blocks.
 
     Input rows: page_id, pos, title (tab title), tag, html, is_visible. A visible h4 names the blocks
-    after it, up to the next visible h4; blocks under an empty heading are left out.
+    after it, up to the next visible h4; blocks under an empty heading are left out. Blocks are read
+    before headings are carried, so what is shuffled is the result and not the page.
     """
-    shown = blocks.where("is_visible").withColumn("_mid", F.when(F.lower("tag") == "h4", flow_text(F.col("html"))))
-    named = fill_forward(shown, [page], pos, {"_heading": "_mid"}).where(F.lower("tag") != "h4")
-    titled = named.where(strip(trial_title(F.col("_heading"))) != "")
-    return with_status_and_allowance(titled).select(
+    shown = blocks.where("is_visible")
+    is_heading = F.lower("tag") == "h4"
+    read = with_status_and_allowance(shown).select(
         *keys,
         page,
         pos,
         round_title(F.col("title")).alias("대제목"),
-        strip(trial_title(F.col("_heading"))).alias("중제목"),
-        subtitle(F.col("html")).alias("소제목"),
+        F.when(is_heading, trial_title(flow_text(F.col("html")))).alias("_mid"),
+        F.when(~is_heading, subtitle(F.col("html"))).alias("소제목"),
         "현황",
         "허용",
     )
+    named = fill_forward(read, [page], pos, {"중제목": "_mid"})
+    return named.where(F.col("소제목").isNotNull() & (F.col("중제목") != "")).select(
+        *keys, page, pos, "대제목", "중제목", "소제목", "현황", "허용"
+    )
 
 
 def _heading(words: list[str]) -> str:

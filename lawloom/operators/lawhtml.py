@@ -51,49 +51,68 @@ def is_supplement(group: Column) -> Column:
 
 def article_rows(group: Column, chapter: Column) -> Column:
     """Clause rows of an article group; none when its header is not an article."""
-    paragraphs = pieces(group, "p")
-    header = block(F.get(_with_class(paragraphs, "pty1_p4"), F.lit(0)))
-    label = F.regexp_extract(header, r"(?is)<label\b[^>]*>(.*?)</label\s*>", 1)
-    heading = plain_text(F.when(header.rlike(r"(?i)<label\b"), label).otherwise(header))
-    first_header = F.array_position(F.transform(paragraphs, lambda p: p.rlike(rf"(?i)^<p{class_token('pty1_p4')}")), F.lit(True))
-    others = F.filter(paragraphs, lambda p, i: i + 1 != first_header)
-    body = F.concat(
-        F.array(remove_once(plain_text(header), heading)), F.transform(others, lambda p: flow_text(block(p)))
-    )
-    number = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 1)
-    title = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 2)
-    rows = F.transform(
-        clause_array(F.array_join(body, " ")),
-        lambda c: _law_row(F.lit(C.MAIN_SECTION), chapter, number, title, clause_label(c.mark), c.text),
-    )
-    return F.when(number != "", rows).otherwise(_no_rows())
+    is_header = rf"(?i)^<p{class_token('pty1_p4')}"
 
+    def of_paragraphs(ps):
+        first = F.array_position(F.transform(ps, lambda p: p.rlike(is_header)), F.lit(True))
+        return bind(first, lambda k: F.when(k > 0, bind(block(F.try_element_at(ps, k.cast("int"))), lambda h: of_header(ps, k, h))))
 
-def supplement_rows(group: Column) -> Column:
-    """Per supplementary paragraph one full-text row, then its clauses with raw marks."""
-    paragraphs = pieces(group, "p")
-    spans = F.transform(_spans(block(F.get(_with_class(paragraphs, "pty3"), F.lit(0))), "sfon"), plain_text)
-    info = F.trim(F.coalesce(F.get(spans, F.lit(0)), F.lit("")), F.lit("<>"))
-    chapter = collapse(F.concat_ws(" ", info, F.get(spans, F.lit(1))))
-
-    def rows_of(p):
-        inner = block(p)
-        header = F.get(_spans(inner, "bl"), F.lit(0))
-        heading = F.when(header.isNotNull(), plain_text(header)).otherwise(flow_text(inner))
-        body = F.when(header.isNotNull(), remove_once(plain_text(inner), heading)).otherwise(heading)
+    def of_header(ps, k, header):
+        label = F.regexp_extract(header, r"(?is)<label\b[^>]*>(.*?)</label\s*>", 1)
+        heading = plain_text(F.when(header.rlike(r"(?i)<label\b"), label).otherwise(header))
+        return bind(heading, lambda h: of_heading(ps, k, header, h))
+
+    def of_heading(ps, k, header, heading):
+        others = F.transform(F.filter(ps, lambda p, i: i + 1 != k), lambda p: flow_text(block(p)))
+        body = F.concat(F.array(remove_once(plain_text(header), heading)), others)
         number = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 1)
         title = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 2)
-        clauses = clause_array(body)
-        section = F.lit(C.SUPPLEMENT_SECTION)
-        rows = F.concat(
-            F.array(_law_row(section, chapter, number, title, F.lit(C.FULL_TEXT_MARK), full_text(clauses))),
-            F.transform(
-                clauses, lambda c: _law_row(section, chapter, number, title, F.coalesce(c.mark, F.lit("")), c.text)
-            ),
+        rows = F.transform(
+            clause_array(F.array_join(body, " ")),
+            lambda c: _law_row(F.lit(C.MAIN_SECTION), chapter, number, title, clause_label(c.mark), c.text),
         )
-        return F.when(number != "", rows).otherwise(_no_rows())
+        return F.when(number != "", rows)
+
+    return F.coalesce(bind(pieces(group, "p"), of_paragraphs), _no_rows())
+
+
+def supplement_rows(group: Column) -> Column:
+    """Per supplementary paragraph one full-text row, then its clauses with raw marks."""
+    section = F.lit(C.SUPPLEMENT_SECTION)
+
+    def of_paragraphs(ps):
+        spans = F.transform(_spans(block(F.get(_with_class(ps, "pty3"), F.lit(0))), "sfon"), plain_text)
+
+        def named(s):
+            info = F.trim(F.coalesce(F.get(s, F.lit(0)), F.lit("")), F.lit("<>"))
+            return collapse(F.concat_ws(" ", info, F.get(s, F.lit(1))))
+
+        dated = _with_class(ps, r"[^\s\"'>]*pty3_dep[0-9]+[^\s\"'>]*")
+        return bind(bind(spans, named), lambda chapter: F.flatten(F.transform(dated, lambda p: of_paragraph(p, chapter))))
+
+    def of_paragraph(p, chapter):
+        def of_inner(inner):
+            header = F.get(_spans(inner, "bl"), F.lit(0))
+            heading = F.coalesce(F.when(header.isNotNull(), plain_text(header)), flow_text(inner))
+            return bind(heading, lambda h: of_heading(inner, header.isNotNull(), h))
+
+        def of_heading(inner, marked, heading):
+            body = F.when(marked, remove_once(plain_text(inner), heading)).otherwise(heading)
+            rows = bind(clause_array(body), lambda clauses: of_clauses(heading, clauses))
+            return F.when(heading.rlike(C.HTML_ARTICLE_PATTERN), rows).otherwise(_no_rows())
+
+        def of_clauses(heading, clauses):
+            number = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 1)
+            title = F.regexp_extract(heading, C.HTML_ARTICLE_PATTERN, 2)
+            whole = _law_row(section, chapter, number, title, F.lit(C.FULL_TEXT_MARK), full_text(clauses))
+            marked = F.transform(
+                clauses, lambda c: _law_row(section, chapter, number, title, F.coalesce(c.mark, F.lit("")), c.text)
+            )
+            return F.concat(F.array(whole), marked)
+
+        return bind(block(p), of_inner)
 
-    return F.flatten(F.transform(_with_class(paragraphs, r"[^\s\"'>]*pty3_dep[0-9]+[^\s\"'>]*"), rows_of))
+    return bind(pieces(group, "p"), of_paragraphs)
 
 
 def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html", keys: tuple[str, ...] = ()) -> DataFrame:

@@ -11,10 +11,16 @@ from lawloom.functions.text import blank_to_null, iso_date, joined_cells, list_d
 LIST_TABLE = r"(?i)^<table" + "".join(rf"(?={class_token(t)})" for t in C.LIST_TABLE_CLASSES)
 
 
-def list_items(html: Column) -> Column:
-    """array<struct>: rows of at least six cells of the first case table."""
+def _list_rows(html: Column) -> Column:
+    """array<array<string>>: cells of the rows of at least six cells of the first case table."""
     table = F.get(F.filter(pieces(prepare(html), "table"), lambda t: t.rlike(LIST_TABLE)), F.lit(0))
     body = F.get(F.split(F.regexp_extract(table, r"(?is)<tbody(?=[\s>])[^>]*>(.*)\z", 1), r"(?i)</(?:tbody|table)\s*>", 2), F.lit(0))
+    rows = F.filter(F.transform(pieces(body, "tr"), lambda r: cells_of(r, "td")), lambda tds: F.size(tds) >= 6)
+    return F.coalesce(rows, F.array().cast("array<array<string>>"))
+
+
+def list_items(rows: Column) -> Column:
+    """array<struct>: index fields of list rows."""
     anchor = r"(?is)<a(?=[\s>])[^>]*>(.*?)</a\s*>"
 
     def item(tds):
@@ -32,22 +38,24 @@ def list_items(html: Column) -> Column:
             joined_cells(F.transform(tds, flow_text)).alias("list_td_text"),
         )
 
-    rows = F.transform(pieces(body, "tr"), lambda r: cells_of(r, "td"))
-    return F.coalesce(
-        F.transform(F.filter(rows, lambda tds: F.size(tds) >= 6), item),
-        F.array().cast(
-            "array<struct<bdSeq:string,`번호`:string,`구분`:string,`기업명`:string,`서비스명`:string,"
-            "designated_date:string,detail_url:string,list_td_text:string>>"
-        ),
-    )
+    return F.transform(rows, item)
 
 
-def pages_before_stop(pages: DataFrame, group: str, page: str, n_items: str, max_pages: int | None = None) -> DataFrame:
-    """Pages of every group up to its first empty one, and no further than `max_pages`."""
+def pages_before_stop(
+    pages: DataFrame, group: str, page: str, n_items: str, max_pages: int | None = None, groups: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Pages of every group up to its first empty one, and no further than `max_pages`.
+
+    With a given list of groups there is at most one stop per listed group, so the stops are
+    broadcast and a group of many pages is not sent to one task. Otherwise the join is left to
+    Spark, which sees the size of the stops at run time.
+    """
     bounded = pages.where(F.col(page) <= max_pages) if max_pages else pages
+    if groups is not None:
+        bounded = bounded.where(F.col(group).isin(list(groups)))
     stops = bounded.where(F.col(n_items) == 0).groupBy(group).agg(F.min(page).alias("_stop"))
     return (
-        bounded.join(stops, group, "left")
+        bounded.join(stops if groups is None else F.broadcast(stops), group, "left")
         .where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
         .drop("_stop")
     )
@@ -71,20 +79,21 @@ def in_date_range(date: Column, since: str | None = None, until: str | None = No
 
 def index_rows(
     pages: DataFrame,
+    forms: tuple[str, ...] = C.FORMS,
     max_pages: int | None = None,
     keyword: str | None = None,
     since: str | None = None,
     until: str | None = None,
 ) -> DataFrame:
     """Index of list pages (form_code, page_no, html), with page_no and pos for its order."""
-    read = pages.select("form_code", "page_no", list_items(F.col("html")).alias("_items"))
-    read = read.withColumn("_n", F.size("_items"))
-    rows = (
-        exploded(
-            pages_before_stop(read, "form_code", "page_no", "_n", max_pages), ["form_code", "page_no"], "_items", "pos", "_item"
-        )
-        .select("form_code", "page_no", "pos", "_item.*")
-    )
+    read = pages.select("form_code", "page_no", _list_rows(F.col("html")).alias("_rows")).withColumn("_n", F.size("_rows"))
+    rows = exploded(
+        pages_before_stop(read, "form_code", "page_no", "_n", max_pages, forms),
+        ["form_code", "page_no"],
+        list_items(F.col("_rows")),
+        "pos",
+        "_item",
+    ).select("form_code", "page_no", "pos", "_item.*")
     if keyword:
         rows = rows.where(matches_keyword(F.col("기업명"), F.col("서비스명"), keyword))
     if since or until:
