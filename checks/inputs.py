@@ -58,6 +58,14 @@ def law_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", _text("법령", doc).alias("law_name"), text.alias("text"))
 
 
+def law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(law_name, page_no, text): the law texts, three lines to a page."""
+    lines = exploded(law_texts(spark, sf_dir), ["law_name"], F.split("text", "\n"), "i", "line")
+    rows = lines.groupBy("law_name", F.floor(F.col("i") / 3).alias("page_no"))
+    packed = rows.agg(F.array_sort(F.collect_list(F.struct("i", "line"))).alias("p"))
+    return packed.select("law_name", "page_no", F.array_join(F.transform("p", lambda x: x.line), "\n").alias("text"))
+
+
 def clause_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text): marked clauses, unmarked text, omitted text, text before the first mark."""
     doc = F.col("doc_id")

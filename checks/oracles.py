@@ -277,6 +277,8 @@ ORACLES = {
     "law_lines": f"WITH {DOCS}, {LAW_LINES} SELECT doc_id, line_no, line FROM law_lines",
     "law_segment": _segment("page_lines", True),
     "law_segment_loose": _segment("all_lines", False),
+    "law_segment_pages": f"SELECT {', '.join(C.LAW_ROW_COLUMNS)} FROM ({_segment('page_lines', True)})",
+    "law_segment_paragraphs": f"SELECT {', '.join(C.LAW_ROW_COLUMNS)} FROM ({_segment('all_lines', False)})",
     "article_title": rf"""WITH {DOCS}, {LAW_LINES}, p AS (
         SELECT doc_id, line_no, line, regexp_extract(line, '^제\s*([0-9]+)\s*조', 1) AS num,
           regexp_extract(line, '^제\s*[0-9]+\s*조(?:\((.+?)\))?\s*(.*)$', 1) AS title,

@@ -7,7 +7,7 @@ from checks import inputs as I
 from lawloom import constants as C
 from lawloom.functions.arrays import exploded
 from lawloom.functions import clauses, markup, text as X
-from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, order, segment, tables
+from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, order, paged, segment, tables
 
 
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,6 +126,15 @@ def law_segment_loose(spark, sf):
     return segment.segment(I.law_texts(spark, sf), rules=segment.PARAGRAPH_RULES, keys=("doc_id",))
 
 
+def law_segment_pages(spark, sf):
+    return paged.segment_pages(I.law_pages(spark, sf), pages_per_block=8).select(*C.LAW_ROW_COLUMNS)
+
+
+def law_segment_paragraphs(spark, sf):
+    lines = exploded(I.law_texts(spark, sf), ["law_name"], F.split("text", "\n"), "page_no", "text")
+    return paged.segment_pages(lines, rules=segment.PARAGRAPH_RULES, pages_per_block=64, whole_rows=True).select(*C.LAW_ROW_COLUMNS)
+
+
 def article_title(spark, sf):
     number, title, body = segment.heading_parts(F.col("line"))
     return law_lines(spark, sf).select(

@@ -1,6 +1,7 @@
 """Session settings that the library relies on."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -21,11 +22,16 @@ def local_session(cpus: int | None = None, app: str = "lawloom") -> SparkSession
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> None:
-    """Use the folder the cluster names; `fallback` serves only where none is set."""
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
+    """Use the folder the cluster names in spark.checkpoint.dir.
+
+    Where none is set, `folder` serves, or in local mode a new temporary one; on a cluster a
+    missing setting is an error, since executors would not share a machine's own folder.
+    """
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+        folder = named or folder or (tempfile.mkdtemp(prefix="checkpoint-") if context.master.startswith("local") else None)
         if folder is None:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder)
