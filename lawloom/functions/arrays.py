@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CUT = "\x85"
+
 
 def bind(value: Column, use) -> Column:
     """`use(value)` with the value worked out once, however often `use` names it.
@@ -40,6 +42,17 @@ def running_sum(values: Column, chunk: int = 128) -> Column:
     return bind(bind(values, local_sums), shifted)
 
 
+def split_before(text: Column, *marks: str) -> Column:
+    """Parts that begin at a mark, and what stands before the first one.
+
+    The marks are single characters. `split` compiles a pattern on every call unless it is one
+    plain character, so a separator is put in with `replace` and split at.
+    """
+    for m in marks:
+        text = F.replace(text, F.lit(m), F.lit(CUT + m))
+    return F.split(text, CUT)
+
+
 def last_of(values: Column) -> Column:
     """Last entry or NULL."""
     return F.try_element_at(values, F.lit(-1))

@@ -7,10 +7,10 @@ are missing in malformed pages therefore never swallow what follows.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lawloom.functions.arrays import bind, running_sum
+from lawloom.functions.arrays import CUT, bind, running_sum
 from lawloom.functions.text import collapse, strip, unescape
 
-NOT_CONTENT = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>"
+NOT_CONTENT = r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->|!doctype[^>]*>)"
 TAG = r"<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>([^<]*)"
 BLOCK_EDGE = (
     r"(?i)</?(?:p|div|table|thead|tbody|tr|td|th|ul|ol|li|dl|dt|dd|section|article|h[1-6]|form|body|html)\b"
@@ -22,7 +22,7 @@ MARK_A, MARK_B, FIELD = "\x1c", "\x1d", "\x0b"
 def prepare(html: Column) -> Column:
     """Scripts, styles, comments and doctype out; control characters to blanks."""
     body = F.regexp_replace(F.coalesce(html, F.lit("")), NOT_CONTENT, "")
-    return F.regexp_replace(body, r"[\x0b\x0c\x1c-\x1f]", " ")
+    return F.regexp_replace(body, r"[\x0b\x0c\x1c-\x1f\x85]", " ")
 
 
 def tag_tokens(html: Column) -> Column:
@@ -44,14 +44,27 @@ def opens(names: str) -> str:
     return rf"<(?:{names})(?=[\s>/])"
 
 
+def cut_at(html: Column, pattern: str) -> Column:
+    """Parts of the text that begin where the pattern matches; what comes before is left out.
+
+    `split` would compile its pattern for every value; `regexp_replace` keeps it, and splitting at
+    one plain character needs none.
+    """
+    return F.slice(F.split(F.regexp_replace(html, pattern, CUT + "$0"), CUT), 2, 1 << 30)
+
+
+def until(text: Column, pattern: str) -> Column:
+    """Text up to the first match."""
+    return F.substring_index(F.regexp_replace(text, pattern, CUT), CUT, 1)
+
+
 def pieces(html: Column, names: str) -> Column:
     """Parts of the text that begin at an opening tag of `names`."""
-    parts = F.split(html, rf"(?i)(?={opens(names)})")
-    return F.filter(parts, lambda p: p.rlike(rf"(?i)^{opens(names)}"))
+    return cut_at(html, rf"(?i){opens(names)}")
 
 
 def after_open(piece: Column) -> Column:
-    return F.regexp_replace(piece, r"^<[^>]*>", "")
+    return F.substr(piece, F.instr(piece, ">") + 1)
 
 
 def open_tag(piece: Column) -> Column:
@@ -60,12 +73,12 @@ def open_tag(piece: Column) -> Column:
 
 def block(piece: Column) -> Column:
     """Inside of a paragraph-like piece, up to the first block edge."""
-    return F.get(F.split(after_open(piece), BLOCK_EDGE, 2), F.lit(0))
+    return until(after_open(piece), BLOCK_EDGE)
 
 
 def inside(piece: Column, name: str) -> Column:
     """Inside of a piece, up to its end tag when there is one."""
-    return F.get(F.split(after_open(piece), rf"(?i)</{name}\s*>", 2), F.lit(0))
+    return until(after_open(piece), rf"(?i)</{name}\s*>")
 
 
 def flow_text(fragment: Column) -> Column:
@@ -106,7 +119,7 @@ def cells(row: Column) -> Column:
         pieces(row, "td|th"),
         lambda p: F.struct(
             F.lower(F.substring(p, 2, 2)).alias("tag"),
-            F.get(F.split(after_open(p), r"(?i)</t(?:[dhr]|able|body|head)\s*>", 2), F.lit(0)).alias("raw"),
+            until(after_open(p), r"(?i)</t(?:[dhr]|able|body|head)\s*>").alias("raw"),
         ),
     )
 
@@ -133,7 +146,7 @@ def outer_cells(fragment: Column) -> Column:
         closed = (depth <= 0) & p.rlike(r"(?i)^</table\b")
         return F.when(depth == 1, own).when(closed, F.concat(F.lit(MARK_B), p)).otherwise(p)
 
-    parts = F.split(fragment, r"(?i)(?=</?table\b)")
+    parts = cut_at(fragment, r"(?i)</?table\b")
     joined = bind(parts, lambda ps: F.array_join(F.zip_with(ps, running_sum(steps(ps, "table")), marked), ""))
     return F.transform(runs_after(joined, MARK_A), lambda r: F.substring_index(r, MARK_B, 1))
 

@@ -21,10 +21,13 @@ def clean_line(c: Column) -> Column:
     return strip(F.replace(c, F.lit("\u3000"), F.lit(" ")))
 
 
+def _split_lines(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, C.LINE_BREAK, "\n"), "\n")
+
+
 def lines_of(text: Column) -> Column:
     """Array of trimmed, non-blank lines."""
-    parts = F.split(F.coalesce(text, F.lit("")), C.LINE_BREAK)
-    return F.filter(F.transform(parts, clean_line), lambda l: l != "")
+    return F.filter(F.transform(_split_lines(F.coalesce(text, F.lit(""))), clean_line), lambda l: l != "")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -114,12 +117,12 @@ def keep_law_lines(c: Column, keep_decimals: bool = False) -> Column:
     bullets = C.LEADING_BULLETS_KEEP_DECIMALS if keep_decimals else C.LEADING_BULLETS
     t = F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("\r"), F.lit("\n")), F.lit("\u00a0"), F.lit(" "))
     t = F.regexp_replace(strip(t), "\n{3,}", "\n\n")
-    t = F.array_join(F.transform(F.split(t, C.LINE_BREAK), strip), "\n")
+    t = F.array_join(F.transform(_split_lines(t), strip), "\n")
     t = drop_law_tags(F.regexp_replace(t, "[ \t]{2,}", " "))
     return strip(
         F.array_join(
             F.transform(
-                F.split(t, C.LINE_BREAK),
+                _split_lines(t),
                 lambda l: F.when(l.rlike(rf"^{C.WS}*제{C.WS}*\p{{Nd}}+{C.WS}*조"), strip(l)).otherwise(
                     strip(F.regexp_replace(l, rf"^{bullets}++", ""))
                 ),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lawloom import constants as C
 from lawloom.functions.arrays import bind, running_sum
-from lawloom.functions.markup import FIELD, MARK_A, MARK_B, flow_text, node_lines, prepare, runs_after, steps
+from lawloom.functions.markup import FIELD, MARK_A, MARK_B, cut_at, flow_text, node_lines, prepare, runs_after, steps
 from lawloom.functions.text import (
     collapse, drop_leading_index, drop_prefix, first_sentence, letters_only, round_title, strip, trial_title,
 )
@@ -75,7 +75,7 @@ def _labelled_runs(html: Column) -> Column:
         kept = F.filter(placed, lambda z: (z.depth > 0) | z.part.rlike(r"(?i)^<(?:p|div)\b"))
         return F.transform(kept, lambda z: _labelled(z.part))
 
-    blocks = bind(F.split(prepare(html), r"(?i)(?=</?(?:p|div)\b)"), inside_blocks)
+    blocks = bind(cut_at(prepare(html), r"(?i)</?(?:p|div)\b"), inside_blocks)
     tagged = F.array_join(
         F.transform(
             F.filter(blocks, lambda b: b.filled),

@@ -7,7 +7,7 @@ from lawloom import constants as C
 from lawloom.functions.arrays import bind, last_of, running_sum
 from lawloom.functions.markup import (
     FIELD, MARK_A, after_open, block, cells, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare, raw_of,
-    runs_after, steps,
+    cut_at, runs_after, steps, until,
 )
 from lawloom.functions.text import blank_to_null, collapse, compare_key, is_noise, letters_spaced, remove_once, strip_separators
 
@@ -29,7 +29,7 @@ def _form_parts(page: Column) -> Column:
         )
         return F.filter(zipped, lambda z: z.html.rlike(r"(?i)^<form\b"))
 
-    return bind(F.split(page, r"(?i)(?=</?(?:section|form)\b)"), placed)
+    return bind(cut_at(page, r"(?i)</?(?:section|form)\b"), placed)
 
 
 def content_cell(page: Column) -> Column:
@@ -149,7 +149,7 @@ def label_pairs(root: Column) -> Column:
 
     def list_pairs(dl):
         def content(p):
-            return F.get(F.split(after_open(p), r"(?i)</?d[dtl]\b", 2), F.lit(0))
+            return until(after_open(p), r"(?i)</?d[dtl]\b")
 
         def zipped(dts, dds):
             both = F.zip_with(dts, dds, lambda t, d: pair(content(t), flow_text(content(d))))

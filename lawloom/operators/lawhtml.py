@@ -4,12 +4,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import bind, exploded
+from lawloom.functions.arrays import bind, exploded, split_before
 from lawloom.functions.clauses import clause_array, clause_label, full_text
 from lawloom.functions.markup import (
-    FIELD, MARK_A, MARK_B, after_open, block, class_token, flow_text, pieces, plain_text, prepare,
+    FIELD, MARK_A, MARK_B, block, class_token, cut_at, flow_text, pieces, plain_text, prepare,
 )
-from lawloom.functions.text import collapse, remove_once, unescape
+from lawloom.functions.text import collapse, remove_once
 
 GROUP = rf"(?i)<div{class_token('pgroup')}"
 
@@ -117,9 +117,7 @@ def supplement_rows(group: Column) -> Column:
 
 def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html", keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows of every law page in page order; law_name is the requested name."""
-    groups = F.filter(
-        F.split(prepare(F.col(html)), rf"(?={GROUP})"), lambda g: g.rlike(f"^{GROUP}")
-    )
+    groups = cut_at(prepare(F.col(html)), GROUP)
     tagged = F.array_join(
         F.transform(
             groups,
@@ -133,7 +131,7 @@ def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html",
     def in_chapter(part):
         titled = F.startswith(part, F.lit(MARK_B))
         chapter = F.when(titled, F.substring(F.substring_index(part, FIELD, 1), 2, 2147483647)).otherwise("")
-        members = F.split(part, f"(?={MARK_A})")
+        members = split_before(part, MARK_A)
         return F.transform(
             F.filter(members, lambda g: F.startswith(g, F.lit(MARK_A))),
             lambda g: F.struct(chapter.alias("chapter"), F.substring(g, 2, 2147483647).alias("html")),
@@ -141,7 +139,7 @@ def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html",
 
     pages = df.select(*keys, F.col(law_name).alias("law_name"), tagged.alias("_tagged"))
     placed = pages.select(
-        *keys, "law_name", F.flatten(F.transform(F.split("_tagged", f"(?={MARK_B})"), in_chapter)).alias("_groups")
+        *keys, "law_name", F.flatten(F.transform(split_before(F.col("_tagged"), MARK_B), in_chapter)).alias("_groups")
     )
     rows = exploded(
         placed,

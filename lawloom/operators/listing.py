@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lawloom import constants as C
 from lawloom.functions.arrays import exploded
-from lawloom.functions.markup import attribute, cells_of, class_token, flow_text, open_tag, pieces, plain_text, prepare
+from lawloom.functions.markup import attribute, cells_of, class_token, flow_text, inside, pieces, plain_text, prepare, until
 from lawloom.functions.text import blank_to_null, iso_date, joined_cells, list_detail_url
 
 LIST_TABLE = r"(?i)^<table" + "".join(rf"(?={class_token(t)})" for t in C.LIST_TABLE_CLASSES)
@@ -14,7 +14,7 @@ LIST_TABLE = r"(?i)^<table" + "".join(rf"(?={class_token(t)})" for t in C.LIST_T
 def _list_rows(html: Column) -> Column:
     """array<array<string>>: cells of the rows of at least six cells of the first case table."""
     table = F.get(F.filter(pieces(prepare(html), "table"), lambda t: t.rlike(LIST_TABLE)), F.lit(0))
-    body = F.get(F.split(F.regexp_extract(table, r"(?is)<tbody(?=[\s>])[^>]*>(.*)\z", 1), r"(?i)</(?:tbody|table)\s*>", 2), F.lit(0))
+    body = until(inside(F.get(pieces(table, "tbody"), F.lit(0)), "tbody"), r"(?i)</table\s*>")
     rows = F.filter(F.transform(pieces(body, "tr"), lambda r: cells_of(r, "td")), lambda tds: F.size(tds) >= 6)
     return F.coalesce(rows, F.array().cast("array<array<string>>"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import exploded
+from lawloom.functions.arrays import exploded, split_before
 from lawloom.functions.text import blank_to_null, lines_of, strip
 from lawloom.operators import segment as S
 from lawloom.session import ensure_checkpoint_dir
@@ -19,7 +19,8 @@ def _row_lines(text: Column, whole_rows: bool) -> Column:
     """Lines of one input row; a paragraph row is one line."""
     if not whole_rows:
         return lines_of(text)
-    return F.filter(F.array(strip(F.coalesce(text, F.lit("")))), lambda l: l != "")
+    one_line = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x0b\x0c\r\x1c-\x1e\x85]", " ")
+    return F.filter(F.array(strip(one_line)), lambda l: l != "")
 
 
 def _kept(lines: Column, law: Column, rules: S.Rules) -> Column:
@@ -58,15 +59,15 @@ def _summaries(tagged: DataFrame) -> DataFrame:
     """What every block hands on, and what it receives from the blocks before it."""
 
     def last_piece(mark):
-        return F.element_at(F.split("_tagged", f"(?={mark})"), -1)
+        return F.element_at(split_before(F.col("_tagged"), mark), -1)
 
     has_article, has_chapter = F.contains("_tagged", F.lit(S.ARTICLE)), F.contains("_tagged", F.lit(S.CHAPTER))
     since_article = last_piece(S.ARTICLE)
-    last_clause = F.element_at(F.split(since_article, f"(?={S.CLAUSE})"), -1)
+    last_clause = F.element_at(split_before(since_article, S.CLAUSE), -1)
     has_clause = F.startswith(last_clause, F.lit(S.CLAUSE))
-    bounds = F.split("_tagged", f"(?=[{S.ARTICLE}{S.CHAPTER}])")
+    bounds = split_before(F.col("_tagged"), S.ARTICLE, S.CHAPTER)
     bound = F.size(bounds) - 1
-    leaf = F.size(F.split(F.element_at(bounds, -1), f"(?={S.CLAUSE})")) - 1
+    leaf = F.size(split_before(F.element_at(bounds, -1), S.CLAUSE)) - 1
     ends = tagged.select(
         "law_name",
         "blk",

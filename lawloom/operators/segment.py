@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import bind, exploded
+from lawloom.functions.arrays import bind, exploded, split_before
 from lawloom.functions.clauses import split_clause_start
 from lawloom.functions.text import blank_to_null, lines_of, strip
 
@@ -160,7 +160,7 @@ def with_tagged_text(df: DataFrame, lines: str, rules: Rules, entry: Column | No
     start = entry if entry is not None else F.lit(None)
     df = df.withColumn(
         "_joined", F.concat(F.lit(FIELD), F.array_join(F.transform(F.col(lines), lambda l: _tag_line(l, rules)), ""))
-    ).withColumn("_parts", F.split("_joined", f"(?={CANDIDATE})"))
+    ).withColumn("_parts", split_before(F.col("_joined"), CANDIDATE))
     if rules.gap_limit is None:
         fold = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit("").alias("flags"))
     else:
@@ -218,9 +218,9 @@ def with_row_array(df: DataFrame, carried: dict[str, Column] | None = None) -> D
     def marks_in(article):
         later = F.flatten(
             F.transform(
-                F.split(article, f"(?={CLAUSE})"),
+                split_before(article, CLAUSE),
                 lambda k: F.transform(
-                    F.filter(F.split(k, f"(?={CHAPTER})"), lambda p: F.startswith(p, F.lit(CHAPTER))),
+                    F.filter(split_before(k, CHAPTER), lambda p: F.startswith(p, F.lit(CHAPTER))),
                     lambda p: mark_of(k, article),
                 ),
             )
@@ -228,13 +228,13 @@ def with_row_array(df: DataFrame, carried: dict[str, Column] | None = None) -> D
         return F.concat(F.array(F.when(~F.startswith(article, F.lit(ARTICLE)), state["mark"])), later)
 
     df = (
-        df.withColumn("_bounds", F.split(tagged, f"(?=[{ARTICLE}{CHAPTER}])"))
+        df.withColumn("_bounds", split_before(tagged, ARTICLE, CHAPTER))
         .withColumn(
             "_arts",
             F.flatten(
                 F.transform(
-                    F.split(tagged, f"(?={ARTICLE})"),
-                    lambda a: F.transform(F.split(a, f"(?={CHAPTER})"), lambda p: article_of(a)),
+                    split_before(tagged, ARTICLE),
+                    lambda a: F.transform(split_before(a, CHAPTER), lambda p: article_of(a)),
                 )
             ),
         )
@@ -242,16 +242,16 @@ def with_row_array(df: DataFrame, carried: dict[str, Column] | None = None) -> D
             "_chaps",
             F.flatten(
                 F.transform(
-                    F.split(tagged, f"(?={CHAPTER})"),
-                    lambda c: F.transform(F.split(c, f"(?={ARTICLE})"), lambda p: chapter_of(c)),
+                    split_before(tagged, CHAPTER),
+                    lambda c: F.transform(split_before(c, ARTICLE), lambda p: chapter_of(c)),
                 )
             ),
         )
-        .withColumn("_marks", F.flatten(F.transform(F.split(tagged, f"(?={ARTICLE})"), marks_in)))
+        .withColumn("_marks", F.flatten(F.transform(split_before(tagged, ARTICLE), marks_in)))
     )
 
     def rows_of(z):
-        return bind(F.split(z["_bounds"], f"(?={CLAUSE})"), lambda leaves: leaf_rows(z, leaves))
+        return bind(split_before(z["_bounds"], CLAUSE), lambda leaves: leaf_rows(z, leaves))
 
     def leaf_rows(z, leaves):
         clauses = F.transform(

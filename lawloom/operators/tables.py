@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lawloom import constants as C
 from lawloom.functions.arrays import last_of
 from lawloom.functions.markup import (
-    after_open, attribute, block, cells, cells_of, inside, line_text, open_tag, opens, pieces, prepare,
+    after_open, attribute, block, cells, cells_of, inside, line_text, open_tag, opens, pieces, prepare, until,
 )
 from lawloom.functions.text import blank_to_null, clean_cell, keep_law_lines, null_word_to_blank, strip
 
@@ -26,8 +26,7 @@ def _rows(table: Column) -> Column:
 
 
 def _body_rows(table: Column) -> Column:
-    inner = F.regexp_extract(table, r"(?is)<tbody(?=[\s>])[^>]*>(.*)\z", 1)
-    return pieces(F.get(F.split(inner, r"(?i)</(?:tbody|table)\s*>", 2), F.lit(0)), "tr")
+    return pieces(until(inside(F.get(pieces(table, "tbody"), F.lit(0)), "tbody"), r"(?i)</table\s*>"), "tr")
 
 
 def _first_best(tables: Column, score) -> Column:
