@@ -53,7 +53,8 @@ def pages_before_stop(
     bounded = pages.where(F.col(page) <= max_pages) if max_pages else pages
     if groups is not None:
         bounded = bounded.where(F.col(group).isin(list(groups)))
-    stops = bounded.where(F.col(n_items) == 0).groupBy(group).agg(F.min(page).alias("_stop"))
+    # An aggregate of a condition, not a filter: Spark would work the count out again below any exchange.
+    stops = bounded.groupBy(group).agg(F.min(F.when(F.col(n_items) == 0, F.col(page))).alias("_stop"))
     return (
         bounded.join(stops if groups is None else F.broadcast(stops), group, "left")
         .where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))

@@ -120,20 +120,33 @@ def segment_pages(
     if rules.gap_limit is not None:
         blocks = blocks.join(guard_entries(rows, rules, checkpoint_dir), ["law_name", "blk"], "left")
         entry = F.col("entry")
-    tagged = S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged")
+    ensure_checkpoint_dir(pages.sparkSession, checkpoint_dir)
+    # Read by the summaries and by both kinds of law below: written once, not cut three times.
+    tagged = S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged").checkpoint()
     placed = tagged.join(_summaries(tagged), ["law_name", "blk"])
     if not rules.keep_preamble:
         seen = F.col("in_article").isNotNull()
         placed = placed.withColumn("_tagged", S._drop_text_before_first_article(F.col("_tagged"), seen))
+    in_one_block = F.col("first_blk") == F.col("last_blk")
+    fields = ["chapter", "article_number", "article_title", "clause_number"]
+    whole = _cut(placed.where(in_one_block), fields).select("law_name", "ord", *fields, "text")
+    parts = _cut(placed.where(~in_one_block), fields).groupBy("law_name", "ord", *fields)
+    rejoined = parts.agg(F.array_sort(F.collect_list(F.struct("blk", "text"))).alias("_t")).select(
+        "law_name", "ord", *fields, F.array_join(F.transform("_t", lambda t: t.text), " ").alias("text")
+    )
+    return whole.unionByName(rejoined)
+
+
+def _cut(placed: DataFrame, fields: list[str]) -> DataFrame:
+    """Rows of every block; `ord` is the place in the law of the text that a row belongs to."""
     state = {
         "chapter": F.col("in_chapter"),
         "article_number": F.col("in_article.number"),
         "article_title": F.col("in_article.title"),
         "mark": F.col("in_clause.mark"),
     }
-    keep = ["law_name", "blk", "in_bound", "in_leaf", "first_blk", "last_blk"]
+    keep = ["law_name", "blk", "in_bound", "in_leaf", "first_blk"]
     cut = exploded(S.with_row_array(placed, state), keep, "_rows", "_pos", "_row").select(*keep, "_row.*")
-
     zero, first = F.lit(0), F.col("first_blk").alias("blk")
     own_bound = F.struct("blk", F.col("bound").alias("no"))
     own_leaf = F.struct("blk", F.col("bound").alias("no"), "leaf")
@@ -141,18 +154,5 @@ def segment_pages(
     running = F.coalesce("in_leaf", F.struct(first, zero.alias("no"), zero.alias("leaf")))
     bound = F.when(F.col("bound") == 0, going_on).otherwise(own_bound)
     leaf = F.when((F.col("bound") == 0) & (F.col("leaf") == 0), running).otherwise(own_leaf)
-    fields = ["chapter", "article_number", "article_title", "clause_number"]
-    pieces = cut.select(
-        "law_name",
-        F.struct(bound.alias("bound"), F.col("clause_number").isNull().alias("is_head"), leaf.alias("leaf")).alias("ord"),
-        *fields,
-        "text",
-        "blk",
-        (F.col("first_blk") == F.col("last_blk")).alias("_whole"),
-    )
-    whole = pieces.where("_whole").select("law_name", "ord", *fields, "text")
-    parts = pieces.where(~F.col("_whole")).groupBy("law_name", "ord", *fields)
-    rejoined = parts.agg(F.array_sort(F.collect_list(F.struct("blk", "text"))).alias("_t")).select(
-        "law_name", "ord", *fields, F.array_join(F.transform("_t", lambda t: t.text), " ").alias("text")
-    )
-    return whole.unionByName(rejoined)
+    order = F.struct(bound.alias("bound"), F.col("clause_number").isNull().alias("is_head"), leaf.alias("leaf"))
+    return cut.select("law_name", order.alias("ord"), *fields, "text", "blk")
