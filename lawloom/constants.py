@@ -8,6 +8,8 @@ WS_CHARS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# A run that is not already one plain blank: single blanks, the common case, are never rewritten.
+WS_RUN = rf"(?:{WS.replace(chr(92) + 'x20', chr(92) + 'x1f')}{WS}*| {WS}+)"
 NOT_WS = WS.replace("[", "[^", 1)
 LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 

@@ -14,7 +14,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """White-space runs to one blank, trimmed; NULL becomes ''."""
-    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), C.WS + "+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), C.WS_RUN, " "))
 
 
 def clean_line(c: Column) -> Column:
@@ -80,12 +80,13 @@ def iso_date(c: Column) -> Column:
 def letters_spaced(c: Column) -> Column:
     """Keep digits, Latin, Hangul and jamo; every other run becomes one blank."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    return F.trim(F.regexp_replace(text, "[^0-9A-Za-z가-힣ㄱ-ㅎㅏ-ㅣ]+", " "))
+    kept = "0-9A-Za-z가-힣ㄱ-ㅎㅏ-ㅣ"
+    return F.trim(F.regexp_replace(text, f"[^{kept} ][^{kept}]*| [^{kept}]+", " "))
 
 
 def letters_only(c: Column) -> Column:
     """Keep Hangul syllables, Latin, digits and blanks; everything else is deleted."""
-    spaced = F.regexp_replace(F.coalesce(c, F.lit("")), C.WS + "+", " ")
+    spaced = F.regexp_replace(F.coalesce(c, F.lit("")), C.WS_RUN, " ")
     kept = F.regexp_replace(spaced, "[^가-힣A-Za-z0-9 ]+", "")
     return F.trim(F.regexp_replace(kept, " {2,}", " "))
 

@@ -7,7 +7,7 @@ from lawloom import constants as C
 from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, segment, tables
 from lawloom.operators.order import file_row_index, first_rows
 from lawloom.sources.readers import read_case_table
-from lawloom.sources.writers import write_csv, write_if_any, write_json_lines, write_per_law
+from lawloom.sources.writers import write_csv, write_if_any, write_json_lines, write_per_law, write_quoted_csv
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -90,3 +90,8 @@ def collection_state(names: DataFrame, files: DataFrame, file_format: str, limit
 
 def index_table(pages: DataFrame, **filters) -> DataFrame:
     return normalize.project_if_complete(listing.index_rows(pages, **filters), C.INDEX_COLUMNS + ["page_no", "pos"])
+
+
+def reclean(spark: SparkSession, path: str, out: str) -> None:
+    """Cleans the cells of an existing table and writes it quoted."""
+    write_quoted_csv(tables.clean_frame(read_case_table(spark, path)), out)
