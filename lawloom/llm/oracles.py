@@ -48,6 +48,27 @@ union all
 select doc_id, whole, domain, lang, source, n_tokens, least(n_tokens, part - before)::bigint, budget from placed where before < part
 """
 
+OP2 = r"""
+with crc_table as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t),
+ids as (
+  select doc_id, text, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda ch: ascii(ch)::bigint)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10 = 0 held_out from documents, crc_table),
+docs as (
+  select doc_id, held_out, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), ' ') w from ids),
+tokens as (select doc_id, held_out, unnest(w) v, unnest(list_prepend('  ', w[:-2])) u from docs),
+c1 as (select v, count(*) c from tokens where not held_out group by v),
+ch as (select * from c1 union all select '  ', count(*) from docs where not held_out),
+c2 as (select u, v, count(*) c from tokens where not held_out group by u, v),
+total as (select sum(c)::bigint n, count(*) types from c1),
+scored as (
+  select t.doc_id, t.held_out, c1.c is not null known, (coalesce(c1.c, 0) + 0.1::double) / (n + 0.1::double * (types + 1)) p1, coalesce(ch.c, 0) h, coalesce(c2.c, 0) c
+  from tokens t cross join total left join c1 on t.v = c1.v left join ch on t.u = ch.v left join c2 on t.u = c2.u and t.v = c2.v)
+select doc_id, held_out, count(*) n_tokens, count(*) filter (known) n_known, (select n from total) train_tokens,
+  round(sum(log10(p1)), 6) base_score, round(sum(log10((c + 4 * p1) / (h + 4))), 6) score
+from scored group by doc_id, held_out
+"""
+
 OP5 = """
 with parts as (
   select page_id, url, case when contains(url, '://') then url[strpos(url, '://') + 3:] else '' end rest from pages),
@@ -114,5 +135,5 @@ from docs d left join hit h using (doc_id) left join named n using (doc_id)
 """
 
 ORACLES = {
-    "op1_source_mixing": OP1, "op5_url_filter": OP5, "op6_chat_format": OP6, "op8_exact_dedup": OP8, "op10_decontamination": OP10,
+    "op1_source_mixing": OP1, "op2_lm_score": OP2, "op5_url_filter": OP5, "op6_chat_format": OP6, "op8_exact_dedup": OP8, "op10_decontamination": OP10,
 }

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, decontaminate, exact_dedup, mixing, url_filter
+from lawloom.llm import chat, decontaminate, exact_dedup, language, lm_score, mixing, secret_scan, url_filter
 from lawloom.llm.url_filter import Globs, Rule
 
 
@@ -34,6 +34,12 @@ def op1_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), **mix_options()).drop("text_key", "copies")
 
 
+def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    scores = lm_score.score_texts(table(spark, sf, "documents"), held_out)
+    return scores.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})  # sums of doubles, in no fixed order
+
+
 URL_RULES = [
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow"),
     Rule("net", "/es/", "block"), Rule("net", "/fr/", "block"),
@@ -81,10 +87,26 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LANGUAGES = ["en", "de", "fr", "es"]
+
+
+def language_options() -> dict:
+    """Documents name their language and their source, which stands for the host; the texts to learn from are labelled by the former."""
+    return {"languages": LANGUAGES, "declared": F.col("lang"), "host": F.col("source"), "per_language": 1000, "min_posterior": 0.5}
+
+
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"), **language_options()).drop("text_key", "declared", "host")
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf, "documents")).drop("text_key")
 
 
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return hits.select(
@@ -93,4 +115,4 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op5_url_filter, op6_chat_format, op8_exact_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
