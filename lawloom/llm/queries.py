@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, decontaminate, exact_dedup, language, lm_score, mixing, secret_scan, url_filter
+from lawloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, lm_score, mixing, secret_scan, url_filter
 from lawloom.llm.url_filter import Globs, Rule
 
 
@@ -40,6 +40,10 @@ def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return scores.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})  # sums of doubles, in no fixed order
 
 
+def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.near_copies(table(spark, sf, "documents")).drop("text_key")
+
+
 URL_RULES = [
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow"),
     Rule("net", "/es/", "block"), Rule("net", "/fr/", "block"),
@@ -115,4 +119,4 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op3_jaccard_join, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
