@@ -2,13 +2,21 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import decontaminate, exact_dedup, mixing, queries
+from lawloom.llm import decontaminate, exact_dedup, jaccard_join, language, mixing, queries
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_identified(docs, **queries.language_options())
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.drop_near_copies(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
 
@@ -18,9 +26,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("language ID", language_stage),
     ("exact dedup", exact_dedup_stage),
-    ("decontamination", decontamination_stage),
-    ("mixing", mixing_stage),
+    ("n-gram Jaccard join", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
 ]
 
 #: Language scores and sampled splits have no SQL form; the tests compare the stages with brute force.

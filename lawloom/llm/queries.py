@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, lm_score, mixing, secret_scan, url_filter
+from lawloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, lm_score, mixing, pii, secret_scan, url_filter
 from lawloom.llm.url_filter import Globs, Rule
 
 
@@ -44,6 +44,10 @@ def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.near_copies(table(spark, sf, "documents")).drop("text_key")
 
 
+def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.scan_pii(table(spark, sf, "documents"))
+
+
 URL_RULES = [
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow"),
     Rule("net", "/es/", "block"), Rule("net", "/fr/", "block"),
@@ -119,4 +123,4 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op3_jaccard_join, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op3_jaccard_join, op4_pii, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
