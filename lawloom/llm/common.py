@@ -64,7 +64,7 @@ def keep_decided(docs: DataFrame, decisions: DataFrame, id_column: str = "doc_id
         "changed-rows",
     )
     same = docs[id_column].eqNullSafe(F.col("__gone_id")) & (text_key(text_column) == F.col("__gone_key"))
-    rest = docs.join(changed, same, "left_anti")
+    rest = docs.join(changed.hint("merge"), same, "left_anti")
     repeated = changed.where(F.col("__kept") > 0)
     if repeated.isEmpty():
         return rest

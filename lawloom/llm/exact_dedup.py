@@ -70,7 +70,7 @@ def exact_copies(
     shared = index.where("rows > 1").select(F.col("key").alias("chain_key"), "bucket")
     members = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"), _key(text_column, key_bits).alias("key"))
     members = stored(
-        members.join(shared, members.key == shared.chain_key).drop("chain_key").withColumn("row_id", F.monotonically_increasing_id()),
+        members.join(shared.hint("merge"), members.key == shared.chain_key).drop("chain_key").withColumn("row_id", F.monotonically_increasing_id()),
         "chained-rows",
     )
     chains = members.groupBy("bucket", "key", "text").agg(
