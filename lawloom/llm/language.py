@@ -43,7 +43,7 @@ def labelled_texts(docs: DataFrame, id_column: str, text_column: str, label_colu
     return rows.select(F.col(label_column).alias("label"), text_of(text_column).alias("text"))
 
 
-def fit_texts(labelled: DataFrame, languages: list[str], buckets: int, smoothing: float = 0.2, noise: float = 0.1) -> np.ndarray:
+def fit_texts(labelled: DataFrame, languages: list[str], buckets: int, noise: float = 0.1) -> np.ndarray:
     """(buckets + 1, languages + 1) log likelihoods. The last column is a text of no known language: all trigrams alike.
 
     Each language has a share of `noise`, trigrams that might be any (names, keys, foreign words), so that a few odd ones
@@ -61,9 +61,8 @@ def fit_texts(labelled: DataFrame, languages: list[str], buckets: int, smoothing
     counts = np.zeros((len(languages), buckets))
     for row in labelled.coalesce(4).mapInPandas(count, "language int, counts binary").toLocalIterator():
         counts[row["language"]] += np.frombuffer(row["counts"], np.int32)[:buckets]
-    counts += smoothing
     table = np.zeros((buckets + 1, len(languages) + 1), np.float32)
-    table[:buckets, :-1] = np.log((1 - noise) * counts / counts.sum(1, keepdims=True) + noise / buckets).T
+    table[:buckets, :-1] = np.log((1 - noise) * counts / np.maximum(counts.sum(1, keepdims=True), 1) + noise / buckets).T
     table[:buckets, -1] = -np.log(buckets)
     return table
 

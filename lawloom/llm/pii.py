@@ -19,6 +19,8 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++((?:\.[0-9]++){3})")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: Seven digits close together may be personal data in a form without a base pattern.
+_DOUBTFUL = re.compile(r"[0-9](?:[^A-Za-z]{0,3}[0-9]){6,}")
 _HINT = re.compile(r"[0-9@]")
 
 
@@ -84,7 +86,8 @@ def _draw(kind: str, rng: np.random.Generator, words: list[str]) -> str:
 def labelled_windows(docs: DataFrame, id_column: str, text_column: str, sample_docs: int, sample_windows: int, size: int, seed: int) -> DataFrame:
     """(window, tags): windows of a bounded sample of documents with a digit per character, 0 or the kind's place in ORDER plus 1.
 
-    Spans of the base patterns are labels, and seeded strings of each kind and plain numbers are put between words.
+    Spans of the base patterns are labels; windows with other digits that may be personal data are left out, since nothing is known
+    of them. Seeded strings of each kind and plain numbers are put between words.
     """
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,14 +95,16 @@ def labelled_windows(docs: DataFrame, id_column: str, text_column: str, sample_d
             out = []
             for text in batch["text"]:
                 rng = np.random.default_rng([seed, len(text), *text[:20].encode()])
-                words = text.split()[:200] or ["text"]
+                words = [w for w in text.split() if not _HINT.search(w)][:200] or ["text"]
                 tags = np.zeros(len(text), np.uint8)
                 for a, b, k in base_spans(text):
                     tags[a:b] = ORDER.index(k) + 1
                 spots = [a for a, _, _ in base_spans(text)] + [int(rng.integers(0, len(text) + 1))]
                 for spot in spots[:6]:
                     a = max(0, spot - int(rng.integers(0, size)))
-                    out.append((text[a : a + size], "".join(map(str, tags[a : a + size]))))
+                    window, known = text[a : a + size], tags[a : a + size]
+                    if all(known[m.start() : m.end()].any() for m in _DOUBTFUL.finditer(window)):
+                        out.append((window, "".join(map(str, known))))
                 for kind in [*ORDER, *ORDER, "", ""]:
                     mark = str(ORDER.index(kind) + 1) if kind else "0"
                     drawn, at = _draw(kind, rng, words), int(rng.integers(0, len(words)))

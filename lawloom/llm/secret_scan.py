@@ -47,13 +47,14 @@ def _transitions(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return pairs, np.concatenate([[0], np.cumsum(lengths)])[:-1]
 
 
-def train(values: list[str], smoothing: float = 0.5) -> np.ndarray:
-    """log P(next | last) of a character Markov chain, as a flat table."""
-    counts = np.full((_EDGE + 1) ** 2, smoothing)
+def train(values: list[str], strength: float = 5.0) -> np.ndarray:
+    """log P(next | last) of a character Markov chain, as a flat table; pairs seen little lean on how common the next one is."""
+    counts = np.zeros((_EDGE + 1) ** 2)
     if values:
         counts += np.bincount(_transitions(values)[0], minlength=len(counts))
     counts = counts.reshape(_EDGE + 1, _EDGE + 1)
-    return np.log(counts / counts.sum(1, keepdims=True)).ravel()
+    common = (counts.sum(0) + 0.5) / (counts.sum() + 0.5 * (_EDGE + 1))
+    return np.log((counts + strength * common) / (counts.sum(1, keepdims=True) + strength)).ravel()
 
 
 def generated(n: int, seed: int) -> list[str]:
