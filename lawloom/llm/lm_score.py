@@ -170,7 +170,7 @@ def _walk(grams: Grams, counts: list[np.ndarray], total: int, types: int, streng
 
 def score_texts(
     docs: DataFrame, held_out, id_column: str = "doc_id", text_column: str = "text", order: int = 2, strength: float = 4.0,
-    block_tokens: int = 1_000_000, shard_grams: int = 4_000_000,
+    block_tokens: int = 250_000, shard_grams: int = 2_000_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per row of docs; scores are log10 of the text.
 
