@@ -3,17 +3,25 @@
 Every derived text uses the whole text of its document.
 """
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom.functions.arrays import exploded
-from lawloom.sources.readers import spread_small
 
 FIELD_HEADERS = ["서비스 내용", "규제특례", "부가 조건", "관련규제", "기대 효과", "개선 결과", "기타"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; a local session without one gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lawloom-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def sentences(text: Column) -> Column:

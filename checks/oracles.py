@@ -300,10 +300,10 @@ ORACLES = {
           '<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>([^<]*)') AS t FROM pages),
       u AS (SELECT page_id, generate_subscripts(t, 1) - 1 AS pos, unnest(t) AS t FROM p)
       SELECT page_id, pos, regexp_extract(t, '^<(/?)', 1) = '/' AS is_close, lower(regexp_extract(t, '^</?([A-Za-z0-9]+)', 1)) AS tag,
-        trim(regexp_extract(t, '^</?[A-Za-z0-9]+([^>]*)>', 1), ' ') AS attrs, regexp_extract(t, '>([^<]*)$', 1) AS text FROM u""",
-    "html_text": rf"""SELECT page_id, {collapse('''replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html,
+        trim(regexp_extract(t, '^</?[A-Za-z0-9]+([^>]*)>', 1), ' ') AS attrs, replace(replace(regexp_extract(t, '>([^<]*)$', 1), '&copy;', chr(169)), '&middot;', chr(183)) AS text FROM u""",
+    "html_text": rf"""SELECT page_id, {collapse('''replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html,
         '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!doctype[^>]*>', '', 'g'), '<[^>]*>', ' ', 'g'),
-        '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&')''')} AS text FROM pages""",
+        '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')''')} AS text FROM pages""",
     "html_links": r"""WITH u AS (
         SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS a FROM pages),
       v AS (SELECT page_id, generate_subscripts(a, 1) AS i, unnest(a) AS url FROM u),
@@ -390,8 +390,14 @@ ORACLES = {
       SELECT * FROM r WHERE contains(lower(c_name || ' ' || c_mktsegment), 'auto') AND (date = '미정' OR date BETWEEN '1996-03-01' AND '1998-08-15')""",
     "index_counts": "SELECT event_type AS form_code, count(CASE WHEN value > 5 THEN user_id END) AS n_ids FROM events GROUP BY 1",
     "select_lookup": """SELECT user_id::VARCHAR AS "bdSeq", min(event_id) AS event_id, min_by(event_type, event_id) AS event_type, min_by(props, event_id) AS props
+      FROM events WHERE user_id IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 <> 0) GROUP BY user_id""",
+    "unmatched_ids": """WITH s AS (SELECT CASE WHEN s_suppkey % 7 = 0 THEN s_suppkey + 1000000000 ELSE s_suppkey END AS k FROM supplier)
+      SELECT DISTINCT k::VARCHAR AS "bdSeq" FROM s WHERE k NOT IN (SELECT user_id FROM events)""",
+    "selected_in_order": """SELECT user_id::VARCHAR AS "bdSeq", min(event_id) AS event_id, min_by(event_type, event_id) AS event_type,
+      min_by(props, event_id) AS props, -user_id AS selected_pos
       FROM events WHERE user_id IN (SELECT s_suppkey FROM supplier) GROUP BY user_id""",
-    "unmatched_ids": """SELECT DISTINCT s_suppkey::VARCHAR AS "bdSeq" FROM supplier WHERE s_suppkey NOT IN (SELECT user_id FROM events)""",
+    "csv_roundtrip": "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents",
+    "jsonl_roundtrip": "SELECT doc_id, text, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang FROM documents",
     "distinct_ids": "SELECT DISTINCT l_suppkey::VARCHAR AS l_suppkey FROM lineitem",
     "detail_join": """WITH u AS (SELECT url, min_by(html, page_id) AS html FROM pages GROUP BY url)
       SELECT doc_id, p.url AS detail_url, length(u.html) AS n_html, CASE WHEN u.html IS NULL THEN 'empty' ELSE 'page' END AS src

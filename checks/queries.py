@@ -7,6 +7,7 @@ from checks import inputs as I
 from lawloom import constants as C
 from lawloom.functions.arrays import exploded
 from lawloom.functions import clauses, markup, text as X
+from lawloom.sources import readers, writers
 from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, order, paged, segment, tables
 
 
@@ -369,7 +370,8 @@ def index_counts(spark, sf):
 
 def _index_and_ids(spark, sf):
     index = I.table(spark, sf, "events").select(F.col("user_id").alias("bdSeq"), "event_id", "event_type", "props")
-    ids = I.table(spark, sf, "supplier").select("s_suppkey")
+    key = F.col("s_suppkey")
+    ids = I.table(spark, sf, "supplier").select(F.when(key % 7 == 0, key + 10**9).otherwise(key).alias("s_suppkey"))
     return index, lookup.selected_ids(index, ids)
 
 
@@ -383,6 +385,12 @@ def unmatched_ids(spark, sf):
     return lookup.unmatched(index, ids)
 
 
+def selected_in_order(spark, sf):
+    index, _ = _index_and_ids(spark, sf)
+    ids = I.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("bdSeq"), (-F.col("s_suppkey")).alias("pos"))
+    return lookup.in_order(lookup.lookup(index, ids, ["event_id"]), ids)
+
+
 def distinct_ids(spark, sf):
     return lookup.selected_ids(I.table(spark, sf, "lineitem"), None, "l_suppkey")
 
@@ -448,6 +456,21 @@ def distinct_in_order(spark, sf):
     return dedup.distinct_in_order(I.table(spark, sf, "documents").select("doc_id", "text"), "text", "doc_id")
 
 
+def csv_roundtrip(spark, sf):
+    """Whole texts, line breaks and quotes included, through CSV files and back."""
+    path = I.scratch(spark, "csv")
+    rows = I.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    writers.write_csv(rows, path, bom=False)
+    return readers.read_case_table(spark, f"{path}/*.csv", ["doc_id", "text", "lang", "source"])
+
+
+def jsonl_roundtrip(spark, sf):
+    path = I.scratch(spark, "jsonl")
+    rows = I.table(spark, sf, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"))
+    writers.write_json_lines(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
 def first_n(spark, sf):
     return order.first_rows(I.table(spark, sf, "customer").select("c_custkey", "c_name"), 25, "c_custkey")
 

@@ -53,11 +53,6 @@ PUBLISHER_NAMES = ["국가법령정보센터", "법제처"]
 ARTICLE_GAP_LIMIT = 5
 
 CHAPTER_PATTERN = rf"^제{WS}*\p{{Nd}}+{WS}*장"
-ARTICLE_LINE_PATTERN = rf"^제{WS}*\p{{Nd}}+{WS}*조(?:{WS}*\(.*?\))?{WS}*$"
-ARTICLE_PREFIX_PATTERN = rf"^제{WS}*\p{{Nd}}+{WS}*조"
-HEADING_PATTERN = rf"^제{WS}*(\p{{Nd}}+){WS}*조(?:\((.+?)\))?{WS}*(.*)$"
-LOOSE_HEADING_PATTERN = rf"^제(\p{{Nd}}+)조(?:\((.*?)\))?{WS}*(.*)$"
-BRANCH_HEADING_PATTERN = r"(제\p{Nd}+조(?:의\p{Nd}+)?)"
 HTML_ARTICLE_PATTERN = rf"^(제\p{{Nd}}+조(?:의\p{{Nd}}+)?){WS}*(?:\(([^)]*)\))?"
 CLAUSE_MARKS = "①-⑳"
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lawloom.functions.arrays import CUT, bind, running_sum
-from lawloom.functions.text import collapse, strip, unescape
+from lawloom.functions.text import collapse, decode_entities, strip, unescape
 
 NOT_CONTENT = r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->|!doctype[^>]*>)"
 TAG = r"<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>([^<]*)"
@@ -20,8 +20,8 @@ MARK_A, MARK_B, FIELD = "\x1c", "\x1d", "\x0b"
 
 
 def prepare(html: Column) -> Column:
-    """Scripts, styles, comments and doctype out; control characters to blanks."""
-    body = F.regexp_replace(F.coalesce(html, F.lit("")), NOT_CONTENT, "")
+    """Scripts, styles, comments and doctype out; entities decoded but for those of markup itself; control characters to blanks."""
+    body = bind(F.regexp_replace(F.coalesce(html, F.lit("")), NOT_CONTENT, ""), decode_entities)
     return F.regexp_replace(body, r"[\x0b\x0c\x1c-\x1f\x85]", " ")
 
 
@@ -105,7 +105,7 @@ def node_lines(fragment: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*[\"']?([^\"'>]*)", 1)
+    return unescape(F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*[\"']?([^\"'>]*)", 1))
 
 
 def class_token(token: str) -> str:

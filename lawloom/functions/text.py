@@ -1,5 +1,7 @@
 """Text cleaning as Column expressions; every function takes and returns a Column."""
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -171,8 +173,40 @@ def remove_once(c: Column, part: Column) -> Column:
     return bind(F.struct(c.alias("text"), part.alias("part")), cut)
 
 
+#: Characters that markup itself uses keep their entity until `unescape`.
+_KEPT = {60: "&lt;", 62: "&gt;", 34: "&quot;", 39: "&#39;", 38: "&amp;", 160: "&nbsp;"}
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character entities to characters, but for the six that `unescape` takes last; unknown ones stay."""
+    pairs = [f"{name}\x01{chr(code)}" for name, code in sorted(name2codepoint.items()) if code not in _KEPT]
+    names = F.str_to_map(F.lit("\x02".join(pairs)), F.lit("\x02"), F.lit("\x01"))
+
+    def fixed(part):
+        return bind(F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", 1), lambda name: of_name(part, name))
+
+    def of_name(part, name):
+        hexadecimal = F.conv(F.substring(name, 3, 6), 16, 10)
+        number = F.when(name.rlike("^#[xX]"), hexadecimal).when(F.startswith(name, F.lit("#")), F.substring(name, 2, 7)).try_cast("bigint")
+        return bind(number, lambda n: with_char(part, name, n))
+
+    def with_char(part, name, n):
+        kept = F.lit(None).cast("string")
+        for code, entity in _KEPT.items():
+            kept = F.when(n == code, entity).otherwise(kept)
+        legal = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+        char = F.coalesce(kept, F.when(legal, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")), F.try_element_at(names, name))
+        return bind(char, lambda ch: F.when(ch.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(ch, F.substr(part, F.length(name) + 2))))
+
+    def of_parts(parts):
+        return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(fixed(p))), "")
+
+    odd = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)#?[A-Za-z0-9]+;"
+    return F.when(c.rlike(odd), bind(F.split(c, "&"), of_parts)).otherwise(c)
+
+
 def unescape(c: Column) -> Column:
-    """The named and numeric entities that law and case pages use; '&amp;' last."""
+    """The six entities that `decode_entities` leaves; '&amp;' last."""
     for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]:
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c

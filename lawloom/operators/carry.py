@@ -4,43 +4,44 @@ Rows of a key are cut into blocks of positions. Windows run inside (key, block),
 spreads over many tasks; one small row per block then carries the state from block to block.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 65536
+from lawloom.operators.order import BLOCK, blocked, carried, joined_null_safe, plus, summed
+
+
+def _last(placed: Column | None, value: str) -> Column:
+    """The last non-null value: of a group, by the struct that begins with its place, or of a window in its order."""
+    return F.last(value, ignorenulls=True) if placed is None else F.max_by(value, F.when(F.col(value).isNotNull(), placed.getField("_block")))
 
 
 def fill_forward(df: DataFrame, keys: list[str], pos: str, columns: dict[str, str], block: int = BLOCK) -> DataFrame:
     """Adds, for every output name, the last non-null value of its column up to the row.
 
-    `pos` is a whole number, unique within its key, so a block holds at most `block` rows.
+    `pos` is a whole number, unique within its key, so a block holds at most `block` rows. A NULL key is a key like any
+    other; rows without a position come after none and keep their own value.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(pos) / block))
+    placed = blocked(df.where(F.col(pos).isNotNull()), pos, block)
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
-    local = blocked.withColumns({o: F.last(c, ignorenulls=True).over(inside) for o, c in columns.items()})
-    ends = blocked.groupBy(*keys, "_block").agg(
+    local = placed.withColumns({o: F.last(c, ignorenulls=True).over(inside) for o, c in columns.items()})
+    ends = placed.groupBy(*keys, "_block").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"_end_{o}") for o, c in columns.items()]
     )
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    entries = ends.select(
-        *keys, "_block", *[F.last(f"_end_{o}", ignorenulls=True).over(before).alias(f"_in_{o}") for o in columns]
-    )
-    joined = local.join(entries, [*keys, "_block"], "left")
-    return joined.withColumns({o: F.coalesce(F.col(o), F.col(f"_in_{o}")) for o in columns}).drop(
-        "_block", *[f"_in_{o}" for o in columns]
-    )
+    entries = carried(ends, keys, [f"_end_{o}" for o in columns], _last, F.coalesce)
+    joined = joined_null_safe(local, entries, [*keys, "_block"])
+    filled = joined.withColumns({o: F.coalesce(F.col(o), F.col(f"in__end_{o}")) for o in columns})
+    names = [*df.columns, *[o for o in columns if o not in df.columns]]
+    rest = df.where(F.col(pos).isNull()).withColumns({o: F.col(c) for o, c in columns.items()})
+    return filled.select(*names).unionByName(rest.select(*names))
 
 
 def running_count(df: DataFrame, keys: list[str], pos: str, flag: str, output: str, block: int = BLOCK) -> DataFrame:
-    """Adds the number of rows with `flag` true up to and including the row."""
-    blocked = df.withColumn("_block", F.floor(F.col(pos) / block))
+    """Adds the number of rows with `flag` true up to and including the row; NULL for a row without a position."""
+    placed = blocked(df.where(F.col(pos).isNotNull()), pos, block)
     inside = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.withColumn(output, F.sum(F.col(flag).cast("bigint")).over(inside))
-    totals = blocked.groupBy(*keys, "_block").agg(F.sum(F.col(flag).cast("bigint")).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    entries = totals.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (
-        local.join(entries, [*keys, "_block"], "left")
-        .withColumn(output, F.col(output) + F.col("_before"))
-        .drop("_block", "_before")
-    )
+    one = F.coalesce(F.col(flag).cast("bigint"), F.lit(0))
+    local = placed.withColumn(output, F.sum(one).over(inside))
+    totals = placed.groupBy(*keys, "_block").agg(F.sum(one).alias("_n"))
+    joined = joined_null_safe(local, carried(totals, keys, ["_n"], summed, plus), [*keys, "_block"])
+    counted = joined.withColumn(output, (F.col(output) + F.coalesce("in__n", F.lit(0))).cast("bigint")).select(*df.columns, output)
+    return counted.unionByName(df.where(F.col(pos).isNull()).withColumn(output, F.lit(None).cast("bigint")))

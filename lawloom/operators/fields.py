@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lawloom import constants as C
 from lawloom.functions.arrays import bind, last_of, running_sum
 from lawloom.functions.markup import (
-    FIELD, MARK_A, after_open, block, cells, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare, raw_of,
+    FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare, raw_of,
     cut_at, runs_after, steps, until,
 )
 from lawloom.functions.text import blank_to_null, collapse, compare_key, is_noise, letters_spaced, remove_once, strip_separators
@@ -68,9 +68,9 @@ def content_cell(page: Column) -> Column:
 
 
 def strong_sections(root: Column, title: Column) -> Column:
-    """array<struct<header,body>>: a strong-headed paragraph and the paragraphs up to the next one.
+    """array<struct<header,body>>: a strong-headed paragraph and its sibling paragraphs up to the next one.
 
-    Noise lines and repeats of the service title are left out; sections without text too.
+    Paragraphs deeper in tables or blocks are no siblings, and a section ends with the block that it stands in. Noise lines and repeats of the service title are left out; sections without text too.
     """
     strong = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
@@ -93,14 +93,32 @@ def strong_sections(root: Column, title: Column) -> Column:
             ),
         )
 
-    joined = bind(
-        compare_key(title), lambda key: F.array_join(F.transform(pieces(root, "p"), lambda p: tagged(p, key)), "")
-    )
-    sections = F.transform(
-        runs_after(joined, MARK_A),
-        lambda r: F.struct(F.substring_index(r, FIELD, 1).alias("header"), collapse(F.substring_index(r, FIELD, -1)).alias("body")),
-    )
-    return F.filter(sections, lambda s: s.body != "")
+    def placed(parts, title_key):
+        """Each paragraph with the depth of tables and blocks in which it stands, and a mark where one of those ends."""
+        nested = F.zip_with(parts, running_sum(steps(parts, "table|div")), lambda p, d: F.struct(p.alias("p"), d.cast("string").alias("d")))
+        return F.array_join(F.transform(nested, lambda x: F.when(x["p"].rlike(r"(?i)^<p"), marked(x["p"], x["d"], title_key)).otherwise(
+            F.concat(F.lit(MARK_B), x["d"], F.lit(FIELD + FIELD)))), "")
+
+    def marked(p, depth, title_key):
+        return bind(tagged(p, title_key), lambda t: F.when(
+            F.startswith(t, F.lit(MARK_A)), F.concat(F.lit(MARK_A), depth, F.lit(FIELD), F.substring(t, 2, 2**31 - 1))
+        ).otherwise(F.concat(F.lit(MARK_B), depth, F.lit(FIELD), t)))
+
+    def section(run):
+        return bind(F.split(run, MARK_B), lambda parts: bind(F.split(F.get(parts, F.lit(0)), FIELD), lambda head: of_head(head, parts)))
+
+    def of_head(head, parts):
+        own = F.get(head, F.lit(0)).cast("int")
+        after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.split(p, FIELD))
+        ended = F.array_position(F.transform(after, lambda p: F.get(p, F.lit(0)).cast("int") < own), F.lit(True)).cast("int")
+        siblings = F.slice(after, F.lit(1), F.when(ended > 0, ended - 1).otherwise(F.size(after)))
+        siblings = F.filter(siblings, lambda p: F.get(p, F.lit(0)).cast("int") == own)
+        texts = F.concat(F.array(F.get(head, F.lit(2))), F.transform(siblings, lambda p: F.get(p, F.lit(1))))
+        return F.struct(F.get(head, F.lit(1)).alias("header"), collapse(F.array_join(texts, "")).alias("body"))
+
+    parts = cut_at(root, rf"(?i)(?:</?(?:table|div)(?=[\s>/])|{opens('p')})")
+    joined = bind(compare_key(title), lambda key: bind(parts, lambda ps: placed(ps, key)))
+    return F.filter(F.transform(runs_after(joined, MARK_A), section), lambda s: s.body != "")
 
 
 def header_field(header: Column) -> Column:

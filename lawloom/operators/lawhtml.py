@@ -4,16 +4,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import bind, exploded, split_before
+from lawloom.functions.arrays import bind, exploded, running_sum, split_before
 from lawloom.functions.clauses import clause_array, clause_label, full_text
 from lawloom.functions.markup import (
-    FIELD, MARK_A, MARK_B, block, class_token, cut_at, flow_text, pieces, plain_text, prepare,
+    FIELD, MARK_A, MARK_B, block, class_token, cut_at, flow_text, pieces, plain_text, prepare, steps,
 )
 from lawloom.functions.text import collapse, remove_once
 
 GROUP = rf"(?i)<div{class_token('pgroup')}"
 
 
+def own_part(group: Column) -> Column:
+    """A group up to the end tag of its div; up to the next group when that tag is missing."""
+
+    def closed(parts):
+        return bind(F.array_position(running_sum(steps(parts, "div")), F.lit(0)), lambda at: up_to(parts, at))
+
+    def up_to(parts, at):
+        return F.array_join(F.when(at > 0, F.slice(parts, F.lit(1), (at - 1).cast("int"))).otherwise(parts), "")
+
+    return bind(cut_at(group, r"(?i)</?div\b"), closed)
+
+
 def _with_class(paragraphs: Column, token: str) -> Column:
     return F.filter(paragraphs, lambda p: p.rlike(rf"(?i)^<p{class_token(token)}"))
 
@@ -117,7 +129,7 @@ def supplement_rows(group: Column) -> Column:
 
 def law_html_rows(df: DataFrame, law_name: str = "law_name", html: str = "html", keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows of every law page in page order; law_name is the requested name."""
-    groups = cut_at(prepare(F.col(html)), GROUP)
+    groups = F.transform(cut_at(prepare(F.col(html)), GROUP), own_part)
     tagged = F.array_join(
         F.transform(
             groups,

@@ -69,7 +69,7 @@ def matches_keyword(company: Column, service: Column, keyword: str) -> Column:
 
 def in_date_range(date: Column, since: str | None = None, until: str | None = None) -> Column:
     """Both ends included; a date that does not parse is kept."""
-    parsed = F.try_to_date(date, "yyyy-MM-dd")
+    parsed = F.when(date.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), F.try_to_date(date, "yyyy-M-d"))
     ok = F.lit(True)
     if since:
         ok = ok & (parsed >= F.lit(since).cast("date"))

@@ -44,12 +44,24 @@ def project_if_complete(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def conform(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Common columns in order; absent ones are ''."""
+    """Common columns in order; absent ones are ''.
+
+    The index is a whole number; `1.0` reads as 1. What is no whole number becomes NULL here and is listed by
+    `odd_indexes`.
+    """
     columns = [optional(df, c).alias(c) for c in C.COMMON_COLUMNS if c != "index"]
-    index = optional(df, "index").try_cast("bigint").alias("index")
+    given = F.trim(optional(df, "index").cast("string"))
+    index = F.regexp_extract(given, r"^([+-]?[0-9]{1,18})(?:\.0*)?$", 1).try_cast("bigint").alias("index")
     return df.select(index, *columns, *extra)
 
 
+def odd_indexes(df: DataFrame) -> DataFrame:
+    """(index_text, reason): index cells that `conform` cannot read as a whole number, so that none is lost silently."""
+    given = F.trim(optional(df, "index").cast("string"))
+    odd = given.isNotNull() & (given != "") & ~given.rlike(r"^[+-]?[0-9]{1,18}(?:\.0*)?$")
+    return df.where(odd).select(given.alias("index_text"), F.lit("index is not a whole number").alias("reason"))
+
+
 def _numbered(df: DataFrame, pos: str, column: str | None = None) -> tuple[DataFrame, Column]:
     """The table and its index column: an existing one, else 1..n by `pos`."""
     if column and column in df.columns:

@@ -12,7 +12,6 @@ from lawloom import constants as C
 from lawloom.functions.arrays import exploded, split_before
 from lawloom.functions.text import blank_to_null, lines_of, strip
 from lawloom.operators import segment as S
-from lawloom.session import ensure_checkpoint_dir
 
 
 def _row_lines(text: Column, whole_rows: bool) -> Column:
@@ -33,26 +32,70 @@ def _packed(rows: DataFrame, value: str) -> DataFrame:
     return packed.select("law_name", "blk", F.flatten(F.transform("_p", lambda p: p[value])).alias(value))
 
 
-def guard_entries(rows: DataFrame, rules: S.Rules, checkpoint_dir: str | None = None) -> DataFrame:
+#: A block's effect on the guard, as a list to look a number up in: the first entry within the gap of the last accepted
+#: number says what that number becomes; without one it stays. An entry repeating an earlier number is never the first.
+EFFECT = "array<struct<n:bigint,exit:bigint>>"
+BLOCKS_PER_GROUP = 64
+
+
+def _effect_on(effect: Column, last: Column, gap: int) -> Column:
+    """The last accepted number after a block, from the one before it (NULL: none yet, so any heading is accepted)."""
+    hit = F.get(F.filter(effect, lambda x: last.isNull() | (F.abs(x["n"] - last) <= gap)), F.lit(0))
+    return F.coalesce(hit["exit"], last)
+
+
+def block_effect(numbers: Column, gap: int) -> Column:
+    """Effect of a block's heading numbers, worked out from its end: an accepted number goes on as any earlier one would."""
+    none = F.array().cast(EFFECT)
+
+    def step(later, n):
+        own = F.struct(n.alias("n"), _effect_on(later, n, gap).alias("exit"))
+        return F.concat(F.array(own).cast(EFFECT), F.filter(later, lambda x: x["n"] != n))
+
+    return F.aggregate(F.reverse(F.filter(numbers, lambda n: n.isNotNull())), none, step)
+
+
+def _after(first: Column, second: Column, gap: int) -> Column:
+    """Effect of two neighbours: where the first changes the number the second goes on from there, else the second alone acts."""
+    moved = F.transform(first, lambda x: F.struct(x["n"].alias("n"), _effect_on(second, x["exit"], gap).alias("exit")))
+    more = F.filter(second, lambda y: ~F.exists(first, lambda x: x["n"] == y["n"]))
+    return F.concat(moved, more).cast(EFFECT)
+
+
+def _entered(parts: Column, entry: Column, at: str, gap: int) -> Column:
+    """array<struct<at,entry>>: the last accepted number before each part of an ordered array<struct<at,effect>>."""
+    start = F.struct(entry.cast("bigint").alias("last"), F.array().cast(f"array<struct<{at}:bigint,entry:bigint>>").alias("out"))
+
+    def step(state, part):
+        return F.struct(
+            _effect_on(part["effect"], state["last"], gap).alias("last"),
+            F.concat(state["out"], F.array(F.struct(part[at].alias(at), state["last"].alias("entry")))).alias("out"),
+        )
+
+    return F.aggregate(parts, start, step)["out"]
+
+
+def guard_entries(rows: DataFrame, rules: S.Rules) -> DataFrame:
     """(law_name, blk, entry): the last accepted heading number before every block that has headings.
 
-    Every block starts from a guess and passes its last accepted number on; this is repeated until
-    nothing changes. The first block is right from the start and each round makes at least one more
-    right, so the end is exact. Only heading numbers take part.
+    Each block is described by its effect on the guard. The effects of BLOCKS_PER_GROUP neighbours are composed to one,
+    the groups of a law are walked in order, and their entries are handed down to the blocks. Only heading numbers
+    take part; an effect names each number at most once, so the row of a law has its number of groups times that.
     """
-    ensure_checkpoint_dir(rows.sparkSession, checkpoint_dir)
+    gap = rules.gap_limit
     headings = F.filter("_lines", lambda l: S.is_heading(l, rules) & ~S.is_chapter(l))
     numbers = rows.select("law_name", "blk", "page_no", F.transform(headings, S.heading_number).alias("numbers"))
-    state = _packed(numbers.where(F.size("numbers") > 0), "numbers").withColumn("entry", F.lit(None).cast("bigint"))
-    before = Window.partitionBy("law_name").orderBy("blk")
-    while True:
-        ends = state.withColumn("_last", S.accepted_flags(F.col("numbers"), F.col("entry"), rules.gap_limit).last)
-        moved = ends.withColumn("_next", F.lag("_last").over(before))
-        moved = moved.withColumn("_moved", ~F.col("_next").eqNullSafe(F.col("entry")))
-        moved = moved.select("law_name", "blk", "numbers", F.col("_next").alias("entry"), "_moved").checkpoint()
-        if moved.where("_moved").isEmpty():
-            return moved.select("law_name", "blk", "entry")
-        state = moved.drop("_moved")
+    blocks = _packed(numbers.where(F.size("numbers") > 0), "numbers").select(
+        "law_name", "blk", F.floor(F.col("blk") / BLOCKS_PER_GROUP).alias("grp"), block_effect(F.col("numbers"), gap).alias("effect")
+    )
+    groups = blocks.groupBy("law_name", "grp").agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("blocks"))
+    composed = groups.select("law_name", "grp", F.aggregate(
+        "blocks", F.array().cast(EFFECT), lambda acc, b: _after(acc, b["effect"], gap)
+    ).alias("effect"))
+    laws = composed.groupBy("law_name").agg(F.array_sort(F.collect_list(F.struct("grp", "effect"))).alias("groups"))
+    entries = laws.select("law_name", F.inline(_entered(F.col("groups"), F.lit(None), "grp", gap)))
+    inner = groups.join(entries, ["law_name", "grp"])
+    return inner.select("law_name", F.inline(_entered(F.col("blocks"), F.col("entry"), "blk", gap)))
 
 
 def _summaries(tagged: DataFrame) -> DataFrame:
@@ -101,12 +144,12 @@ def segment_pages(
     rules: S.Rules = S.PAGE_RULES,
     pages_per_block: int = 256,
     whole_rows: bool = False,
-    checkpoint_dir: str | None = None,
 ) -> DataFrame:
     """Law rows of (law_name, page_no, text); `page` is a whole number, unique within its law.
 
     `whole_rows` takes every input row as one line (paragraphs). `ord` is a struct that sorts the
-    rows of a law into reading order. With a heading guard, small jobs run while the plan is built.
+    rows of a law into reading order. Rows without a law name are one law of their own. A text that runs over
+    many blocks is one output value and is therefore gathered in one row.
     """
     law = F.col(law_name)
     rows = pages.select(
@@ -115,14 +158,13 @@ def segment_pages(
         F.floor(F.col(page) / pages_per_block).alias("blk"),
         _kept(_row_lines(F.col(text), whole_rows), law, rules).alias("_lines"),
     )
+    rows = rows.withColumn("law_name", F.coalesce(F.concat(F.lit("="), "law_name"), F.lit("")))
     blocks = _packed(rows, "_lines")
     entry = None
     if rules.gap_limit is not None:
-        blocks = blocks.join(guard_entries(rows, rules, checkpoint_dir), ["law_name", "blk"], "left")
+        blocks = blocks.join(guard_entries(rows, rules), ["law_name", "blk"], "left")
         entry = F.col("entry")
-    ensure_checkpoint_dir(pages.sparkSession, checkpoint_dir)
-    # Read by the summaries and by both kinds of law below: written once, not cut three times.
-    tagged = S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged").checkpoint()
+    tagged = S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged")
     placed = tagged.join(_summaries(tagged), ["law_name", "blk"])
     if not rules.keep_preamble:
         seen = F.col("in_article").isNotNull()
@@ -134,7 +176,8 @@ def segment_pages(
     rejoined = parts.agg(F.array_sort(F.collect_list(F.struct("blk", "text"))).alias("_t")).select(
         "law_name", "ord", *fields, F.array_join(F.transform("_t", lambda t: t.text), " ").alias("text")
     )
-    return whole.unionByName(rejoined)
+    named = F.when(F.col("law_name") != "", F.substring("law_name", 2, 2**31 - 1))
+    return whole.unionByName(rejoined).withColumn("law_name", named)
 
 
 def _cut(placed: DataFrame, fields: list[str]) -> DataFrame:

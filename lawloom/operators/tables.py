@@ -121,34 +121,53 @@ def clean_frame(df: DataFrame) -> DataFrame:
     return df.withColumns({c: clean_cell(F.col(f"`{c}`")) for c in texts})
 
 
-def _url_of(tag: Column, token: str, base: str) -> Column:
+def absolute_url(href: Column, page_url: str) -> Column:
+    """A link as a browser gives it: relative ones against the page's address."""
+    scheme, rest = page_url.split("://", 1)
+    origin = f"{scheme}://{rest.split('/', 1)[0]}"
+    path = page_url.split("?", 1)[0].split("#", 1)[0]
+    folder = path.rsplit("/", 1)[0] + "/" if path.count("/") > 2 else origin + "/"
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(F.startswith(href, F.lit("//")), F.concat(F.lit(scheme + ":"), href))
+        .when(F.startswith(href, F.lit("/")), F.concat(F.lit(origin), href))
+        .when(F.startswith(href, F.lit("?")), F.concat(F.lit(path), href))
+        .otherwise(F.concat(F.lit(folder), F.regexp_replace(href, r"^\./", "")))
+    )
+
+
+def _url_of(tag: Column, token: str, base: str, page_url: str | None) -> Column:
     href, onclick = strip(attribute(tag, "href")), strip(F.regexp_extract(tag, r"(?is)\sonclick\s*=\s*(?:\"([^\"]*)|'[^']*)", 0))
     by_id = F.regexp_extract(onclick, r"id=([0-9]{1,10})", 1)
     by_call = F.regexp_extract(onclick, r"['\"]?([0-9]{1,10})['\"]?\)", 1)
     return (
-        F.when(F.contains(href, F.lit(token)), href)
+        F.when(F.contains(href, F.lit(token)), absolute_url(href, page_url) if page_url else href)
         .when(by_id != "", F.concat(F.lit(base), by_id))
         .when(by_call != "", F.concat(F.lit(base), by_call))
     )
 
 
-def row_link(row: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DETAIL_BASE) -> Column:
-    """Detail link of a list row: the row tag, its fifth cell and what is in it, then links and buttons."""
+def row_link(row: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DETAIL_BASE, page_url: str | None = None) -> Column:
+    """Detail link of a list row: the row tag, its fifth cell and what is in it, then links and buttons.
+
+    With `page_url` relative links are resolved against it.
+    """
     fifth = F.get(F.filter(pieces(row, "td|th"), lambda c: c.rlike("(?i)^<td")), F.lit(4))
     tags = F.concat(
         F.array(open_tag(row)),
         F.coalesce(F.regexp_extract_all(fifth, F.lit(ANY_TAG), F.lit(0)), F.array().cast("array<string>")),
         F.regexp_extract_all(row, F.lit(rf"(?i){opens('a|button|em')}[^>]*>"), F.lit(0)),
     )
-    return F.get(F.filter(F.transform(tags, lambda t: _url_of(t, token, base)), lambda u: u.isNotNull()), F.lit(0))
+    return F.get(F.filter(F.transform(tags, lambda t: _url_of(t, token, base, page_url)), lambda u: u.isNotNull()), F.lit(0))
 
 
 def page_links(
-    page: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DETAIL_BASE, literal: str = C.FIN_DETAIL_LITERAL
+    page: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DETAIL_BASE, literal: str = C.FIN_DETAIL_LITERAL,
+    page_url: str | None = None,
 ) -> Column:
-    """All detail links of a list page, in first-seen order without repeats."""
+    """All detail links of a list page, in first-seen order without repeats; relative ones against `page_url`, else `base`."""
     table = list_table(page)
-    rows = F.transform(_body_rows(table), lambda r: row_link(r, token, base))
+    rows = F.transform(_body_rows(table), lambda r: row_link(r, token, base, page_url or base))
     row_links = F.coalesce(F.filter(rows, lambda u: u.isNotNull()), F.array().cast("array<string>"))
     literals = F.regexp_extract_all(page, F.lit(literal), F.lit(0))
     calls = F.transform(

@@ -1,7 +1,6 @@
 """Session settings that the library relies on."""
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +12,8 @@ def local_session(cpus: int | None = None, app: str = "lawloom") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus or os.cpu_count() or 8))
+        .config("spark.sql.files.minPartitionNum", cores if cpus else str(os.cpu_count() or 8))
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -20,18 +21,3 @@ def local_session(cpus: int | None = None, app: str = "lawloom") -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-
-
-def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir.
-
-    Where none is set, `folder` serves, or in local mode a new temporary one; on a cluster a
-    missing setting is an error, since executors would not share a machine's own folder.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        folder = named or folder or (tempfile.mkdtemp(prefix="checkpoint-") if context.master.startswith("local") else None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)

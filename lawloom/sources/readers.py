@@ -1,6 +1,6 @@
 """Reading case tables, law-name lists, documents and file listings."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,23 +8,18 @@ from lawloom.functions.arrays import exploded
 from lawloom.functions.text import file_stem, lines_of
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use every core on an input of few splits; large inputs keep their scan partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_case_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_case_table(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """A case source by suffix; every cell is text, casts come later.
 
-    Without `columns` the names come from the header line. A missing path is Spark's own error.
+    Without `columns` the names come from the header line. A missing path is Spark's own error. Cells may hold line
+    breaks; a file is then read by one task. `multi_line=False` lets Spark split large files whose cells hold none.
     """
     suffix = path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
     if suffix == "parquet":
         return spark.read.parquet(path)
     if suffix != "csv":
         raise ValueError(f"unknown file format: {suffix!r}")
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("encoding", "UTF-8")
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -41,13 +36,18 @@ def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool = Fa
     return files.select("path", "length", "modificationTime", file_stem(F.col("path")).alias("law_name"))
 
 
+def metadata_path() -> Column:
+    """Path of the file that a row was read from, as it is named on disk; Spark gives it in URI encoding."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 PDF_GLOB, DOCX_GLOB, DOC_GLOB = "*.[pP][dD][fF]", "*.docx", "*.doc"
 
 
 def read_law_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
     """(law_name, text): one text file per law, the name from the file name."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    return files.text(folder).select(file_stem(F.col("_metadata.file_path")).alias("law_name"), F.col("value").alias("text"))
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    return files.select(file_stem(metadata_path()).alias("law_name"), F.col("value").alias("text"))
 
 
 def page_lines(pages: DataFrame, keys: list[str], page: str = "page_no", text: str = "text") -> DataFrame:

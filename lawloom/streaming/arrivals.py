@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from lawloom.functions.text import file_stem
 from lawloom.operators import segment
+from lawloom.sources.readers import metadata_path
 
 
 def arriving_texts(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """(law_name, text) of finished files; unfinished downloads are passed over."""
-    reader = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
-    texts = reader.option("pathGlobFilter", "*.txt").schema("value string").text(folder)
-    path = F.col("_metadata.file_path")
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).schema("value string")
+    texts = reader.text(folder, wholetext=True, pathGlobFilter="*.txt")
+    path = metadata_path()
     return texts.where(~F.endswith(path, F.lit(".crdownload"))).select(file_stem(path).alias("law_name"), F.col("value").alias("text"))
 
 

@@ -6,13 +6,22 @@ import pytest
 
 from lawloom.operators import paged
 from lawloom.operators import segment as S
-from tests.test_segment import CASES, loop_rows, random_lines
+from tests.test_segment import random_lines, rows_of
+
+
+RULES = {"page": S.PAGE_RULES, "paragraph": S.PARAGRAPH_RULES}
+
+
+def paged_rows(pages, **options):
+    got = {}
+    for r in sorted(paged.segment_pages(pages, **options).collect(), key=lambda r: r.ord):
+        got.setdefault(r.law_name, []).append((r.chapter, r.article_number, r.article_title, r.clause_number, r.text))
+    return got
 
 
 @pytest.mark.parametrize("case", ["page", "paragraph"])
 @pytest.mark.parametrize("per_block", [1, 3])
-def test_pages_equal_loop(spark, tmp_path, case, per_block):
-    rules, flags = CASES[case]
+def test_pages_give_the_rows_of_the_whole_text(spark, case, per_block):
     rng = random.Random(11)
     docs = {f"법{i}": random_lines(rng) + random_lines(rng) + random_lines(rng) for i in range(60)}
     rows = []
@@ -23,12 +32,38 @@ def test_pages_equal_loop(spark, tmp_path, case, per_block):
             rows.append((name, page, "\n".join(lines[at : at + n]) if n else None))
             at, page = at + n, page + 1
     df = spark.createDataFrame(rows, "law_name string, page_no int, text string")
-    out = paged.segment_pages(df, rules=rules, pages_per_block=per_block, checkpoint_dir=str(tmp_path))
-    got = {name: [] for name in docs}
-    for r in sorted(out.collect(), key=lambda r: r.ord):
-        got[r.law_name].append((r.chapter, r.article_number, r.article_title, r.clause_number, r.text))
-    for name, lines in docs.items():
-        assert got[name] == loop_rows(lines, **flags), (name, lines)
+    got = paged_rows(df, rules=RULES[case], pages_per_block=per_block)
+    whole = rows_of(spark, list(docs.values()), RULES[case])
+    for i, name in enumerate(docs):
+        assert got.get(name, []) == whole[i], (name, docs[name])
+
+
+def test_guard_over_many_blocks_needs_no_jobs(spark):
+    rng = random.Random(4)
+    rows, entries = [], {}
+    for law in range(6):
+        last = None
+        for page in range(300):
+            numbers = [rng.randint(1, 60) for _ in range(rng.choice([0, 1, 2, 3]))]
+            rows.append((f"l{law}", page, page // 2, [f"제{n}조" for n in numbers]))
+            if page % 2 == 0:
+                entries[f"l{law}", page // 2] = last
+            for n in numbers:
+                last = n if last is None or abs(n - last) <= 5 else last
+    df = spark.createDataFrame(rows, "law_name string, page_no int, blk long, _lines array<string>")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("guard"))
+    spark.sparkContext.setJobGroup("guard", "planning")
+    plan = paged.guard_entries(df, S.PAGE_RULES)
+    assert jobs() == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for r in plan.collect():
+        assert r.entry == entries[r.law_name, r.blk]
+
+
+def test_rows_without_a_law_name_are_kept(spark):
+    rows = [(None, 0, "제1조(가)\n하나"), (None, 1, "둘"), ("갑", 0, "제1조(나)\n셋")]
+    got = paged_rows(spark.createDataFrame(rows, "law_name string, page_no int, text string"), pages_per_block=1)
+    assert got == {None: [(None, "제1조", "가", None, "하나 둘")], "갑": [(None, "제1조", "나", None, "셋")]}
 
 
 def test_paragraph_rows_keep_inner_breaks(spark):
