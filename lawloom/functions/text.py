@@ -220,8 +220,7 @@ def null_word_to_blank(c: Column) -> Column:
 
 
 def is_noise(c: Column) -> Column:
-    t = F.coalesce(c, F.lit(""))
-    return ~t.rlike(C.NOT_WS) | t.rlike("|".join(C.NOISE_TOKENS))
+    return bind(F.coalesce(c, F.lit("")), lambda t: ~t.rlike(C.NOT_WS) | t.rlike("|".join(C.NOISE_TOKENS)))
 
 
 def signature(texts: Column, n: int = 5) -> Column:

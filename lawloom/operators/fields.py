@@ -195,11 +195,20 @@ def labelled_text(lines: Column, field: str) -> Column:
 
     def of_alias(alias):
         value = collapse(F.regexp_extract(lines, rf"{alias}{C.WS}*[:：]{C.WS}*(.+)", 1))
-        return F.when(~is_noise(value), value)
+        return bind(value, lambda v: F.when(~is_noise(v), v))
 
     return F.coalesce(*[of_alias(a) for a in C.FIELD_ALIASES[field]])
 
 
+def _found(rule: str):
+    """Function of a value: (value, src) where there is one."""
+
+    def found(value: Column) -> Column:
+        return F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit(rule).alias("src")))
+
+    return found
+
+
 def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명", exact_labels: bool = False) -> DataFrame:
     """Adds the six fields and their `src_` columns: strong, pairs, label, fallback or empty.
 
@@ -226,8 +235,8 @@ def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명",
         if f == "서비스 내용":
             rules.append(("fallback", F.when(~is_noise(F.col("_whole")), F.col("_whole"))))
         rules.append(("empty", F.lit("")))
-        picked = [F.struct(v.alias("value"), F.lit(name).alias("src")) for name, v in rules]
-        found["_f_" + f] = F.coalesce(*[F.when(p.value.isNotNull(), p) for p in picked])
+        picked = [bind(v, _found(name)) for name, v in rules]
+        found["_f_" + f] = F.coalesce(*picked)
     df = df.withColumns(found).drop("_page", "_root", "_strong", "_pairs", "_lines", "_whole")
     return df.withColumns(
         {f: F.col(f"_f_{f}.value") for f in C.FIELDS} | {f"src_{f}": F.col(f"_f_{f}.src") for f in C.FIELDS}

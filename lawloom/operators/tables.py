@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import last_of
+from lawloom.functions.arrays import bind, last_of
 from lawloom.functions.markup import (
-    after_open, attribute, block, cells, cells_of, inside, line_text, open_tag, opens, pieces, prepare, until,
+    after_open, attribute, block, cells, cells_of, inside, line_text, open_tag, opens, pieces, prepare, raw_of, until,
 )
 from lawloom.functions.text import blank_to_null, clean_cell, keep_law_lines, null_word_to_blank, strip
 
@@ -64,9 +64,11 @@ def label_rows(table: Column) -> Column:
     """array<struct<label,value>>: the first header cell, else a short first cell, and the last data cell."""
 
     def row(r):
-        ths, tds = cells_of(r, "th"), cells_of(r, "td")
-        first = _shown(F.get(tds, F.lit(0)))
-        label = F.when(F.size(ths) > 0, _shown(F.get(ths, F.lit(0)))).otherwise(F.when(F.length(first) <= 12, first))
+        return bind(cells(r), lambda c: bind(raw_of(c, "th"), lambda ths: bind(raw_of(c, "td"), lambda tds: of_cells(ths, tds))))
+
+    def of_cells(ths, tds):
+        short = bind(_shown(F.get(tds, F.lit(0))), lambda first: F.when(F.length(first) <= 12, first))
+        label = F.when(F.size(ths) > 0, _shown(F.get(ths, F.lit(0)))).otherwise(short)
         return F.struct(
             F.replace(F.coalesce(label, F.lit("")), F.lit(" "), F.lit("")).alias("label"),
             F.coalesce(_shown(last_of(tds)), F.lit("")).alias("value"),

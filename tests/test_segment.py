@@ -29,7 +29,7 @@ WORKED = [
         [("제1조", "가", None, "하나"), ("제40조", "나", None, "둘"), ("제5조", "다", None, "셋")],
     ),
     (["제1조(가)", "제2조(나)", "① ", "제2장 다음", "② 뒤"], [("제2장 다음", "제2조", "나", "②", "뒤")], [("제2장 다음", "제2조", "나", "②", "뒤")]),
-    (["① 머리", "글"], [(None, None, None, "①", "머리 글")], [(None, None, None, "①", "머리 글")]),
+    (["① 머리", "글"], [(None, None, None, "①", "머리")], [(None, None, None, "①", "머리 글")]),
 ]
 
 
