@@ -107,3 +107,25 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n])
     return h
+
+
+def key_filter(keys: DataFrame, filter_bits: int) -> np.ndarray:
+    """Bit array of a fixed size with two bits per key: at most filter_bits / 64 rows come to the driver, however many keys there are."""
+    bits = keys.select(F.explode(F.array(
+        F.pmod(F.col("key"), F.lit(filter_bits)), F.pmod(F.shiftrightunsigned("key", 32), F.lit(filter_bits)),
+    )).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 64) as int))")).alias("mask")
+    ).toPandas()
+    out = np.zeros(filter_bits // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def may_hold(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which keys a key_filter may hold; those that it holds are never missed."""
+    n = np.uint64(len(bits) * 64)
+    found = np.ones(len(keys), bool)
+    for at in (keys % n, (keys >> np.uint64(32)) % n):
+        found &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return found

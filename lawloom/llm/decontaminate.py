@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import WordHashes, shingle_hashes, stored, text_of
+from lawloom.llm.common import WordHashes, key_filter, may_hold, shingle_hashes, stored, text_of
 
 #: A word is a run of digits, ASCII letters and non-ASCII characters; A-Z are lower-cased.
 _SEPARATORS = bytes(range(0x00, 0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x80))
@@ -51,27 +51,6 @@ def item_windows(items: DataFrame, id_column: str, text_column: str, window: int
     return rows.mapInPandas(cut, "item_id string, words string, size int, shingle int, keys array<long>")
 
 
-def _key_filter(keys: DataFrame, filter_bits: int) -> np.ndarray:
-    """Bit array of a fixed size with two bits per key: at most filter_bits / 64 rows come to the driver, whatever the items are."""
-    bits = keys.select(F.explode(F.array(
-        F.pmod(F.col("key"), F.lit(filter_bits)), F.pmod(F.shiftrightunsigned("key", 32), F.lit(filter_bits)),
-    )).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 64) as int))")).alias("mask")
-    ).toPandas()
-    out = np.zeros(filter_bits // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
-    return out.view(np.uint64)
-
-
-def _hit(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    n = np.uint64(len(bits) * 64)
-    found = np.ones(len(keys), bool)
-    for at in (keys % n, (keys >> np.uint64(32)) % n):
-        found &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return found
-
-
 def benchmark_hits(
     docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_id_column: str = "item_id",
     item_text_column: str = "text", window: int = 10, shingle: int = 5, filter_bits: int = 2**23,
@@ -89,7 +68,7 @@ def benchmark_hits(
     """
     windows = stored(item_windows(items, item_id_column, item_text_column, window, shingle), "windows")
     sizes = sorted(r["shingle"] for r in windows.select("shingle").distinct().collect())  # at most `shingle` numbers
-    bits = {n: _key_filter(windows.where(F.col("shingle") == n).select(F.explode("keys").alias("key")), filter_bits) for n in sizes}
+    bits = {n: key_filter(windows.where(F.col("shingle") == n).select(F.explode("keys").alias("key")), filter_bits) for n in sizes}
     shared_bits = docs.sparkSession.sparkContext.broadcast(bits)
 
     def note(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,7 +81,7 @@ def benchmark_hits(
                 key, pos, start, near = [], [], [], []
                 for size, filt in filters.items():
                     run = shingle_hashes(hashed, size)
-                    for p in np.flatnonzero(_hit(run, filt)).tolist():
+                    for p in np.flatnonzero(may_hold(run, filt)).tolist():
                         first = max(0, p - window + size)
                         key.append(int(run[p : p + 1].view(np.int64)[0]))
                         pos.append(p)

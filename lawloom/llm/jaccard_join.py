@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import WordHashes, keep_decided, mixed, shingle_hashes, stored, text_of
+from lawloom.llm.common import WordHashes, keep_decided, key_filter, may_hold, mixed, shingle_hashes, stored, text_of
 
 _SKETCH = 64  # bytes, one per permutation
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -88,9 +88,12 @@ def _pack_pairs(rows: np.ndarray, cross: bool, key: int, similarity: float) -> t
     m = len(members)
     # equal bytes estimate the similarity with a deviation of sqrt(s (1 - s) / 64); 4.5 of them below is still a candidate
     least = (similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / _SKETCH)) * _SKETCH
-    same = np.zeros((m, m), np.int16)
-    for c in range(_SKETCH):
-        same += sketches[:, None, c] == sketches[None, :, c]
+    if m <= 32:
+        same = (sketches[:, None] == sketches[None]).sum(2)
+    else:
+        same = np.zeros((m, m), np.int16)
+        for c in range(_SKETCH):
+            same += sketches[:, None, c] == sketches[None, :, c]
     sizes = heads[:, 1]
     may = (same >= least) & (np.minimum(sizes[:, None], sizes[None, :]) >= similarity * np.maximum(sizes[:, None], sizes[None, :]) - 1e-9)
     may &= np.triu(np.ones((m, m), bool), 1)
@@ -126,7 +129,7 @@ def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.99999,
-    depth: int = 3, bucket: int = 256, seed: int = 11, shard_bytes: int = 32_000_000,
+    depth: int = 3, bucket: int = 256, seed: int = 11, shard_bytes: int = 32_000_000, filter_bits: int = 2**23,
 ) -> DataFrame:
     """(doc_id, class_id, n_links, class_size, kept, text_key): one row per row of docs.
 
@@ -175,14 +178,27 @@ def near_copies(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.max("size").alias("size"), F.min("row_id").alias("row_id")
     )
 
+    def continued(d: int, bits: np.ndarray) -> DataFrame:
+        """(key, node): step d of the paths that have ended in a large bucket. Some more may pass the filter; that only finds pairs again."""
+        shared_bits = docs.sparkSession.sparkContext.broadcast(bits)
+
+        def go_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                batch = batch.drop_duplicates("node")  # copies go the same ways
+                at = np.repeat(np.arange(len(batch)), batch["keys"].map(len))
+                keys, parents = (np.concatenate([np.empty(0, np.int64), *batch[c]]) for c in ("keys", "parents"))
+                on = may_hold(parents.view(np.uint64), shared_bits.value)
+                yield pd.DataFrame({"key": keys[on], "node": batch["node"].to_numpy()[at[on]]})
+
+        return known.select("node", F.col(f"key{d}").alias("keys"), F.col(f"parent{d}").alias("parents")).mapInPandas(go_on, "key long, node long")
+
     # buckets, step by step
     ends, large = [], None
     for d in range(depth):
-        level = known.select("node", F.explode(F.arrays_zip(F.col(f"key{d}").alias("key"), F.col(f"parent{d}").alias("parent"))).alias("p"))
-        level = level.select("node", "p.key", "p.parent")
-        if large is not None:
-            level = level.join(large.select(F.col("key").alias("parent")), "parent", "left_semi")
-        level = level.select("key", "node")
+        if large is None:
+            level = known.select("node", F.explode("key0").alias("key"))
+        else:
+            level = stored(continued(d, key_filter(large.select("key"), filter_bits)), "continued")
         shared = level.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("key")
         members = stored(level.join(shared.hint("merge"), "key").distinct(), "members")
         counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
