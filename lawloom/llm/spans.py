@@ -54,9 +54,13 @@ def uncovered(spans: list[Span], base: list[Span]) -> list[Span]:
 
 
 def sampled(docs: DataFrame, id_column: str, text_column: str, rows: int) -> DataFrame:
-    """(text): at most `rows` texts, those whose ids hash lowest; each task keeps no more than that."""
-    picked = docs.select(F.xxhash64(F.col(id_column)).alias("rank"), text_of(text_column).alias("text"))
-    return picked.orderBy("rank", F.xxhash64("text")).limit(rows).select("text")
+    """(text): at most `rows` texts, those whose ids hash lowest.
+
+    The hash that takes in so many is found from the ids alone; only the texts up to it are read on.
+    """
+    rank = F.xxhash64(F.col(id_column))
+    last = docs.select(rank.alias("rank")).orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
+    return docs.where(rank <= F.lit(last)).select(text_of(text_column).alias("text")).limit(rows)
 
 
 def batches_of(batches: Iterator, rows: int) -> Iterator:
