@@ -52,7 +52,7 @@ URL_RULES = [
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow"),
     Rule("net", "/es/", "block"), Rule("net", "/fr/", "block"),
 ]
-URL_GLOBS = Globs(block=("*casino*", "*free-bets*", "*cheap-pills*", "*.ads-*", "*/ads/*", "*[?]popup=*".replace("[?]", "?")))
+URL_GLOBS = Globs(block=("*casino*", "*free-bets*", "*cheap-pills*", "*.ads-*", "*/ads/*", "*?popup=*"))
 
 
 def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ def test_each_stage_decides_and_the_run_is_their_sequence(spark, tmp_path):
     passage = prose(500, 40)
     near = prose(600, 100)
     more = [
-        (20, "漢字仮名交文字列一二三四五六七八九十" * 9, "en", "src1"), (21, prose(21, 60), "en", "src2"), (22, prose(21, 60), "en", "src3"),
+        (20, "漢字仮名交文字列一二三四五六七八九十" * 9, "zh", "src1"), (21, prose(21, 60), "en", "src2"), (22, prose(21, 60), "en", "src3"),
         (23, near, "en", "src1"), (24, near.replace(near.split()[50], "changed", 1), "en", "src1"), (25, f"{prose(25, 30)} {passage}", "en", "src7"),
         *((30 + i, prose(1000 + i, 80), "en", f"src{i % 20}") for i in range(60)),
     ]
