@@ -1,5 +1,6 @@
 """Language of documents and pages: text likelihoods fused with declared language, address suffix and host priors."""
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -37,6 +38,12 @@ def labelled_texts(docs: DataFrame, id_column: str, text_column: str, label_colu
     """(label, text): at most per_language labelled texts of each language, those whose ids hash lowest."""
     ids = docs.select(F.col(id_column).alias("doc_id"), F.col(label_column).alias("label"), F.xxhash64(F.col(id_column)).alias("rank"))
     ids = ids.where(F.col("label").isin(languages))
+    # hashes are even, so the lowest ones lie under a bound; only few rows more than wanted are then ranked
+    bound = F.lit(None).cast("long")
+    for row in ids.groupBy("label").count().collect():  # one row per language
+        share = min(1.0, (per_language + 5 * math.sqrt(per_language)) / row["count"])
+        bound = F.when(F.col("label") == row["label"], min(2**63 - 1, int(share * 2**64) - 2**63)).otherwise(bound)
+    ids = ids.where(F.col("rank") <= bound)
     ids = ids.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("rank", "doc_id"))).where(F.col("n") <= per_language)
     few = F.broadcast(ids.select(F.col("doc_id").alias("few_id")).distinct())  # at most per_language ids per language
     rows = docs.join(few, docs[id_column] == F.col("few_id"), "left_semi")
