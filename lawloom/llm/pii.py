@@ -19,9 +19,11 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++((?:\.[0-9]++){3})")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Seven digits close together may be personal data in a form without a base pattern.
-_DOUBTFUL = re.compile(r"[0-9](?:[^A-Za-z]{0,3}[0-9]){6,}")
+#: Seven digits close together, or an at sign written in some way, may be personal data in a form without a base pattern.
+_DOUBTFUL = re.compile(r"[0-9](?:[^A-Za-z]{0,3}[0-9]){6,}|@|[(\[]at[)\]]")
 _HINT = re.compile(r"[0-9@]")
+#: What any span of the tagger holds, see _plausible. An "at" cut off on both sides is a span of two letters, which is refused.
+_TELLING = re.compile(r"[0-9@]|\bat|at\b")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -86,7 +88,7 @@ def _draw(kind: str, rng: np.random.Generator, words: list[str]) -> str:
 def labelled_windows(docs: DataFrame, id_column: str, text_column: str, sample_docs: int, sample_windows: int, size: int, seed: int) -> DataFrame:
     """(window, tags): windows of a bounded sample of documents with a digit per character, 0 or the kind's place in ORDER plus 1.
 
-    Spans of the base patterns are labels; windows with other digits that may be personal data are left out, since nothing is known
+    Spans of the base patterns are labels; windows with other digits or at signs that may be personal data are left out, since nothing is known
     of them. Seeded strings of each kind and plain numbers are put between words.
     """
 
@@ -95,7 +97,7 @@ def labelled_windows(docs: DataFrame, id_column: str, text_column: str, sample_d
             out = []
             for text in batch["text"]:
                 rng = np.random.default_rng([seed, len(text), *text[:20].encode()])
-                words = [w for w in text.split() if not _HINT.search(w)][:200] or ["text"]
+                words = [w for w in text.split() if not _HINT.search(w) and not _DOUBTFUL.search(w)][:200] or ["text"]
                 tags = np.zeros(len(text), np.uint8)
                 for a, b, k in base_spans(text):
                     tags[a:b] = ORDER.index(k) + 1
@@ -148,26 +150,37 @@ def tagged_spans(texts: list[str], tagger: Tagger, size: int, overlap: int, rows
     """Per text the spans of the tagger.
 
     Windows of `size` characters overlap by `overlap`; each place takes its tag from the window in which it lies farther
-    from the edge, and spans are read from the whole text's tags. Every span must hold a digit or @, so windows
-    without any cannot give one and need no decoding.
+    from the edge, and spans are read from the whole text's tags. The spans are those of decoding every window: a span that
+    _plausible lets through holds a match of _TELLING, so windows are decoded from those matches on, and then their neighbours as long
+    as a tag goes on over the border. What is never decoded holds no place of such a span.
     """
-    windows = []
-    for i, text in enumerate(texts):
-        marks = np.unique([max(0, m.start() - k) // (size - overlap) for m in _HINT.finditer(text) for k in (0, overlap)])
-        windows += [(i, int(w) * (size - overlap)) for w in marks]
+    step, edge = size - overlap, overlap // 2
+    last = [max(0, -(-(len(text) - overlap) // step) - 1) for text in texts]
+    todo = [
+        (i, w) for i, text in enumerate(texts) for w in sorted({min(last[i], max(0, m.start() - edge) // step) for m in _TELLING.finditer(text)})
+    ]
+    seen = set(todo)
     tags: dict[int, np.ndarray] = {}
-    for at in range(0, len(windows), rows):
-        part = windows[at : at + rows]
-        codes = np.zeros((len(part), size), np.uint8)
-        for k, (i, a) in enumerate(part):
-            own = char_classes(texts[i][a : a + size])
-            codes[k, : len(own)] = own
-        for (i, a), path in zip(part, tagger.decode(codes)):
-            if i not in tags:
-                tags[i] = np.zeros(len(texts[i]), np.uint8)
-            first = a + (overlap // 2 if a else 0)
-            last = min(a + size - overlap // 2, len(texts[i])) if a + size < len(texts[i]) else len(texts[i])
-            tags[i][first:last] = path[first - a : last - a]
+    while todo:
+        further = []
+        for at in range(0, len(todo), rows):
+            part = todo[at : at + rows]
+            codes = np.zeros((len(part), size), np.uint8)
+            for k, (i, w) in enumerate(part):
+                own = char_classes(texts[i][w * step : w * step + size])
+                codes[k, : len(own)] = own
+            for (i, w), path in zip(part, tagger.decode(codes)):
+                if i not in tags:
+                    tags[i] = np.zeros(len(texts[i]), np.uint8)
+                a = w * step
+                begin, end = a + edge if w else 0, a + step + edge if w < last[i] else len(texts[i])
+                tags[i][begin:end] = path[begin - a : end - a]
+                if w and tags[i][begin]:
+                    further.append((i, w - 1))
+                if w < last[i] and tags[i][end - 1]:
+                    further.append((i, w + 1))
+        todo = sorted(set(further) - seen)
+        seen.update(todo)
     out: list[list[Span]] = [[] for _ in texts]
     for i, tag in tags.items():
         edges = np.flatnonzero(np.diff(tag, prepend=0, append=0))

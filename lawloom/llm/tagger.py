@@ -19,7 +19,10 @@ def char_classes(text: str) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.negative(x)
+    np.exp(out, out)
+    out += 1
+    return np.divide(1, out, out)
 
 
 class Tagger:

@@ -6,7 +6,7 @@ import numpy as np
 
 from lawloom.llm import pii, secret_scan
 from lawloom.llm.spans import base_spans
-from lawloom.llm.tagger import Tagger
+from lawloom.llm.tagger import Tagger, char_classes
 from tests.llm.helpers import awkward, no_rows, prose, rows_of
 
 
@@ -117,3 +117,69 @@ def test_pii_scan(spark):
     assert sum(by[200 + i]["n_added"] for i in range(30)) >= 20  # forms without a base pattern, held out from training
     assert by[2]["spans"] == by[3]["spans"] == ""
     assert pii.scan_pii(no_rows(docs)).count() == 0
+
+
+def all_windows(texts, tagger, size, overlap):
+    """tagged_spans, by decoding every window of every text."""
+    out = []
+    for text in texts:
+        tag = np.zeros(len(text), np.uint8)
+        a = 0
+        while text:
+            codes = np.zeros((1, size), np.uint8)
+            own = char_classes(text[a : a + size])
+            codes[0, : len(own)] = own
+            begin = a + overlap // 2 if a else 0
+            tag[begin : a + size] = tagger.decode(codes)[0][begin - a : len(own)]
+            if a + size >= len(text):
+                break
+            a += size - overlap
+        spans, a = [], 0
+        while a < len(text):
+            b = a + 1
+            while b < len(text) and tag[b] == tag[a]:
+                b += 1
+            c, d = a, b
+            while tag[a] and d > c and not text[d - 1].isalnum():
+                d -= 1
+            while tag[a] and c < d and not (text[c].isalnum() or text[c] in "+("):
+                c += 1
+            if tag[a] and d > c and pii._plausible(text[c:d], pii.ORDER[tag[a] - 1]):
+                spans.append((c, d, pii.ORDER[tag[a] - 1]))
+            a = b
+        out.append(spans)
+    return out
+
+
+def digit_free(seed, n):
+    return re.sub("[0-9]", "", prose(seed, n))
+
+
+def test_tagged_spans_are_those_of_all_windows(spark):
+    docs = spark.createDataFrame([(i, digit_free(i, 60)) for i in range(400)], "doc_id long, text string")
+    tagger = pii.fit(pii.labelled_windows(docs, "doc_id", "text", 400, 2500, 64, 3), 16, 64, 300, 3)
+    rng = random.Random(4)
+    mail = ["john(at)example.com", "river(at)house.de", "user @ mail.kundenportal.example.com", "tall.walking.river.house.people.with.many.names(at)hill.org", "555-010-1234", "cat. at.", "that. 12.34.56.78"]
+    texts = ["", "at", "@", "7", "cat.", digit_free(1, 80)]
+    texts += [f"{digit_free(i, 60)[: rng.randrange(300)]} {rng.choice(mail)} {digit_free(i + 1, 60)[: rng.randrange(300)]}" for i in range(60)]
+    whole = all_windows(texts, tagger, 128, 48)
+    assert pii.tagged_spans(texts, tagger, 128, 48) == whole
+    assert sum(map(len, whole)) > 40
+    wild = Tagger(5, 8, 1)  # not learnt: tags everywhere, and over many borders
+    for v in wild.p.values():
+        v *= 8
+    pieces = "at|cat.|.|at.attic|@|12|3.4|a b c|\u00e4at| |_at_|(at)|long winded words".split("|")
+    for size, overlap in ((16, 6), (12, 5), (20, 8)):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(40)]
+        texts += ["".join(rng.choice(pieces[:3] + pieces[7:8] + pieces[-1:]) for _ in range(rng.randrange(40))) for _ in range(40)]
+        assert pii.tagged_spans(texts, wild, size, overlap, rows=7) == all_windows(texts, wild, size, overlap)
+
+
+def test_emails_without_digits_and_over_borders(spark):
+    docs = [(i, digit_free(i, 60)) for i in range(400)]
+    where = {1000 + k: digit_free(k, 100)[:k].rsplit(" ", 1)[0] + " " for k in range(20, 300, 7)}
+    docs += [(i, f"{left}john(at)example.com {digit_free(i, 20)}") for i, left in where.items()]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    by = {r["doc_id"]: r for r in rows_of(pii.scan_pii(docs, sample_windows=2500))}
+    found = [any(k == "email" and a <= len(left) + 4 and b >= len(left) + 19 for a, b, k in spans_of(by[i])) for i, left in where.items()]
+    assert sum(found) >= 0.8 * len(found), found
