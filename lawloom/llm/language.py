@@ -91,7 +91,8 @@ def identify(
 
     Evidence, fused as log probabilities: the text under letter-trigram models (weighted by text_weight, since neighbouring trigrams
     are not independent); the declared language, by how often it goes with each text language; and a prior of
-    the host, smoothed by that of its suffix (what follows its last dot), smoothed by that of all rows. Priors are sums of text
+    the host, smoothed by that of the other hosts of its suffix (what follows its last dot), smoothed by that of all rows; a host
+    without a dot is its own suffix and is smoothed by all rows alone. Priors are sums of text
     posteriors grouped by host, suffix and declared language over all rows, so a document's own share is small.
     Besides the languages there is `und`, with a prior of other_prior: letters that look like none of them. A row is accepted when a language other than `und`
     wins with at least min_posterior and the text has letters; NULL and empty texts have none and are rejected. NULL hosts and
@@ -140,13 +141,16 @@ def identify(
     all_sums = [(all_sums[i] or 0.0) + 1 for i in width]
     all_prior = F.array(*(F.lit(s / sum(all_sums)) for s in all_sums))
 
-    def smoothed(prior: Column, strength: float) -> Column:
-        return F.array(*((s + strength * F.get(prior, i)) / (sum(total, F.lit(0.0)) + strength) for i, s in enumerate(total)))
+    def smoothed(prior: Column, strength: float, own: list[Column] = total) -> Column:
+        return F.array(*((s + strength * F.get(prior, i)) / (sum(own, F.lit(0.0)) + strength) for i, s in enumerate(own)))
 
     by_host = stored(sums(weighted, "host", "suffix"), "host-sums")
     by_suffix = by_host.groupBy("suffix").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in width))
-    by_suffix = by_suffix.select(F.col("suffix").alias("of_suffix"), smoothed(all_prior, suffix_strength).alias("suffix_prior"))
+    by_suffix = by_suffix.select(F.col("suffix").alias("of_suffix"), *(F.col(f"s{i}").alias(f"of_suffix{i}") for i in width))
     hosts = by_host.join(by_suffix, F.col("suffix") == F.col("of_suffix"))
+    # the host's own rows count at its own level only; what rounding leaves of them is no row
+    others = [F.greatest(F.col(f"of_suffix{i}") - F.col(f"s{i}"), F.lit(0.0)) for i in width]
+    hosts = hosts.withColumn("suffix_prior", smoothed(all_prior, suffix_strength, others))
     hosts = hosts.select(F.col("host").alias("of_host"), smoothed(F.col("suffix_prior"), host_strength).alias("host_prior"))
     said = sums(weighted, "declared")
     said = said.select(F.col("declared").alias("was_declared"), smoothed(all_prior, suffix_strength).alias("said_prior"))

@@ -56,3 +56,27 @@ def test_page_evidence(spark):
     a, b = rows_of(page_evidence(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id"))
     assert (a["host"], a["declared"], a["text"].split()) == ("www.example.de", "de", ["Hallo", "Welt"])
     assert (b["host"], b["declared"], b["text"]) == ("", "", "")
+
+
+def test_pages_of_hosts_that_share_suffixes(spark):
+    """Pages without letters have the priors alone; these are worked out here from the hosts' page counts."""
+    page = lambda url, lang, said, seed: (url, f"<html{f' lang={said}' if said else ''}><p>{text(lang, seed, 80) if lang else '12'}</p>")
+    held = {"a.x.de": "de" * 4, "b.x.de": "", "c.x.de": "en", "solo": "dede", "d.x.com": "enenen", "e.x.com": "", "one.org": "dedede"}
+    rows = [page(f"http://{host}/{i}", langs[2 * i : 2 * i + 2], langs[2 * i : 2 * i + 2] if i % 2 else "", i) for host, langs in held.items() for i in range(len(langs) // 2)]
+    rows += [page(f"https://{host}/", "", "", 0) for host in held]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    train = spark.createDataFrame([(lang, text(lang, 500 + i, 100)) for lang in ("en", "de") for i in range(20)], "label string, text string")
+    got = rows_of(identify(page_evidence(pages), ["en", "de"], "page_id", declared=F.col("declared"), host=F.col("host"), labelled=train))
+    got = {r["host"]: r for r in got if r["n_grams"] == 0}
+    count = lambda texts: [sum(t.count(lang) for t in texts) for lang in ("en", "de")] + [0]
+    share = lambda own, prior, strength: [(o + strength * p) / (sum(own) + strength) for o, p in zip(own, prior)]
+    one = [n + 1 for n in count(held.values())]
+    everywhere = [n / sum(one) for n in one]
+    unsaid = share(count([t[i : i + 2] for t in held.values() for i in range(0, len(t), 4)]), everywhere, 20)
+    for host, langs in held.items():
+        suffix = host.rsplit(".", 1)[-1]
+        others = count([t for h, t in held.items() if h != host and h.rsplit(".", 1)[-1] == suffix])
+        prior = share(count([langs]), share(others, everywhere, 20), 5)
+        odds = [h * u / e * w for h, u, e, w in zip(prior, unsaid, everywhere, (1, 1, 1e-3))]
+        assert abs(got[host]["posterior"] - max(odds) / sum(odds)) < 1e-4, host
+        assert got[host]["language"] == ["en", "de"][odds[1] > odds[0]] and not got[host]["accepted"]
