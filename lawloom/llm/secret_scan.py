@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.llm.common import text_of
-from lawloom.llm.spans import Kind, Span, base_spans, batches_of, digest, joined, sampled, uncovered
+from lawloom.llm.spans import Kind, Span, base_spans, batches_of, digest, joined, sampled
 
 _ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _WORDS = ("password", "passwd", "secret", "token", "api")
@@ -90,9 +90,23 @@ def fit(labelled: DataFrame, drawn: int = 4000, seed: int = 5) -> np.ndarray:
     return train([*values[is_random], *generated(drawn, seed)]) - train(ordinary + [v.upper() for v in ordinary[::4]])
 
 
-def random_spans(texts: list[str], ratio: np.ndarray, threshold: float) -> list[list[Span]]:
-    """Per text the candidate strings whose log-likelihood ratio reaches the threshold."""
-    found = [(i, m.start(), m.end()) for i, t in enumerate(texts) for m in CANDIDATE.finditer(t)]
+def _pieces(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """What base spans leave of each candidate string; all of it when they touch none."""
+    covered = sorted((a, b) for a, b, _ in base)
+    for m in CANDIDATE.finditer(text):
+        begin = m.start()
+        for a, b in covered:
+            if b > begin and a < m.end():
+                if a > begin:
+                    yield begin, a
+                begin = b
+        if begin < m.end():
+            yield begin, m.end()
+
+
+def random_spans(texts: list[str], bases: list[list[Span]], ratio: np.ndarray, threshold: float) -> list[list[Span]]:
+    """Per text the pieces of candidate strings outside its base spans whose log-likelihood ratio reaches the threshold."""
+    found = [(i, a, b) for i, (t, base) in enumerate(zip(texts, bases)) for a, b in _pieces(t, base)]
     out: list[list[Span]] = [[] for _ in texts]
     if found:
         pairs, begins = _transitions([texts[i][a:b] for i, a, b in found])
@@ -109,8 +123,8 @@ def scan_secrets(
 ) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans): one row per row of docs.
 
-    Base patterns give their spans; every other run of 12 or more key characters is scored by two character chains and is a span
-    of kind `random` when it is `threshold` nats likelier under the chain of random strings. Offsets are code points, ends exclusive. The chains are
+    Base patterns give their spans; every run of 12 or more key characters, or each piece that base spans leave of it, is scored by
+    two character chains and is a span of kind `random` when it is `threshold` nats likelier under the chain of random strings. Offsets are code points, ends exclusive. The chains are
     learnt from at most sample_docs documents and sample_strings strings of them, and from seeded random strings;
     all documents and whole texts are scanned. NULL texts are empty and hold nothing; repeated rows are scanned each;
     an empty table gives no rows; other columns are not read. Scanning needs no shuffle.
@@ -122,10 +136,9 @@ def scan_secrets(
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches_of(batches, 512):
             texts = batch["text"].tolist()
+            bases = [base_spans(text, KINDS) for text in texts]
             out = []
-            for row_id, text, extra in zip(batch["doc_id"], texts, random_spans(texts, shared.value, threshold)):
-                base = base_spans(text, KINDS)
-                added = uncovered(extra, base)
+            for row_id, base, added in zip(batch["doc_id"], bases, random_spans(texts, bases, shared.value, threshold)):
                 counts = [sum(k == name for _, _, k in base) for name in ORDER[:3]]
                 out.append((row_id, *counts, len(added), digest(joined(base, ORDER)), joined(base + added, ORDER)))
             yield pd.DataFrame(out, columns=["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"])
