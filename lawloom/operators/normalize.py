@@ -55,11 +55,11 @@ def conform(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return df.select(index, *columns, *extra)
 
 
-def odd_indexes(df: DataFrame) -> DataFrame:
-    """(index_text, reason): index cells that `conform` cannot read as a whole number, so that none is lost silently."""
+def odd_indexes(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(*extra, index_text, reason): index cells that `conform` cannot read as a whole number, so that none is lost silently."""
     given = F.trim(optional(df, "index").cast("string"))
     odd = given.isNotNull() & (given != "") & ~given.rlike(r"^[+-]?[0-9]{1,18}(?:\.0*)?$")
-    return df.where(odd).select(given.alias("index_text"), F.lit("index is not a whole number").alias("reason"))
+    return df.where(odd).select(*extra, given.alias("index_text"), F.lit("index is not a whole number").alias("reason"))
 
 
 def _numbered(df: DataFrame, pos: str, column: str | None = None) -> tuple[DataFrame, Column]:
@@ -160,3 +160,18 @@ def master_union(sources: dict[str, DataFrame], pos: str = "pos") -> DataFrame:
     for part in parts[1:]:
         union = union.unionByName(part)
     return union
+
+
+#: Where a source's index cells come from its own column; the others are numbered.
+INDEX_COLUMNS = {"ICT": "번호", "IND_LAW": "순번", "IND_CASE": "번호"}
+
+
+def master_odd_indexes(sources: dict[str, DataFrame], pos: str = "pos") -> DataFrame:
+    """(sandbox_type, ord, index_text, reason): the index cells that are NULL in master_union though the source holds a text."""
+    union = None
+    for kind in (k for k in NORMALIZERS if k in sources):
+        given = optional(sources[kind], INDEX_COLUMNS.get(kind, "")).cast("string").alias("index")
+        cells = sources[kind].select(F.lit(kind).alias("sandbox_type"), F.col(pos).alias("ord"), given)
+        odd = odd_indexes(cells, ("sandbox_type", "ord"))
+        union = odd if union is None else union.unionByName(odd)
+    return union

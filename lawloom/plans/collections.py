@@ -19,6 +19,13 @@ def master_table(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return normalize.master_union(read_sources(spark, paths))
 
 
+def save_master(spark: SparkSession, paths: dict[str, str], folder: str) -> None:
+    """The master table, and beside it the index cells that it holds as NULL for being no whole number, if any."""
+    sources = read_sources(spark, paths)
+    write_csv(normalize.master_union(sources), f"{folder}/master")
+    write_if_any(normalize.master_odd_indexes(sources), f"{folder}/master_odd_indexes")
+
+
 def law_corpus(documents: DataFrame, rules: segment.Rules = segment.PAGE_RULES) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of (law_name, text): documents without text are listed, not cut."""
     return segment.segment(documents, rules=rules), segment.rejects(documents)

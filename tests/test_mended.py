@@ -116,3 +116,14 @@ def test_writers(spark, tmp_path):
     raw, clean = writers.write_raw_and_clean(df, df.limit(1), str(tmp_path), "cases", "7")
     assert raw.endswith("cases_raw_7") and readers.read_case_table(spark, f"{clean}/*.csv").count() == 1
     assert P is not None
+
+
+def test_odd_indexes_are_saved_beside_the_master_table(spark, tmp_path):
+    (tmp_path / "law.csv").write_text("순번,사업명\n1,가\n12-1,나\n1234567890123456789,다\n", "utf-8")
+    (tmp_path / "case.csv").write_text("번호,제목\n7,라\n7a,마\n", "utf-8")
+    (tmp_path / "fin.csv").write_text("서비스명\n바\n", "utf-8")
+    paths = {"IND_LAW": str(tmp_path / "law.csv"), "IND_CASE": str(tmp_path / "case.csv"), "FIN": str(tmp_path / "fin.csv")}
+    P.save_master(spark, paths, str(tmp_path / "out"))
+    odd = spark.read.csv(str(tmp_path / "out/master_odd_indexes"), header=True).select("sandbox_type", "index_text").collect()
+    assert sorted(map(tuple, odd)) == [("IND_CASE", "7a"), ("IND_LAW", "12-1"), ("IND_LAW", "1234567890123456789")]
+    assert spark.read.csv(str(tmp_path / "out/master"), header=True).count() == 6
