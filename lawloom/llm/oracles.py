@@ -134,6 +134,67 @@ select d.doc_id, len(d.w)::bigint n_words, coalesce(h.n_hit, 0)::bigint n_hit, c
 from docs d left join hit h using (doc_id) left join named n using (doc_id)
 """
 
+_CRC_TABLE = "(select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t)"
+
+
+def _crc32(data: str) -> str:
+    """crc32 of a text's UTF-8 bytes; the query joins _CRC_TABLE for t."""
+    octets = f"list_transform(range(octet_length(encode({data}))), lambda i: ('0x' || hex(encode({data}))[2 * i + 1:2 * i + 2])::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+OP11 = f"""
+with crc_table as {_CRC_TABLE},
+docs as (select doc_id, {_WORDS} w from documents),
+items as (select {_WORDS} w from benchmark),
+vocabulary as (select distinct unnest(w) word from (select w from docs union all select w from items)),
+hashed as (select word, {_crc32('word')} % 10000 bucket from vocabulary, crc_table),
+source as (select bucket, count(*) n from (select unnest(w) word from docs) join hashed using (word) group by bucket),
+target as (select bucket, count(*) n from (select unnest(w) word from items) join hashed using (word) group by bucket),
+sums as (select (select coalesce(sum(n), 0) from source)::double s, (select coalesce(sum(n), 0) from target)::double t),
+gains as (
+  select h.word, floor(1000 * ln((coalesce(b.n, 0) + 1)::double * (sums.s + 10000) / ((coalesce(a.n, 0) + 1)::double * (sums.t + 10000))))::bigint gain
+  from hashed h left join source a using (bucket) left join target b using (bucket) cross join sums),
+summed as (select doc_id, floor(sum(gain)::double / count(*))::bigint weight from (select doc_id, unnest(w) word from docs) join gains using (word) group by doc_id),
+scored as (
+  select d.doc_id, len(d.w)::bigint n_features, coalesce(s.weight, 0) weight,
+    coalesce(s.weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || d.doc_id)[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint score
+  from docs d left join summed s using (doc_id)),
+drawn as (select doc_id, row_number() over (order by score desc, doc_id) rank from scored where n_features >= 20)
+select s.*, case when r.rank <= (select count(*) from drawn) * 10 // 100 then r.rank end rank from scored s left join drawn r using (doc_id)
+"""
+
+OP12 = f"""
+with crc_table as {_CRC_TABLE},
+own as (
+  select conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first) w from conversations where conv_id is not null group by conv_id),
+heads as (select o.conv_id, o.w, coalesce(b.w, o.w[:0]) lead, ({_crc32('o.conv_id::varchar')} % 6)::int h
+  from own o cross join crc_table left join own b on b.conv_id = o.conv_id - o.conv_id % 100),
+whole as (select conv_id, list_concat(lead[1:h], w[h + 1:]) w from heads),
+prefixes as (select conv_id, d, w[1:d] p, len(w) = d ends from (select *, unnest(range(len(w) + 1)) d from whole)),
+nodes as (
+  select p, any_value(d) d, min(conv_id) conv_id, count(*) n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) ends_sha256
+  from prefixes group by p),
+children as (select p[1:d - 1] p, count(*) n from nodes where d > 0 group by 1),
+own_totals as (select n.p, n.d, c.n is null leaf, case when n.d = 0 then 0 else (n_convs - 1) * length(n.p[n.d].t) end saved from nodes n left join children c using (p)),
+totals as (select p[1:k] p, count(*) filter (leaf) n_leaves, sum(saved)::bigint saved_tokens from (select *, unnest(range(d + 1)) k from own_totals) group by 1)
+select n.conv_id, n.d depth, u.conv_id parent_conv_id, n.n_convs, coalesce(c.n, 0) n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+from nodes n join totals t using (p) left join children c using (p) left join nodes u on n.d > 0 and u.p = n.p[1:n.d - 1]
+"""
+
+#: The pages at hand put their main text into one <article> of h1 and p elements, so plain cuts give the rows that the classifier must find.
+OP13 = r"""
+with cut as (
+  select page_id, url, regexp_split_to_array(replace(regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's'), '<br>', ' '), '</?(p|h1)>') b from pages),
+cleaned as (
+  select page_id, url, list_transform(b, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'),
+    '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) b from cut)
+select page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10) || chr(10)) "text",
+  length(array_to_string(list_filter(b, lambda x: x <> ''), chr(10) || chr(10)))::bigint n_chars
+from cleaned
+"""
+
 ORACLES = {
     "op1_source_mixing": OP1, "op2_lm_score": OP2, "op5_url_filter": OP5, "op6_chat_format": OP6, "op8_exact_dedup": OP8, "op10_decontamination": OP10,
+    "op11_importance_resampling": OP11, "op12_prefix_trie": OP12, "op13_html_extraction": OP13,
 }

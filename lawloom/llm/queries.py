@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, lm_score, mixing, pii, secret_scan, url_filter
+from lawloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, lm_score, main_text, mixing, pii, prefix_trie, resample, secret_scan, url_filter
 from lawloom.llm.url_filter import Globs, Rule
 
 
@@ -123,4 +123,20 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_lm_score, op3_jaccard_join, op4_pii, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_decontamination)}
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    sample = resample.importance_sample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return sample.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations")).drop("name", "parent")
+
+
+def op13_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_source_mixing, op2_lm_score, op3_jaccard_join, op4_pii, op5_url_filter, op6_chat_format, op7_language_id, op8_exact_dedup, op9_secret_scan,
+    op10_decontamination, op11_importance_resampling, op12_prefix_trie, op13_html_extraction,
+)}
