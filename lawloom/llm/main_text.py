@@ -77,7 +77,7 @@ def _own_flags(tag: str, attributes: str, inherited: int) -> int:
                 if aside and not (tag in ("article", "main") and words[0] != "comment"):
                     flags |= _STRONG
                 elif main and tag not in ("a", "li"):
-                    flags |= _MAIN
+                    flags = (flags | _MAIN) & ~_WEAK
     return flags
 
 
@@ -196,10 +196,13 @@ def features(blocks: list[Block]) -> np.ndarray:
     density = np.array([min(1.0, b.link_words / b.words) for b in blocks])
     flags = np.array([b.flags for b in blocks])
     before, after = (lambda x: np.concatenate([[0.0], x[:-1]])), (lambda x: np.concatenate([x[1:], [0.0]]))
-    aside = np.where(flags & _STRONG, 2, flags & _WEAK)
-    main = (flags & _MAIN) != 0
+    strong, main = (flags & _STRONG) != 0, (flags & _MAIN) != 0
+    weak, marked = ((flags & _WEAK) != 0) & ~strong, (main & ~strong).any()
+    if not marked and words[weak].sum() > words[~strong].sum() / 2:  # a form around the page is no form of the page
+        weak[:] = False
+    aside = np.where(strong, 2, weak)
     return np.stack([
-        words, density, before(words), before(density), after(words), after(density), aside, main, np.full(len(blocks), (main & (aside < 2)).any()),
+        words, density, before(words), before(density), after(words), after(density), aside, main, np.full(len(blocks), marked),
         [b.heading for b in blocks], [b.item for b in blocks], [b.text[-1] in ".!?。\"”»…" for b in blocks],
         [b.words < 40 and bool(_RIGHTS.search(b.text)) for b in blocks],
     ], 1).astype(float)

@@ -20,7 +20,7 @@ def test_tree_knows_layouts_and_fresh_words():
         x, y = main_text.labelled_blocks(LAYOUTS, 24, seed)
         assert (TREE.holds(x) == y).mean() > 0.995
     held = []
-    for n, layout in enumerate(LAYOUTS):
+    for n, layout in list(enumerate(LAYOUTS))[::2]:
         tree = main_text.learnt_tree(LAYOUTS[:n] + LAYOUTS[n + 1 :])
         x, y = main_text.labelled_blocks([layout], 12, 7)
         held.append((tree.holds(x) == y).mean())
@@ -61,6 +61,8 @@ def test_awkward_markup():
         f"<article><p hidden>{long}</p><p>{long}</p><noscript><p>no</p></noscript><svg><text>no</text></svg></article>": long.strip(),
         f"<article><style>p</article></style><p>{long}</p><!-- never closed <p>{long}</p></article>": long.strip(),
         f"<article><table><tr><td>one<td>two<tr><td>three</table><ul><li>four<li>five</ul><p>{long}</article>": f"one\n\ntwo\n\nthree\n\nfour\n\nfive\n\n{long.strip()}",
+        f"<form><div class=menu><a href=/a>x</a></div><h1>Title of it</h1><p>{long}</p><p>{long}</p></form>": f"Title of it\n\n{long.strip()}\n\n{long.strip()}",
+        f"<form><div id=content><p>{long}</p><p>x</p></div><p>Search here</p></form><p>{long}{long}</p>": f"{long.strip()}\n\nx",
         "<article>" + "<div>" * 3000 + f"<p>{long}</p>" + "</div>" * 2999 + "</article><footer>end</footer>": long.strip(),
     }
     for page, expected in cases.items():
