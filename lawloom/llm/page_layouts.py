@@ -13,7 +13,7 @@ LAYOUTS = [
     """- <html><head><title>{3-9}</title><style>p{margin:0}</style><script>var s = "<p>x</p>";</script></head><body>
 - <nav><ul>{items 3-9}</ul></nav><div class="ad">{2-20}</div>
 + <article><h1>{3-14}</h1><p>{1-80}</p><p>{1-200}</p><p>{1-12}</p>
-+ <p><b>{2-60}<br></p><p>{1-200}</p></article>
++ <p><b>{2-60}<br></p><p>All rights reserved.</p><p>{1-200}</p></article>
 - <footer>&copy; {1-3} &middot; {2-10}</footer></body></html>""",
     """- <body><header><div class="logo"><a href="/">{1-3}</a></div><p>{2-12}</p></header><nav>{links 3-8}</nav>
 . <main><article><header>
@@ -53,7 +53,7 @@ LAYOUTS = [
 + <article><h1>{2-9}</h1><p>{1-6}</p><p>{1-8}</p><p>{1-4}</p><h2>{1-3}</h2><p>{1-9}</p></article>
 - <div class="pagination">{links 2-5}</div><div class="advert"><p>{3-40}</p></div><div class="comments"><ol><li>{2-70}</li><li>{1-40}</li></ol></div>""",
     """- <body><div>{2-25}</div><ul>{items 2-7}</ul><p>{3-40}</p>
-+ <article><h1>{2-12}</h1><p>{1-150}</p><p>{1-10}</p><p><a href="/d">{2-5}</a></p><h2>{1-5}</h2><p>{2-90}</p><ul><li>{1-12}</li><li>{1-12} <a href="/l">{1-4}</a></li></ul></article>
++ <article><h1>{2-12}</h1><p>{1-150}</p><p>{1-10}</p><p><a href="/d">{2-5}</a></p><h2>{1-5}</h2><p>{2-90}</p><p>&copy; {1-20}</p><ul><li>{1-12}</li><li>{1-12} <a href="/l">{1-4}</a></li></ul></article>
 - <p>{3-60}</p><div>{2-25} <a href="/m">{1-2}</a></div><div>&copy; 2024 {1-5}</div>""",
     """- <div>{links 3-8}</div><div><a href="/u">{1-3}</a></div>
 + <h1>{2-10}</h1><div>{1-5}</div><div>{30-140}</div><div>{2-14}</div><div>{12-120}</div><div>{8-90} <a href="/v">{1-4}</a></div>
