@@ -128,7 +128,7 @@ def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def near_copies(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.99999,
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.999,
     depth: int = 3, bucket: int = 256, seed: int = 11, shard_bytes: int = 32_000_000, filter_bits: int = 2**23,
 ) -> DataFrame:
     """(doc_id, class_id, n_links, class_size, kept, text_key): one row per row of docs.
