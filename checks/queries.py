@@ -368,25 +368,25 @@ def index_counts(spark, sf):
     return listing.ids_per_form(I.table(spark, sf, "events").select(F.col("event_type").alias("form_code"), item.alias("bdSeq")))
 
 
-def _index_and_ids(spark, sf):
-    index = I.table(spark, sf, "events").select(F.col("user_id").alias("bdSeq"), "event_id", "event_type", "props")
-    key = F.col("s_suppkey")
-    ids = I.table(spark, sf, "supplier").select(F.when(key % 7 == 0, key + 10**9).otherwise(key).alias("s_suppkey"))
-    return index, lookup.selected_ids(index, ids)
+def _index(spark, sf):
+    return I.table(spark, sf, "events").select(F.col("user_id").alias("bdSeq"), "event_id", "event_type", "props")
 
 
 def select_lookup(spark, sf):
-    index, ids = _index_and_ids(spark, sf)
+    index = _index(spark, sf)
+    ids = lookup.selected_ids(index, I.table(spark, sf, "supplier").select("s_suppkey"))
     return lookup.lookup(index, ids, ["event_id"])
 
 
 def unmatched_ids(spark, sf):
-    index, ids = _index_and_ids(spark, sf)
-    return lookup.unmatched(index, ids)
+    """Some ids are moved out of the index, so that there are unmatched ones."""
+    index, key = _index(spark, sf), F.col("s_suppkey")
+    ids = I.table(spark, sf, "supplier").select(F.when(key % 7 == 0, key + 10**9).otherwise(key).alias("s_suppkey"))
+    return lookup.unmatched(index, lookup.selected_ids(index, ids))
 
 
 def selected_in_order(spark, sf):
-    index, _ = _index_and_ids(spark, sf)
+    index = _index(spark, sf)
     ids = I.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("bdSeq"), (-F.col("s_suppkey")).alias("pos"))
     return lookup.in_order(lookup.lookup(index, ids, ["event_id"]), ids)
 

@@ -14,6 +14,10 @@ from lawloom.functions.text import blank_to_null, lines_of, strip
 from lawloom.operators import segment as S
 
 
+#: Blocks of pages without a number begin here.
+NO_PAGE = 2**60
+
+
 def _row_lines(text: Column, whole_rows: bool) -> Column:
     """Lines of one input row; a paragraph row is one line."""
     if not whole_rows:
@@ -148,14 +152,16 @@ def segment_pages(
     """Law rows of (law_name, page_no, text); `page` is a whole number, unique within its law.
 
     `whole_rows` takes every input row as one line (paragraphs). `ord` is a struct that sorts the
-    rows of a law into reading order. Rows without a law name are one law of their own. A text that runs over
+    rows of a law into reading order. Rows without a law name are one law of their own. A page without a number is a block of
+    its own after all others of its law, in the order of a hash of its text. A text that runs over
     many blocks is one output value and is therefore gathered in one row.
     """
     law = F.col(law_name)
+    unplaced = F.lit(NO_PAGE) + F.pmod(F.xxhash64(F.col(text)), F.lit(2**60))
     rows = pages.select(
         law.alias("law_name"),
         F.col(page).alias("page_no"),
-        F.floor(F.col(page) / pages_per_block).alias("blk"),
+        F.coalesce(F.floor(F.col(page) / pages_per_block), unplaced).alias("blk"),
         _kept(_row_lines(F.col(text), whole_rows), law, rules).alias("_lines"),
     )
     rows = rows.withColumn("law_name", F.coalesce(F.concat(F.lit("="), "law_name"), F.lit("")))

@@ -102,9 +102,9 @@ def heading_parts(line: Column, rules: Rules = PAGE_RULES) -> tuple[Column, Colu
 
 
 def heading_number(line: Column) -> Column:
-    """First number of a line; full-width digits count."""
+    """First number of a line; full-width digits count. Numbers too long for 64 bits count as one and the same, larger than all others."""
     digits = F.translate(F.regexp_extract(line, r"(\p{Nd}+)", 1), "０１２３４５６７８９", "0123456789")
-    return digits.try_cast("bigint")
+    return bind(digits, lambda d: F.coalesce(d.try_cast("bigint"), F.when(d.rlike(r"^[0-9]{19,}\z"), F.lit(2**62))))
 
 
 def accepted_flags(numbers: Column, entry: Column, gap_limit: int | None) -> Column:
