@@ -92,7 +92,8 @@ def exact_copies(
     index = stored(index, "hash-index")
     shared = index.where("group_size > 1")
     members = rows.join(shared.select("key").hint("merge"), "key", "left_semi")
-    chained = stored(chains(in_buckets(members.select("key", "text"), slots, depth)), "chains")
+    members = stored(in_buckets(members.select("key", "text"), slots, depth), "chained-texts")  # the join stands alone, so a hot key's rows can be split
+    chained = stored(chains(members), "chains")
     groups = shared.join(chained.select("key", "texts"), "key").select(F.col("key").alias("group_key"), "keep_id", "keep_row", "group_size", "texts")
     found = entries.join(groups.hint("merge"), F.col("key") == F.col("group_key"), "left").where("texts is null or texts = 1")
     alone = F.col("texts").isNull()
