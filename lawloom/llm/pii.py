@@ -22,8 +22,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Seven digits close together, or an at sign written in some way, may be personal data in a form without a base pattern.
 _DOUBTFUL = re.compile(r"[0-9](?:[^A-Za-z]{0,3}[0-9]){6,}|@|[(\[]at[)\]]")
 _HINT = re.compile(r"[0-9@]")
-#: What any span of the tagger holds, see _plausible. An "at" cut off on both sides is a span of two letters, which is refused.
-_TELLING = re.compile(r"[0-9@]|\bat|at\b")
+#: How the at sign is written in the forms that the tagger learns.
+_AT = re.compile(r"@|[(\[]at[)\]]")
+#: What any span of the tagger holds, see _plausible.
+_TELLING = re.compile(r"[0-9]|" + _AT.pattern)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -141,57 +143,86 @@ def fit(labelled: DataFrame, hidden: int, size: int, updates: int, seed: int) ->
 def _plausible(text: str, kind: str) -> bool:
     digits = len(_digits(text))
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", text)) and "." in text and digits < 12
+        return bool(_AT.search(text)) and "." in text and digits < 12
     least, most = {"ip": (4, 12), "card": (14, 19), "phone": (9, 15)}[kind]
     return least <= digits <= most and (kind != "ip" or len(re.findall("[0-9]+", text)) == 4)
 
 
-def tagged_spans(texts: list[str], tagger: Tagger, size: int, overlap: int, rows: int = 1024) -> list[list[Span]]:
+def _stretches(windows: set[int]) -> list[tuple[int, int]]:
+    """Runs of neighbouring windows, as (first, last)."""
+    order = sorted(windows)
+    edges = [k for k in range(1, len(order)) if order[k] > order[k - 1] + 1]
+    return [(order[a], order[b - 1]) for a, b in zip([0, *edges], [*edges, len(order)])] if order else []
+
+
+def tagged_spans(texts: list[str], tagger: Tagger, size: int, overlap: int, rows: int = 1024, every: bool = False) -> list[list[Span]]:
     """Per text the spans of the tagger.
 
-    Windows of `size` characters overlap by `overlap`; each place takes its tag from the window in which it lies farther
-    from the edge, and spans are read from the whole text's tags. The spans are those of decoding every window: a span that
-    _plausible lets through holds a match of _TELLING, so windows are decoded from those matches on, and then their neighbours as long
-    as a tag goes on over the border. What is never decoded holds no place of such a span.
+    Windows of `size` characters overlap by `overlap`. Neighbouring windows make a stretch: where they overlap, what they say for each tag is
+    averaged, a place counting for more the farther it is from a window's edge, and the transitions then find one best path
+    through the whole stretch. A span that _plausible lets through holds a match of _TELLING, so stretches begin with the windows of those
+    matches and grow by their neighbours as long as a tag reaches their border. `every` takes all windows, so each text is one stretch.
     """
-    step, edge = size - overlap, overlap // 2
+    step = size - overlap
     last = [max(0, -(-(len(text) - overlap) // step) - 1) for text in texts]
-    todo = [
-        (i, w) for i, text in enumerate(texts) for w in sorted({min(last[i], max(0, m.start() - edge) // step) for m in _TELLING.finditer(text)})
-    ]
-    seen = set(todo)
-    tags: dict[int, np.ndarray] = {}
-    while todo:
-        further = []
+    weight = np.minimum(np.arange(size), np.arange(size)[::-1]).astype(np.float32)[:, None] + 1
+    chosen: list[set[int]] = []
+    for text, end in zip(texts, last):
+        held = {min(end, max(0, m.start() - overlap // 2) // step) for m in _TELLING.finditer(text)}
+        chosen.append(set(range(end + 1)) if every and text else held)
+    said: dict[tuple[int, int], np.ndarray] = {}
+    closed: set[tuple[int, int, int]] = set()
+    out: list[list[Span]] = [[] for _ in texts]
+    changed = [i for i, held in enumerate(chosen) if held]
+    while changed:
+        todo = [(i, w) for i in changed for w in sorted(chosen[i]) if (i, w) not in said]
         for at in range(0, len(todo), rows):
             part = todo[at : at + rows]
             codes = np.zeros((len(part), size), np.uint8)
             for k, (i, w) in enumerate(part):
                 own = char_classes(texts[i][w * step : w * step + size])
                 codes[k, : len(own)] = own
-            for (i, w), path in zip(part, tagger.decode(codes)):
-                if i not in tags:
-                    tags[i] = np.zeros(len(texts[i]), np.uint8)
-                a = w * step
-                begin, end = a + edge if w else 0, a + step + edge if w < last[i] else len(texts[i])
-                tags[i][begin:end] = path[begin - a : end - a]
-                if w and tags[i][begin]:
-                    further.append((i, w - 1))
-                if w < last[i] and tags[i][end - 1]:
-                    further.append((i, w + 1))
-        todo = sorted(set(further) - seen)
-        seen.update(todo)
-    out: list[list[Span]] = [[] for _ in texts]
-    for i, tag in tags.items():
-        edges = np.flatnonzero(np.diff(tag, prepend=0, append=0))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if tag[a]:
-                while b > a and not texts[i][b - 1].isalnum():
-                    b -= 1
-                while a < b and not (texts[i][a].isalnum() or texts[i][a] in "+("):
-                    a += 1
-                if b > a and _plausible(texts[i][a:b], ORDER[tag[a] - 1]):
-                    out[i].append((a, b, ORDER[tag[a] - 1]))
+            said.update(zip(part, tagger.emissions(codes).copy()))
+        runs = [(i, a, b) for i in changed for a, b in _stretches(chosen[i]) if (i, a, b) not in closed]
+        runs.sort(key=lambda r: r[2] - r[1])
+        grown = set()
+        for at in range(0, len(runs), 64):
+            part = runs[at : at + 64]
+            lengths = np.array([min(len(texts[i]), b * step + size) - a * step for i, a, b in part])
+            e = np.zeros((len(part), lengths.max(), tagger.tags), np.float32)
+            for k, (i, a, b) in enumerate(part):
+                total = np.zeros((lengths[k], 1), np.float32)
+                for w in range(a, b + 1):
+                    place = slice((w - a) * step, min((w - a) * step + size, lengths[k]))
+                    n = place.stop - place.start
+                    e[k, place] += said[i, w][:n] * weight[:n]
+                    total[place] += weight[:n]
+                e[k, : lengths[k]] /= total
+            for (i, a, b), n, path in zip(part, lengths, tagger.best_paths(e, lengths)):
+                more = {a - 1} if a and path[0] else set()
+                more |= {b + 1} if b < last[i] and path[n - 1] else set()
+                if more:
+                    chosen[i] |= more
+                    grown.add(i)
+                else:
+                    closed.add((i, a, b))
+                    out[i] += _read_spans(texts[i], path[:n], a * step)
+        changed = sorted(grown)
+    return out
+
+
+def _read_spans(text: str, tags: np.ndarray, start: int) -> list[Span]:
+    """The plausible spans among runs of one tag, their ends trimmed; tags: those of the text from `start` on."""
+    out = []
+    edges = np.flatnonzero(np.diff(tags, prepend=0, append=0))
+    for a, b in zip((edges[:-1] + start).tolist(), (edges[1:] + start).tolist()):
+        if tag := tags[a - start]:
+            while b > a and not text[b - 1].isalnum():
+                b -= 1
+            while a < b and not (text[a].isalnum() or text[a] in "+("):
+                a += 1
+            if b > a and _plausible(text[a:b], ORDER[tag - 1]):
+                out.append((a, b, ORDER[tag - 1]))
     return out
 
 

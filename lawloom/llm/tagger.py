@@ -119,17 +119,26 @@ class Tagger:
                 self.p[k] -= (slow * (m[k] / (1 - 0.9**n)) / (np.sqrt(v[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
         return loss
 
-    def decode(self, codes: np.ndarray) -> np.ndarray:
-        """Best tag paths of (windows, time) codes."""
-        _, e = self._emissions(codes.T)
-        t = self.p["t"]
+    def emissions(self, codes: np.ndarray) -> np.ndarray:
+        """(windows, time, tags): what each place of (windows, time) codes says for each tag."""
+        return self._emissions(codes.T)[1].transpose(1, 0, 2)
+
+    def best_paths(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Best tag paths (runs, time) of emissions (runs, time, tags) by the transitions; of each run its first lengths places count."""
+        e, t = e.transpose(1, 0, 2), self.p["t"]
+        stay = np.arange(self.tags, dtype=np.uint8)
         best, back = e[0], np.empty(e.shape, np.uint8)
         for s in range(1, len(e)):
             ways = best[:, :, None] + t
-            back[s] = ways.argmax(1)
-            best = np.take_along_axis(ways, back[s][:, None, :].astype(np.int64), 1)[:, 0] + e[s]
+            on = (s < lengths)[:, None]
+            back[s] = np.where(on, ways.argmax(1), stay)
+            best = np.where(on, ways.max(1) + e[s], best)
         path = np.empty(e.shape[:2], np.uint8)
         path[-1] = best.argmax(1)
         for s in range(len(e) - 1, 0, -1):
             path[s - 1] = np.take_along_axis(back[s], path[s][:, None].astype(np.int64), 1)[:, 0]
         return path.T
+
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """Best tag paths of (windows, time) codes, each window by itself."""
+        return self.best_paths(self.emissions(codes), np.full(len(codes), codes.shape[1]))
