@@ -5,6 +5,7 @@ Every derived text uses the whole text of its document.
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,29 @@ def law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("law_name", "page_no", F.array_join(F.transform("p", lambda x: x.line), "\n").alias("text"))
 
 
+def law_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A shared folder with one text file per document, under a law's name with a blank and a per cent sign."""
+    folder = scratch(spark, "law-files").removeprefix("file:")
+    rows = table(spark, sf_dir, "documents").select(_text("법령 ", F.col("doc_id"), " 100%").alias("law_name"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def write(batches):
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        for batch in batches:
+            for name, text in zip(batch["law_name"], batch["text"]):
+                Path(folder, f"{name}.txt").write_bytes(text.encode())
+            yield batch[["law_name"]]
+
+    rows.mapInPandas(write, "law_name string").count()
+    return folder
+
+
+def uneven_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line): three cells of each document; some lines lack the last cell, some have one more."""
+    doc = F.col("doc_id")
+    source = F.when(doc % 7 == 0, "").otherwise(_text(",", F.coalesce("source", F.lit(""))))
+    return table(spark, sf_dir, "documents").select(_text(doc, ",", F.coalesce("lang", F.lit("")), source, F.when(doc % 5 == 0, ",x").otherwise("")).alias("line"))
+
+
 def clause_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text): marked clauses, unmarked text, omitted text, text before the first mark."""
     doc = F.col("doc_id")

@@ -278,6 +278,7 @@ ORACLES = {
     "law_segment": _segment("page_lines", True),
     "law_segment_loose": _segment("all_lines", False),
     "law_segment_pages": f"SELECT {', '.join(C.LAW_ROW_COLUMNS)} FROM ({_segment('page_lines', True)})",
+    "law_unnumbered_pages": f"SELECT {', '.join(C.LAW_ROW_COLUMNS)} FROM ({_segment('page_lines', True)})",
     "law_segment_paragraphs": f"SELECT {', '.join(C.LAW_ROW_COLUMNS)} FROM ({_segment('all_lines', False)})",
     "article_title": rf"""WITH {DOCS}, {LAW_LINES}, p AS (
         SELECT doc_id, line_no, line, regexp_extract(line, '^제\s*([0-9]+)\s*조', 1) AS num,
@@ -412,9 +413,21 @@ ORACLES = {
       FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.toxic = 1 OR l.quality <> 1""",
     "ingest_summary": """SELECT count(*) AS n_total, count(*) FILTER (l.toxic = 1) AS n_ok, count(*) FILTER (l.toxic IS NULL OR l.toxic <> 1) AS n_failed
       FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.toxic = 1 OR l.quality <> 1""",
+    "law_files_roundtrip": "SELECT '법령 ' || doc_id || ' 100%' AS law_name, coalesce(text, '') AS text FROM documents",
+    "csv_rejects": """WITH l AS (SELECT *, 2 + (doc_id % 7 <> 0)::INT + (doc_id % 5 = 0)::INT AS n, concat(doc_id, ',', lang,
+        CASE WHEN doc_id % 7 = 0 THEN '' ELSE ',' || coalesce(source, '') END, CASE WHEN doc_id % 5 = 0 THEN ',x' ELSE '' END) AS line FROM documents)
+      SELECT CASE WHEN n = 3 THEN doc_id::VARCHAR END AS doc_id, CASE WHEN n = 3 THEN nullif(lang, '') END AS lang,
+        CASE WHEN n = 3 THEN CASE WHEN doc_id % 7 = 0 THEN 'x' ELSE nullif(source, '') END END AS source,
+        CASE WHEN n <> 3 THEN line END AS line, CASE n WHEN 2 THEN 'too few cells' WHEN 4 THEN 'too many cells' END AS reason FROM l""",
+    "page_stop_repeated": """WITH p AS (SELECT conv_id, turn, CASE WHEN length(text) % 17 = 0 THEN 0 ELSE length(text) END AS n_items, substr(text, 1, 1) AS shown
+        FROM conversations WHERE turn <= 6),
+      t AS (SELECT *, n_items = 0 OR coalesce(shown = lag(shown) OVER (PARTITION BY conv_id ORDER BY turn), false) AS ended FROM p)
+      SELECT conv_id, turn, n_items, shown FROM t WHERE turn < ALL (SELECT turn FROM t e WHERE e.conv_id = t.conv_id AND e.ended)""",
     "page_stop": """WITH t AS (SELECT conv_id, turn, CASE WHEN length(text) % 5 = 0 THEN 0 ELSE length(text) END AS n_items FROM conversations WHERE turn <= 6)
       SELECT * FROM t WHERE turn < ALL (SELECT turn FROM t e WHERE e.conv_id = t.conv_id AND e.n_items = 0)""",
     "dedup_keep_first": "SELECT min(doc_id) AS doc_id, text, lang, min_by(source, doc_id) AS source, n_chars FROM documents GROUP BY text, lang, n_chars",
     "distinct_in_order": "SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text",
     "first_n": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 25",
 }
+_CELLS = ", ".join(f"nullif({c}::VARCHAR, '') AS {c}" for c in C.COMMON_COLUMNS)
+ORACLES["master_written_in_order"] = f"SELECT row_number() OVER (ORDER BY src_no, ord) AS pos, {_CELLS} FROM ({ORACLES['master_union']})"

@@ -471,6 +471,42 @@ def jsonl_roundtrip(spark, sf):
     return spark.read.schema(rows.schema).json(path)
 
 
+def master_written_in_order(spark, sf):
+    """The master table through CSV files and back; pos is a row's place in the files."""
+    path = I.scratch(spark, "master")
+    master = writers.in_file_order(normalize.master_union(_sources(spark, sf)), "src_no", "ord").select(*C.COMMON_COLUMNS)
+    writers.write_csv(master, path)
+    return order.file_row_index(readers.read_case_table(spark, f"{path}/*.csv", C.COMMON_COLUMNS), "pos")
+
+
+def law_files_roundtrip(spark, sf):
+    """One text file per law, named by the law, and back."""
+    return readers.read_law_texts(spark, I.law_folder(spark, sf))
+
+
+def csv_rejects(spark, sf):
+    """Lines of too few and too many cells are set aside as they stand."""
+    path = I.scratch(spark, "lines")
+    I.uneven_lines(spark, sf).write.text(path)
+    rows, rejects = readers.read_with_rejects(spark, path, ["doc_id", "lang", "source"], header=False, multi_line=False)
+    return rows.unionByName(rejects.select("line", "reason"), allowMissingColumns=True)
+
+
+def page_stop_repeated(spark, sf):
+    turns = I.table(spark, sf, "conversations")
+    items = F.when(F.length("text") % 17 == 0, 0).otherwise(F.length("text"))
+    shown = turns.select("conv_id", "turn", items.alias("n_items"), F.substring("text", 1, 1).alias("shown"))
+    return listing.pages_before_stop(shown, "conv_id", "turn", "n_items", max_pages=6, signature="shown")
+
+
+def law_unnumbered_pages(spark, sf):
+    """law_segment_pages with the last page of each law left without its number."""
+    pages = I.law_pages(spark, sf)
+    last = pages.groupBy("law_name").agg(F.max("page_no").alias("last"))
+    number = F.when(F.col("page_no") < F.col("last"), F.col("page_no"))
+    return paged.segment_pages(pages.join(last, "law_name").withColumn("page_no", number), pages_per_block=8).select(*C.LAW_ROW_COLUMNS)
+
+
 def first_n(spark, sf):
     return order.first_rows(I.table(spark, sf, "customer").select("c_custkey", "c_name"), 25, "c_custkey")
 

@@ -35,6 +35,20 @@ def fill_forward(df: DataFrame, keys: list[str], pos: str, columns: dict[str, st
     return filled.select(*names).unionByName(rest.select(*names))
 
 
+def previous(df: DataFrame, keys: list[str], pos: str, column: str, output: str, block: int = BLOCK) -> DataFrame:
+    """Adds the value of `column` in the row before, by `pos` within the key; NULL for a first row and for rows without a position.
+
+    `column` has no NULLs. The first row of a block gets what the blocks before it hand on.
+    """
+    placed = blocked(df.where(F.col(pos).isNotNull()), pos, block)
+    inside = Window.partitionBy(*keys, "_block").orderBy(pos)
+    local = placed.withColumn(output, F.lag(column).over(inside))
+    ends = placed.groupBy(*keys, "_block").agg(F.max_by(column, pos).alias("_end"))
+    joined = joined_null_safe(local, carried(ends, keys, ["_end"], _last, F.coalesce), [*keys, "_block"])
+    found = joined.withColumn(output, F.coalesce(F.col(output), F.col("in__end"))).select(*df.columns, output)
+    return found.unionByName(df.where(F.col(pos).isNull()).withColumn(output, F.lit(None).cast(df.schema[column].dataType)))
+
+
 def running_count(df: DataFrame, keys: list[str], pos: str, flag: str, output: str, block: int = BLOCK) -> DataFrame:
     """Adds the number of rows with `flag` true up to and including the row; NULL for a row without a position."""
     placed = blocked(df.where(F.col(pos).isNotNull()), pos, block)

@@ -139,7 +139,8 @@ def case_rows(
     """
     shown = blocks.where("is_visible")
     is_heading = F.lower("tag") == "h4"
-    read = with_status_and_allowance(shown).select(
+    body = F.when(~is_heading, F.col("html"))  # headings hold no status
+    read = with_status_and_allowance(shown.withColumn("_body", body), "_body").select(
         *keys,
         page,
         pos,

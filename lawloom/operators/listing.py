@@ -7,6 +7,8 @@ from lawloom import constants as C
 from lawloom.functions.arrays import exploded
 from lawloom.functions.markup import attribute, cells_of, class_token, flow_text, inside, pieces, plain_text, prepare, until
 from lawloom.functions.text import blank_to_null, iso_date, joined_cells, list_detail_url
+from lawloom.operators.carry import previous
+from lawloom.sources.staging import stored
 
 LIST_TABLE = r"(?i)^<table" + "".join(rf"(?={class_token(t)})" for t in C.LIST_TABLE_CLASSES)
 
@@ -42,10 +44,13 @@ def list_items(rows: Column) -> Column:
 
 
 def pages_before_stop(
-    pages: DataFrame, group: str, page: str, n_items: str, max_pages: int | None = None, groups: tuple[str, ...] | None = None
+    pages: DataFrame, group: str, page: str, n_items: str, max_pages: int | None = None, groups: tuple[str, ...] | None = None,
+    signature: str | None = None,
 ) -> DataFrame:
     """Pages of every group up to its first empty one, and no further than `max_pages`.
 
+    With a `signature` column, a page that shows what the page before it shows was not turned: it ends the paging like an empty one.
+
     With a given list of groups there is at most one stop per listed group, so the stops are
     broadcast and a group of many pages is not sent to one task. Otherwise the join is left to
     Spark, which sees the size of the stops at run time.
@@ -54,7 +59,11 @@ def pages_before_stop(
     if groups is not None:
         bounded = bounded.where(F.col(group).isin(list(groups)))
     # An aggregate of a condition, not a filter: Spark would work the count out again below any exchange.
-    stops = bounded.groupBy(group).agg(F.min(F.when(F.col(n_items) == 0, F.col(page))).alias("_stop"))
+    ended, seen = F.col(n_items) == 0, bounded
+    if signature:
+        seen = previous(bounded.select(group, page, n_items, signature), [group], page, signature, "_before")
+        ended = ended | F.coalesce(F.col(signature) == F.col("_before"), F.lit(False))
+    stops = seen.groupBy(group).agg(F.min(F.when(ended, F.col(page))).alias("_stop"))
     return (
         bounded.join(stops if groups is None else F.broadcast(stops), group, "left")
         .where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
@@ -86,8 +95,13 @@ def index_rows(
     since: str | None = None,
     until: str | None = None,
 ) -> DataFrame:
-    """Index of list pages (form_code, page_no, html), with page_no and pos for its order."""
-    read = pages.select("form_code", "page_no", _list_rows(F.col("html")).alias("_rows")).withColumn("_n", F.size("_rows"))
+    """Index of list pages (form_code, page_no, html), with page_no and pos for its order.
+
+    The stop needs all pages read before any row is known to stay, so pages are cut once and their rows kept in files.
+    """
+    bounded = pages.where(F.col("page_no") <= max_pages) if max_pages else pages
+    bounded = bounded.where(F.col("form_code").isin(list(forms)))
+    read, _ = stored(bounded.select("form_code", "page_no", _list_rows(F.col("html")).alias("_rows")).withColumn("_n", F.size("_rows")), "list-rows")
     rows = exploded(
         pages_before_stop(read, "form_code", "page_no", "_n", max_pages, forms),
         ["form_code", "page_no"],

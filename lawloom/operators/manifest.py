@@ -8,11 +8,12 @@ from lawloom.functions.text import file_name, file_stem, strip
 FORMATS = {"pdf": r"\.pdf\z", "docx": r"\.doc[^./]*\z"}
 
 
-def law_names(df: DataFrame, column: str) -> DataFrame:
-    """Trimmed, non-blank names of one column; an error when the column or all names are absent."""
+def law_names(df: DataFrame, column: str, pos: str | None = None) -> DataFrame:
+    """Trimmed, non-blank names of one column, with their place `pos` where it is named; an error when the column or all names are absent."""
     if column not in df.columns:
         raise ValueError(f"no column {column!r}; the table has {df.columns}")
-    names = df.select(strip(F.col(column).cast("string")).alias("law_name")).where(
+    kept = [F.col(pos).alias("pos")] if pos else []
+    names = df.select(strip(F.col(column).cast("string")).alias("law_name"), *kept).where(
         F.col("law_name").isNotNull() & (F.col("law_name") != "")
     )
     if names.isEmpty():

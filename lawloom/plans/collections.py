@@ -7,7 +7,8 @@ from lawloom import constants as C
 from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, segment, tables
 from lawloom.operators.order import file_row_index, first_rows
 from lawloom.sources.readers import read_case_table
-from lawloom.sources.writers import write_csv, write_if_any, write_json_lines, write_per_law, write_quoted_csv
+from lawloom.sources.staging import stored
+from lawloom.sources.writers import in_file_order, write_csv, write_if_any, write_json_lines, write_per_law, write_quoted_csv
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -19,10 +20,18 @@ def master_table(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return normalize.master_union(read_sources(spark, paths))
 
 
-def save_master(spark: SparkSession, paths: dict[str, str], folder: str) -> None:
-    """The master table, and beside it the index cells that it holds as NULL for being no whole number, if any."""
+def save_master(spark: SparkSession, paths: dict[str, str], folder: str, each: bool = False) -> None:
+    """The master table in its order, and beside it the index cells that it holds as NULL for being no whole number, if any.
+
+    With `each`, every normalised source has its own table too. The sources are mapped once, however many tables are written.
+    """
     sources = read_sources(spark, paths)
-    write_csv(normalize.master_union(sources), f"{folder}/master")
+    master, _ = stored(normalize.master_union(sources), "master")
+    write_csv(in_file_order(master, "src_no", "ord").select(*C.COMMON_COLUMNS), f"{folder}/master")
+    for n, kind in enumerate(normalize.NORMALIZERS, 1):
+        if each and kind in sources:
+            own = in_file_order(master.where(F.col("src_no") == n), "ord").select(*C.COMMON_COLUMNS)
+            write_csv(own, f"{folder}/normalized_{kind.lower()}")
     write_if_any(normalize.master_odd_indexes(sources), f"{folder}/master_odd_indexes")
 
 
@@ -32,10 +41,13 @@ def law_corpus(documents: DataFrame, rules: segment.Rules = segment.PAGE_RULES)
 
 
 def save_laws(rows: DataFrame, folder: str, merge: bool = True) -> None:
-    """One folder per law, and all laws together when wanted."""
-    write_per_law(rows, f"{folder}/laws")
+    """One folder per law, and all laws together when wanted, by law and reading order (`ord`). The rows are worked out once."""
+    kept, _ = stored(rows, "law-rows")
+    columns = [c for c in rows.columns if c != "ord"]
+    dealt = kept.withColumn("_ord", F.col("ord")).drop("ord")
+    write_per_law(dealt, f"{folder}/laws", order=("_ord",), columns=columns)
     if merge:
-        write_csv(rows, f"{folder}/all_laws")
+        write_csv(in_file_order(kept, "law_name", "ord").select(*columns), f"{folder}/all_laws")
 
 
 def law_html_corpus(names: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -69,6 +81,39 @@ def save_cases(main: DataFrame, meta: DataFrame, folder: str, run_id: str, save_
     write_if_any(meta, f"{folder}/selected_meta_{run_id}_jsonl", write_json_lines, wanted=save_meta)
 
 
+def save_selected(
+    index: DataFrame, pages: DataFrame, folder: str, run_id: str, ids: list | DataFrame | None = None, clean: bool = True, save_meta: bool = True
+) -> dict:
+    """selected_cases, written: CSV and JSON lines of main and provenance tables and the rejects, those that have rows. The counts of rows and rejects.
+
+    A given list of ids is kept in its order, all other selections in that of the index. Each page is parsed once: the fields are stored with
+    their counts, and all outputs are written from there.
+    """
+    listed = isinstance(ids, (list, tuple))
+    chosen = lookup.ordered_ids(index.sparkSession, list(ids)) if listed else lookup.selected_ids(index, ids)
+    rows = lookup.lookup(index, chosen, ["form_code", "page_no", "pos"])
+    order = ("selected_pos",) if listed else ("form_code", "page_no", "pos")
+    rows = lookup.in_order(rows, chosen) if listed else rows
+    found = fields.with_fields(lookup.with_detail_page(rows, pages)).withColumn("no_page", F.col("html").isNull()).drop("html")
+    kept, seen = stored(found, "selected-cases", n_rows=F.count(F.lit(1)), n_failed=F.count_if(F.col("no_page")))
+    places = {f"_order{n}": F.col(c) for n, c in enumerate(order)}
+    main, meta = fields.case_tables(kept.withColumns(places), clean, keys=tuple(places))
+    for table, name, wanted in ((main, "selected", True), (meta, "selected_meta", save_meta)):
+        if wanted and seen.get("n_rows"):
+            ordered = in_file_order(table, *places).drop(*places)
+            write_csv(ordered, f"{folder}/{name}_{run_id}_csv")
+            write_json_lines(ordered, f"{folder}/{name}_{run_id}_jsonl")
+    if seen.get("n_failed"):
+        write_csv(manifest.outcomes(kept.where("no_page"), F.col("bdSeq"), F.lit("no detail page")), f"{folder}/selected_rejects_{run_id}")
+    return seen
+
+
+def save_special_laws(pages: DataFrame, folder: str, run_id: str, pos: str = "pos") -> None:
+    """The three-column table of the special-law list, cleaned, in the order of `pos`; pages: (pos, title, pre)."""
+    rows = in_file_order(cases.special_law_list(pages, keys=(pos,)), pos)
+    write_csv(rows.select(*C.SPECIAL_LAW_COLUMNS), f"{folder}/special_laws_{run_id}")
+
+
 def financial_cases(list_pages: DataFrame, pages: DataFrame, max_pages: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(raw, clean, rejects) of list pages (page_no, html) and detail pages (url, html).
 

@@ -25,6 +25,20 @@ def read_case_table(spark: SparkSession, path: str, columns: list[str] | None =
     return reader.csv(path)
 
 
+def read_with_rejects(spark: SparkSession, path: str, columns: list[str], header: bool = True, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files: rows with as many cells as there are columns, and (file, line, reason) of all others.
+
+    Nothing is bent to fit: a line of too few or too many cells is in the rejects as it stands.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in [*columns, "_line"]]
+    reader = spark.read.schema(T.StructType(fields)).option("header", header).option("multiLine", multi_line).option("escape", '"')
+    read = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(path)
+    read = read.select(*columns, "_line", F.col("_metadata.file_path").alias("file"))
+    reason = F.when(F.col(f"`{columns[-1]}`").isNull(), "too few cells").otherwise("too many cells")
+    rejects = read.withColumn("reason", reason).where(F.col("_line").isNotNull())
+    return read.where(F.col("_line").isNull()).select(*columns), rejects.select("file", F.col("_line").alias("line"), "reason")
+
+
 def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool = False) -> DataFrame:
     """(path, length, modificationTime, law_name); file contents are not read."""
     files = (

@@ -6,6 +6,14 @@ from pyspark.sql import functions as F
 BOM = "\ufeff"
 
 
+def in_file_order(df: DataFrame, *order: str) -> DataFrame:
+    """Rows dealt into ranges of `order` and sorted inside them: written files, in the order of their names, then hold the rows in that order.
+
+    Ranges are cut by a sample of the keys, so a frequent first key is spread over many of them.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _with_bom(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
 
@@ -24,11 +32,18 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> N
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_per_law(df: DataFrame, path: str, law: str = "law_name", mode: str = "errorifexists") -> None:
-    """One folder per law. A law of many rows is written by many tasks: nothing is gathered first."""
-    df.withColumn("_law", F.col(law)).write.mode(mode).partitionBy("_law").option("header", True).option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+def write_per_law(
+    df: DataFrame, path: str, law: str = "law_name", order: tuple[str, ...] = (), rows_per_file: int = 1_000_000,
+    columns: list[str] | None = None, mode: str = "errorifexists"
+) -> None:
+    """One folder per law, with files of at most `rows_per_file` rows.
+
+    Rows are dealt into ranges of law and `order`: small laws share a range and give one file each, a law of many rows is written by many
+    tasks in its order, and there are no more files than laws and ranges together, but for those that rows_per_file adds.
+    """
+    dealt = in_file_order(df.withColumn("_law", F.col(law)), "_law", *order).select(*(columns or df.columns), "_law")
+    writer = dealt.write.mode(mode).partitionBy("_law").option("header", True).option("escape", '"').option("emptyValue", "")
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def write_if_any(df: DataFrame, path: str, writer=write_csv, wanted: bool = True) -> bool:
