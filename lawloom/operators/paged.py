@@ -12,10 +12,11 @@ from lawloom import constants as C
 from lawloom.functions.arrays import exploded, split_before
 from lawloom.functions.text import blank_to_null, lines_of, strip
 from lawloom.operators import segment as S
+from lawloom.sources.staging import stored
 
 
 #: Blocks of pages without a number begin here.
-NO_PAGE = 2**60
+NO_PAGE = 2**40
 
 
 def _row_lines(text: Column, whole_rows: bool) -> Column:
@@ -39,7 +40,7 @@ def _packed(rows: DataFrame, value: str) -> DataFrame:
 #: A block's effect on the guard, as a list to look a number up in: the first entry within the gap of the last accepted
 #: number says what that number becomes; without one it stays. An entry repeating an earlier number is never the first.
 EFFECT = "array<struct<n:bigint,exit:bigint>>"
-BLOCKS_PER_GROUP = 64
+BLOCK_BITS = 6
 
 
 def _effect_on(effect: Column, last: Column, gap: int) -> Column:
@@ -79,27 +80,39 @@ def _entered(parts: Column, entry: Column, at: str, gap: int) -> Column:
     return F.aggregate(parts, start, step)["out"]
 
 
-def guard_entries(rows: DataFrame, rules: S.Rules) -> DataFrame:
-    """(law_name, blk, entry): the last accepted heading number before every block that has headings.
+def _numbers(lines: Column, rules: S.Rules) -> Column:
+    headings = F.filter(lines, lambda l: S.is_heading(l, rules) & ~S.is_chapter(l))
+    return F.transform(headings, S.heading_number)
 
-    Each block is described by its effect on the guard. The effects of BLOCKS_PER_GROUP neighbours are composed to one,
-    the groups of a law are walked in order, and their entries are handed down to the blocks. Only heading numbers
-    take part; an effect names each number at most once, so the row of a law has its number of groups times that.
+
+def levels_for(last_block: int | None) -> int:
+    """Levels of 64 after which all blocks of a law are in one group."""
+    return max(1, -(-(last_block or 0).bit_length() // BLOCK_BITS))
+
+
+def guard_entries(blocks: DataFrame, rules: S.Rules, levels: int = 5) -> DataFrame:
+    """(law_name, blk, entry): the last accepted heading number before every block that has headings. blocks: (law_name, blk, _lines).
+
+    Each block is described by its effect on the guard. The effects of up to 64 neighbours are composed to one, those again, and so on for
+    `levels` levels; then the entries are handed down level by level. Only heading numbers take part, an effect names each number at most
+    once, and no row holds more than 64 effects as long as the levels reach (see levels_for).
     """
     gap = rules.gap_limit
-    headings = F.filter("_lines", lambda l: S.is_heading(l, rules) & ~S.is_chapter(l))
-    numbers = rows.select("law_name", "blk", "page_no", F.transform(headings, S.heading_number).alias("numbers"))
-    blocks = _packed(numbers.where(F.size("numbers") > 0), "numbers").select(
-        "law_name", "blk", F.floor(F.col("blk") / BLOCKS_PER_GROUP).alias("grp"), block_effect(F.col("numbers"), gap).alias("effect")
-    )
-    groups = blocks.groupBy("law_name", "grp").agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("blocks"))
-    composed = groups.select("law_name", "grp", F.aggregate(
-        "blocks", F.array().cast(EFFECT), lambda acc, b: _after(acc, b["effect"], gap)
-    ).alias("effect"))
-    laws = composed.groupBy("law_name").agg(F.array_sort(F.collect_list(F.struct("grp", "effect"))).alias("groups"))
-    entries = laws.select("law_name", F.inline(_entered(F.col("groups"), F.lit(None), "grp", gap)))
-    inner = groups.join(entries, ["law_name", "grp"])
-    return inner.select("law_name", F.inline(_entered(F.col("blocks"), F.col("entry"), "blk", gap)))
+    numbers = blocks.select("law_name", "blk", _numbers(F.col("_lines"), rules).alias("numbers")).where(F.size("numbers") > 0)
+    part = numbers.select("law_name", "blk", block_effect(F.col("numbers"), gap).alias("effect"))
+    groups = []
+    for _ in range(levels):
+        grp = F.shiftright("blk", BLOCK_BITS).alias("grp")
+        own = part.groupBy("law_name", grp).agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("parts"))
+        groups.append(own)
+        composed = F.aggregate("parts", F.array().cast(EFFECT), lambda acc, b: _after(acc, b["effect"], gap))
+        part = own.select("law_name", F.col("grp").alias("blk"), composed.alias("effect"))
+    laws = part.groupBy("law_name").agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("parts"))
+    entries = laws.select("law_name", F.inline(_entered(F.col("parts"), F.lit(None), "blk", gap)))
+    for own in reversed(groups):
+        entered = own.join(entries.withColumnRenamed("blk", "grp"), ["law_name", "grp"])
+        entries = entered.select("law_name", F.inline(_entered(F.col("parts"), F.col("entry"), "blk", gap)))
+    return entries
 
 
 def _summaries(tagged: DataFrame) -> DataFrame:
@@ -152,12 +165,12 @@ def segment_pages(
     """Law rows of (law_name, page_no, text); `page` is a whole number, unique within its law.
 
     `whole_rows` takes every input row as one line (paragraphs). `ord` is a struct that sorts the
-    rows of a law into reading order. Rows without a law name are one law of their own. A page without a number is a block of
+    rows of a law into reading order. Pages are read and cut into lines once; blocks are kept in files, before and after headings are known. Rows without a law name are one law of their own. A page without a number is a block of
     its own after all others of its law, in the order of a hash of its text. A text that runs over
     many blocks is one output value and is therefore gathered in one row.
     """
     law = F.col(law_name)
-    unplaced = F.lit(NO_PAGE) + F.pmod(F.xxhash64(F.col(text)), F.lit(2**60))
+    unplaced = F.lit(NO_PAGE) + F.pmod(F.xxhash64(F.col(text)), F.lit(2**20))
     rows = pages.select(
         law.alias("law_name"),
         F.col(page).alias("page_no"),
@@ -165,12 +178,12 @@ def segment_pages(
         _kept(_row_lines(F.col(text), whole_rows), law, rules).alias("_lines"),
     )
     rows = rows.withColumn("law_name", F.coalesce(F.concat(F.lit("="), "law_name"), F.lit("")))
-    blocks = _packed(rows, "_lines")
+    blocks, seen = stored(_packed(rows, "_lines"), "law-blocks", last=F.max("blk"))
     entry = None
     if rules.gap_limit is not None:
-        blocks = blocks.join(guard_entries(rows, rules), ["law_name", "blk"], "left")
+        blocks = blocks.join(guard_entries(blocks, rules, levels_for(seen.get("last"))), ["law_name", "blk"], "left")
         entry = F.col("entry")
-    tagged = S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged")
+    tagged, _ = stored(S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged"), "tagged-blocks")
     placed = tagged.join(_summaries(tagged), ["law_name", "blk"])
     if not rules.keep_preamble:
         seen = F.col("in_article").isNotNull()

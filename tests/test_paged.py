@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lawloom.operators import paged
 from lawloom.operators import segment as S
@@ -50,7 +51,7 @@ def test_guard_over_many_blocks_needs_no_jobs(spark):
                 entries[f"l{law}", page // 2] = last
             for n in numbers:
                 last = n if last is None or abs(n - last) <= 5 else last
-    df = spark.createDataFrame(rows, "law_name string, page_no int, blk long, _lines array<string>")
+    df = paged._packed(spark.createDataFrame(rows, "law_name string, page_no int, blk long, _lines array<string>"), "_lines")
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("guard"))
     spark.sparkContext.setJobGroup("guard", "planning")
     plan = paged.guard_entries(df, S.PAGE_RULES)
@@ -60,6 +61,22 @@ def test_guard_over_many_blocks_needs_no_jobs(spark):
         assert r.entry == entries[r.law_name, r.blk]
 
 
+def test_levels_of_the_guard(spark):
+    assert [paged.levels_for(n) for n in (None, 0, 63, 64, 4095, 4096, 64**3 - 1, 64**3)] == [1, 1, 1, 2, 2, 3, 3, 4]
+    n = 64**3  # one law of as many blocks: numbers that rise by 1 every 50 blocks, with jumps that are refused
+    number = lambda b: F.when(b % 97 == 5, b % 7 * 1000 + 500).otherwise(F.floor(b / 50) + 1)
+    df = spark.range(n).select(F.lit("l").alias("law_name"), F.col("id").alias("blk"), F.array(F.concat(F.lit("제"), number(F.col("id")), F.lit("조"))).alias("_lines"))
+    entries = paged.guard_entries(df, S.PAGE_RULES, paged.levels_for(n - 1))
+    assert entries.count() == n
+    last, wanted = None, {}
+    for b in range(n):
+        own = b % 7 * 1000 + 500 if b % 97 == 5 else b // 50 + 1
+        wanted[b] = last
+        last = own if last is None or abs(own - last) <= 5 else last
+    some = entries.where("blk % 1009 = 3 or blk > 262000 or blk < 300").collect()
+    assert len(some) > 600 and all(r.entry == wanted[r.blk] for r in some)
+
+
 def test_rows_without_a_law_name_are_kept(spark):
     rows = [(None, 0, "제1조(가)\n하나"), (None, 1, "둘"), ("갑", 0, "제1조(나)\n셋")]
     got = paged_rows(spark.createDataFrame(rows, "law_name string, page_no int, text string"), pages_per_block=1)
