@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share; only a local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local["):
+    if not folder and (spark.sparkContext.master + "[").startswith("local["):
         folder = tempfile.mkdtemp(prefix="lawloom-")
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

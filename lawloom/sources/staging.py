@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; only a local session may leave it unset, which then gets a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and spark.sparkContext.master.startswith("local["):
+    if not named and (spark.sparkContext.master + "[").startswith("local["):
         named = tempfile.mkdtemp(prefix="lawloom-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     if not named:
