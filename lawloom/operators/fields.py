@@ -5,66 +5,51 @@ from pyspark.sql import functions as F
 
 from lawloom import constants as C
 from lawloom.functions.arrays import bind, last_of, running_sum
+from lawloom.functions.elements import children, elements, holds, markup_of, tag_parts
 from lawloom.functions.markup import (
-    FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, outer_cells, pieces, prepare, raw_of,
-    cut_at, runs_after, steps, until,
+    FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, pieces, prepare, raw_of, cut_at,
+    runs_after, steps, until,
 )
 from lawloom.functions.text import blank_to_null, collapse, compare_key, is_noise, letters_spaced, remove_once, strip_separators
 
 
-def _longest(texts: Column) -> Column:
-    """struct<size,order,raw> of the longest cell; the first one wins among equals."""
-    return F.array_max(
-        F.transform(texts, lambda raw, i: F.struct(F.length(flow_text(raw)).alias("size"), (-i).alias("order"), raw.alias("raw")))
-    )
+CELL_PATHS = [
+    ["form", "div", "table", "tbody", "tr", "td"], ["section", "form", "div", "table", "tbody", "tr", "td"], ["table", "tbody", "tr", "td"],
+]
+CONTENT_ELEMENTS = ["body", "section", "form", "div", "table", "thead", "tbody", "tfoot", "tr", "td", "th"]
 
 
-def _form_parts(page: Column) -> Column:
-    """array<struct<html,section,in_section>>: every form with the section it stands in."""
+def _longest(parts: Column, found: Column) -> Column:
+    """Markup of the element with the longest text, the first one among equals; NULL when none has text."""
 
-    def placed(parts):
-        opened = F.transform(parts, lambda p: p.rlike(r"(?i)^<section\b").cast("int"))
-        zipped = F.arrays_zip(
-            parts.alias("html"), running_sum(steps(parts, "section")).alias("depth"), running_sum(opened).alias("section")
-        )
-        return F.filter(zipped, lambda z: z.html.rlike(r"(?i)^<form\b"))
+    def sized(e):
+        return bind(markup_of(parts, e), lambda raw: F.struct(F.length(flow_text(raw)).alias("size"), (-e["begin"]).alias("order"), raw.alias("raw")))
 
-    return bind(cut_at(page, r"(?i)</?(?:section|form)\b"), placed)
+    return bind(F.array_max(F.transform(found, sized)), lambda best: F.when(best["size"] > 0, best["raw"]))
 
 
 def content_cell(page: Column) -> Column:
     """Longest cell by the first of four selectors that has one; NULL when no cell has text.
 
-    Selectors, specific to general: third section's form, any section's form, any form, any table.
+    Selectors, specific to general: a form in the body's third section, a form in any section, any form, any table; from the form on
+    always div, table, tbody, row, cell as ancestors of each other. A cell inside a cell found is part of it.
     """
-    none = F.array().cast("array<string>")
-
-    def body_cells(html):
-        return F.when(html.rlike(rf"(?i){opens('tbody')}"), outer_cells(html)).otherwise(none)
-
-    def in_forms(parts):
-        return F.transform(
-            parts,
-            lambda f: F.struct(
-                f.section.alias("section"),
-                f.depth.alias("depth"),
-                F.when(f.html.rlike(rf"(?i){opens('div')}"), body_cells(f.html)).otherwise(none).alias("cells"),
-            ),
-        )
 
-    def longest_of(kept):
-        best = _longest(F.flatten(F.transform(kept, lambda f: f["cells"])))
-        return bind(best, lambda b: F.when(b["size"] > 0, b.raw))
+    def of_page(parts, found):
+        third = F.get(F.flatten(F.transform(
+            F.filter(found, lambda e: e["tag"] == "body"), lambda body: F.slice(children(found, body, "section"), F.lit(3), F.lit(1)))), F.lit(0))
 
-    def by_rule(forms):
-        return F.coalesce(
-            longest_of(F.filter(forms, lambda f: (f.section == 3) & (f.depth > 0))),
-            longest_of(F.filter(forms, lambda f: f.depth > 0)),
-            longest_of(forms),
-        )
+        def hits(k):
+            return F.filter(found, lambda e: F.get(e["hit"], F.lit(k)))
+
+        in_third = bind(third, lambda section: F.filter(hits(0), lambda e: F.coalesce(holds(section, e), F.lit(False))))
+        return F.coalesce(_longest(parts, in_third), _longest(parts, hits(1)), _longest(parts, hits(0)), _longest(parts, hits(2)))
+
+    def wanted(e):
+        return e["tag"].isin("body", "section") | F.exists(e["hit"], lambda h: h)
 
-    anywhere = bind(_longest(body_cells(page)), lambda b: F.when(b["size"] > 0, b.raw))
-    return F.coalesce(bind(in_forms(_form_parts(page)), by_rule), anywhere)
+    return bind(tag_parts(page, CONTENT_ELEMENTS), lambda parts: bind(
+        elements(parts, CONTENT_ELEMENTS, CELL_PATHS, wanted), lambda found: of_page(parts, found)))
 
 
 def strong_sections(root: Column, title: Column) -> Column:
