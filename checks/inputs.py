@@ -176,6 +176,17 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.get("a", F.lit(0)).alias("서비스명"), html.alias("html"))
 
 
+def loose_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, html): unclosed cells, rows and nested tables, stray end tags, and a longer cell that is on no path."""
+    line = F.transform("a", lambda raw, i: _text("<table><tr><td>", _escaped(raw), "<td>", i, "</div></form></table>"))
+    html = _text(
+        "<html><body><section></section><section></section><section><form><div><table><tbody><tr><td>짧은 칸<tr><td>",
+        F.array_join(line, ""), "</tr><tr><td></div>끝</table></div></form><form><div></div><table><tbody><tr><td>밖에 있는 칸 ",
+        F.array_join(F.transform("a", _escaped), " "), "</table></form></section></body></html>",
+    )
+    return documents(spark, sf_dir).select("doc_id", html.alias("html"))
+
+
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(form_code, page_no, html): one list page per document, some rows with too few cells."""
     doc = F.col("doc_id")

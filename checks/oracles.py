@@ -339,6 +339,8 @@ ORACLES = {
     "header_map": f"""WITH {DOCS}, {SECTIONS} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sec) - 1 AS pos,
       {HEADER_FIELDS}[(sec % 7 + 1)::INT] AS field FROM secs""",
     "best_container": f"WITH {DOCS}, {CONTAINER} SELECT doc_id, CASE WHEN length(text) >= 4 THEN text ELSE '짧은 칸' END AS text FROM container",
+    "best_container_loose": f"""WITH {DOCS}, joined AS (SELECT doc_id, {collapse("string_agg(l || ' ' || i, ' ' ORDER BY i)")} AS text FROM dl GROUP BY doc_id)
+      SELECT doc_id, CASE WHEN length(text) > 4 THEN text ELSE '짧은 칸' END AS text FROM joined""",
     "best_table": f"""WITH {DOCS}, fl AS (
         SELECT doc_id, i % 5 AS k, (row_number() OVER (PARTITION BY doc_id, i % 5 ORDER BY i) - 1) AS j, l FROM dl),
       fv AS (SELECT doc_id, k, string_agg(CASE WHEN j % 2 = 0 THEN '- ' ELSE '' END || l, ' ' ORDER BY j) AS v FROM fl GROUP BY ALL),

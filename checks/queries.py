@@ -241,6 +241,10 @@ def best_container(spark, sf):
     return I.detail_pages(spark, sf).select("doc_id", markup.flow_text(_root()).alias("text"))
 
 
+def best_container_loose(spark, sf):
+    return I.loose_detail_pages(spark, sf).select("doc_id", markup.flow_text(_root()).alias("text"))
+
+
 def best_table(spark, sf):
     page = markup.prepare(F.col("html"))
     by_score = markup.flow_text(markup.inside(tables.section_table(page, anchor=None), "table"))

@@ -27,6 +27,10 @@ IMPLIED = {
     "dt": (("dt", "dd"), ("dl", *CELLS, "table")),
     "dd": (("dt", "dd"), ("dl", *CELLS, "table")),
 }
+# Right inside these nothing is left to end: the parent's own opening tag has ended it.
+USUAL_PARENTS = {
+    **{n: ("tr",) for n in CELLS}, "tr": (*GROUPS, "table"), **{n: ("table",) for n in GROUPS}, "li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",),
+}
 # End tags of these reach as far as to the nearest open table; those of OPEN_SCOPE to the whole page; all others to the cell.
 TABLE_SCOPE = (*CELLS, "tr", *GROUPS)
 OPEN_SCOPE = ("table", "body", "html")
@@ -54,8 +58,10 @@ def _ended(tags: Column, name: Column, close: Column, names: list[str]) -> Colum
             F.when(place < end, place).otherwise(F.lit(0)) for place in (F.array_position(tags, w) for w in wanted)
         ], F.lit(0)))
 
+    top = F.get(tags, F.lit(0))
     by_end = (
-        F.when(name.isin(*OPEN_SCOPE), F.array_position(tags, name))
+        F.when(top == name, F.lit(1).cast("bigint"))
+        .when(name.isin(*OPEN_SCOPE), F.array_position(tags, name))
         .when(name.isin(*TABLE_SCOPE), within(("table",), [name]))
         .otherwise(within((*CELLS, "table"), [name]))
     )
@@ -63,7 +69,8 @@ def _ended(tags: Column, name: Column, close: Column, names: list[str]) -> Colum
     for opening, (wanted, scope) in IMPLIED.items():
         known = [F.lit(w) for w in wanted if w in names]
         if opening in names and known:
-            by_open = F.when(name == opening, within(scope, known)).otherwise(by_open)
+            none_open = top.isin(*USUAL_PARENTS[opening])
+            by_open = F.when(name == opening, F.when(none_open, F.lit(0).cast("bigint")).otherwise(within(scope, known))).otherwise(by_open)
     return F.when(close, by_end).otherwise(by_open).cast("int")
 
 

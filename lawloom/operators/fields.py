@@ -175,14 +175,36 @@ def label_matches(label: Column, field: str, exact: bool = False) -> Column:
     return label.rlike("|".join(aliases))
 
 
-def labelled_text(lines: Column, field: str) -> Column:
-    """Text after `alias :` for the first alias that has some and is not noise; else NULL."""
+def label_parts(lines: Column) -> Column:
+    """Parts of a text, cut where some alias and a colon stand, in one pass: alias, colon with blanks, and what follows, FIELD between.
 
-    def of_alias(alias):
-        value = collapse(F.regexp_extract(lines, rf"{alias}{C.WS}*[:：]{C.WS}*(.+)", 1))
+    Of the aliases that end at one colon the pass takes the longest; the others are its endings.
+    """
+    aliases = sorted({a for names in C.FIELD_ALIASES.values() for a in names}, key=lambda a: (-len(a), a))
+    pattern = rf"({'|'.join(aliases)})({C.WS}*[:：]{C.WS}*)(?=.)"
+    return runs_after(F.regexp_replace(lines, pattern, f"{MARK_A}$1{FIELD}$2{FIELD}"), MARK_A)
+
+
+def labelled_text(parts: Column, field: str) -> Column:
+    """Text after `alias :` for the first alias that has some and is not noise; else NULL.
+
+    parts: what `label_parts` gives. An alias counts where it stands first; its text goes on to the end of the line, further labels
+    on that line included.
+    """
+    every = {a for names in C.FIELD_ALIASES.values() for a in names}
+    labels = F.transform(parts, lambda p: F.substring_index(p, FIELD, 1))
+
+    def line_at(at):
+        rest = F.get(F.split(F.array_join(F.slice(parts, at, F.size(parts)), ""), FIELD, 3), F.lit(2))
+        return collapse(F.replace(F.regexp_extract(rest, "^(.*)", 1), F.lit(FIELD), F.lit("")))
+
+    def of_alias(alias, labels):
+        ending = sorted(a for a in every if a.endswith(alias))
+        place = F.array_position(F.transform(labels, lambda l: l.isin(*ending)), F.lit(True)).cast("int")
+        value = bind(place, lambda at: F.when(at > 0, line_at(at)))
         return bind(value, lambda v: F.when(~is_noise(v), v))
 
-    return F.coalesce(*[of_alias(a) for a in C.FIELD_ALIASES[field]])
+    return bind(labels, lambda l: F.coalesce(*[of_alias(a, l) for a in C.FIELD_ALIASES[field]]))
 
 
 def _found(rule: str):
@@ -208,7 +230,7 @@ def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명",
                 lambda s: F.struct(header_field(s.header).alias("field"), s.body.alias("body")),
             ),
             "_pairs": label_pairs(F.col("_root")),
-            "_lines": node_lines(F.col("_root")),
+            "_labelled": label_parts(node_lines(F.col("_root"))),
             "_whole": flow_text(F.col("_root")),
         }
     )
@@ -216,13 +238,13 @@ def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명",
     for f in C.FIELDS:
         strong = F.array_join(F.transform(F.filter("_strong", lambda s: s.field == f), lambda s: s.body), " ")
         pairs = last_of(F.transform(F.filter("_pairs", lambda p: label_matches(p.label, f, exact_labels)), lambda p: p.value))
-        rules = [("strong", blank_to_null(strong)), ("pairs", blank_to_null(pairs)), ("label", labelled_text(F.col("_lines"), f))]
+        rules = [("strong", blank_to_null(strong)), ("pairs", blank_to_null(pairs)), ("label", labelled_text(F.col("_labelled"), f))]
         if f == "서비스 내용":
             rules.append(("fallback", F.when(~is_noise(F.col("_whole")), F.col("_whole"))))
         rules.append(("empty", F.lit("")))
         picked = [bind(v, _found(name)) for name, v in rules]
         found["_f_" + f] = F.coalesce(*picked)
-    df = df.withColumns(found).drop("_page", "_root", "_strong", "_pairs", "_lines", "_whole")
+    df = df.withColumns(found).drop("_page", "_root", "_strong", "_pairs", "_labelled", "_whole")
     return df.withColumns(
         {f: F.col(f"_f_{f}.value") for f in C.FIELDS} | {f"src_{f}": F.col(f"_f_{f}.src") for f in C.FIELDS}
     ).drop(*found)

@@ -5,7 +5,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from lawloom import constants as C
 from lawloom.functions import elements as E
+from lawloom.functions import text as X
 from lawloom.operators import fields
 
 NAMES = ["section", "form", "div", "table", "thead", "tbody", "tr", "td", "th", "ul", "li"]
@@ -112,3 +114,21 @@ def test_unclosed_and_nested(spark):
     assert cell(spark, f"<table><tbody><tr><td>{outer}</td></tr></tbody></table>") == outer
     # The outer cell is on no path (no tbody), so the inner one is found.
     assert cell(spark, "<table><tr><td>layout " + grid("inner") + "</td></tr></table>") == "inner"
+
+
+def test_labels_in_one_pass_equal_a_search_per_alias(spark):
+    rng = random.Random(11)
+    words = [a for names in C.FIELD_ALIASES.values() for a in names] + [":", "：", " : ", ":\n", "\n", " ", "값", "해당 없음", "첨부파일", "x y", "\u3000"]
+    texts = ["", ":", "내용 :", "내용 : ", "조건 : 효과 : 셋 : 넷\n효과 : 다섯", *["".join(rng.choice(words) for _ in range(n)) for n in [2, 5, 12, 40] for _ in range(150)]]
+    flat = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "id int, t string")
+
+    def searched(alias):
+        value = X.collapse(F.regexp_extract("t", rf"{alias}{C.WS}*[:：]{C.WS}*(.+)", 1))
+        return F.when(~X.is_noise(value), value)
+
+    df = flat.withColumn("p", fields.label_parts(F.col("t")))
+    for f in C.FIELDS:
+        wanted = F.coalesce(*[searched(a) for a in C.FIELD_ALIASES[f]])
+        rows = df.select("t", fields.labelled_text(F.col("p"), f).alias("got"), wanted.alias("wanted")).collect()
+        assert [(r.t, r.got) for r in rows] == [(r.t, r.wanted) for r in rows], f
+        assert any(r.got for r in rows)
