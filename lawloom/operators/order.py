@@ -1,5 +1,6 @@
 """Row numbers and first rows in a stated order."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,27 +69,36 @@ def row_index(df: DataFrame, pos: str, output: str = "index", keys: tuple[str, .
 
 
 def file_row_index(df: DataFrame, output: str = "index", start: int = 1) -> DataFrame:
-    """Adds row numbers in file order to a table just read from files.
+    """Adds row numbers in file order (files by path) to a table just read from files.
 
-    A file split keeps its rows together in one task, so a row's place in its split is its place
-    in the task less that of the split's first row; earlier splits, one small row each, give the
-    offset. The rows themselves are not shuffled unless the listing of splits outgrows a broadcast.
+    Parquet rows carry their place in the file, so a row needs the number of rows in earlier files only: one small row per file. A
+    row of another format takes its place from its split: a split keeps its rows together in one task, so the place is that in the
+    task less that of the split's first row, and earlier splits, one small row each, give the offset. The rows themselves are not
+    shuffled unless the listing of files or splits outgrows a broadcast.
     """
-    placed = df.withColumns(
-        {
-            "_file": F.col("_metadata.file_path"),
-            "_start": F.col("_metadata.file_block_start"),
-            "_place": F.monotonically_increasing_id(),
-        }
-    )
-    splits = placed.groupBy("_file", "_start").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return (
-        placed.join(offsets, ["_file", "_start"])
-        .withColumn(output, F.col("_place") - F.col("_first") + F.col("_before") + start)
-        .drop("_file", "_start", "_place", "_first", "_before")
-    )
+    file = {"_file": F.col("_metadata.file_path")}
+    if has_row_places(df):
+        placed = df.withColumns(file | {"_place": F.col("_metadata.row_index")})
+        return _numbered(placed, ["_file"], F.col("_place"), output, start)
+    placed = df.withColumns(file | {"_start": F.col("_metadata.file_block_start"), "_place": F.monotonically_increasing_id()})
+    return _numbered(placed, ["_file", "_start"], F.col("_place") - F.col("_first"), output, start)
+
+
+def has_row_places(df: DataFrame) -> bool:
+    """Does the table's format say each row's place in its file?"""
+    try:
+        df.select("_metadata.row_index").schema
+    except AnalysisException:
+        return False
+    return True
+
+
+def _numbered(placed: DataFrame, part: list[str], inside: Column, output: str, start: int) -> DataFrame:
+    parts = placed.groupBy(*part).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    numbered = placed.join(offsets, part).withColumn(output, inside + F.col("_before") + start)
+    return numbered.drop("_place", "_first", "_before", *part)
 
 
 def first_rows(df: DataFrame, n: int | None, *order: str | Column) -> DataFrame:
