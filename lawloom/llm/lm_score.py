@@ -106,14 +106,13 @@ def _grams_of(row, order: int) -> Grams:
 
 
 def _shards(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each shard the places of its keys, by key."""
+    """For each shard that has keys, the places of its keys, by key. The cost is that of the keys, however many shards there are."""
     order = np.argsort(keys)
     owner = (keys[order] % np.uint64(n)).astype(np.int64)
-    by_owner = order[np.argsort(owner, kind="stable")]
-    ends = np.cumsum(np.bincount(owner, minlength=n))
-    for shard, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
-        if b > a:
-            yield shard, by_owner[a:b]
+    by_shard = np.argsort(owner, kind="stable")
+    shards, starts = np.unique(owner[by_shard], return_index=True)
+    for shard, places in zip(shards.tolist(), np.split(order[by_shard], starts[1:])):
+        yield shard, places
 
 
 def _walk(grams: Grams, counts: list[np.ndarray], total: int, types: int, strength: float) -> tuple[np.ndarray, np.ndarray]:
