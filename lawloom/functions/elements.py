@@ -74,12 +74,12 @@ def _ended(tags: Column, name: Column, close: Column, names: list[str]) -> Colum
     return F.when(close, by_end).otherwise(by_open).cast("int")
 
 
-def elements(parts: Column, names: list[str], chains: list[list[str]] = [], keep=None) -> Column:
+def elements(parts: Column, names: list[str], chains: list[list[str]] = [], only: list[str] | None = None) -> Column:
     """array<struct<begin,end,parent,depth,tag,hit>> in page order; `parent` is the parent's `begin`, 0 at the top.
 
     chains: at most seven descendant paths such as ["form", "table", "td"], of up to 127 names. hit[k] says that the element
-    completes path k, outermost first, so that an element within one that was hit is not hit again. `keep` is a condition on elements.
-    A page that is absent or has no such tags has no elements. Names have at most 14 letters.
+    completes path k, outermost first, so that an element within one that was hit is not hit again. only: give just
+    the elements of these names and those that were hit. A page that is absent or has no such tags has no elements. Names have at most 14 letters.
     """
     names = [n.lower() for n in names]
     no_texts, no_numbers = F.array().cast("array<string>"), F.array().cast("array<bigint>")
@@ -106,7 +106,11 @@ def elements(parts: Column, names: list[str], chains: list[list[str]] = [], keep
         """`;begin end parent depth tag way` for each of the n innermost open elements."""
         def one(i):
             values = (F.get(s["at"], i), end, F.coalesce(F.get(s["at"], i + 1), F.lit(0)), F.size(s["at"]) - i, F.get(s["tags"], i), F.get(s["way"], i))
-            return F.concat(F.lit(";"), F.concat_ws(" ", *[v.cast("string") for v in values]))
+            text = F.concat(F.lit(";"), F.concat_ws(" ", *[v.cast("string") for v in values]))
+            if only is None:
+                return text
+            was_hit = F.get(s["way"], i).bitwiseAND(F.lit(sum(128 << 8 * k for k in range(len(chains))))) != 0
+            return F.when(was_hit | F.get(s["tags"], i).isin(*only), text).otherwise("")
 
         return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), one), "")
 
@@ -151,8 +155,7 @@ def elements(parts: Column, names: list[str], chains: list[list[str]] = [], keep
 
         return bind(F.aggregate(chunks, state(no_texts, no_numbers, no_numbers, no_texts), over), texts)
 
-    found = F.transform(bind(F.transform(parts, token), folded), element)
-    return F.sort_array(F.filter(found, keep) if keep else found)
+    return F.sort_array(F.transform(bind(F.transform(parts, token), folded), element))
 
 
 def markup_of(parts: Column, e: Column) -> Column:

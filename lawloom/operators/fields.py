@@ -45,11 +45,8 @@ def content_cell(page: Column) -> Column:
         in_third = bind(third, lambda section: F.filter(hits(0), lambda e: F.coalesce(holds(section, e), F.lit(False))))
         return F.coalesce(_longest(parts, in_third), _longest(parts, hits(1)), _longest(parts, hits(0)), _longest(parts, hits(2)))
 
-    def wanted(e):
-        return e["tag"].isin("body", "section") | F.exists(e["hit"], lambda h: h)
-
     return bind(tag_parts(page, CONTENT_ELEMENTS), lambda parts: bind(
-        elements(parts, CONTENT_ELEMENTS, CELL_PATHS, wanted), lambda found: of_page(parts, found)))
+        elements(parts, CONTENT_ELEMENTS, CELL_PATHS, ["body", "section"]), lambda found: of_page(parts, found)))
 
 
 def strong_sections(root: Column, title: Column) -> Column:

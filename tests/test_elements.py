@@ -64,7 +64,9 @@ def test_intervals_equal_a_plain_stack(spark):
     pages = ["", "no tags", "<td>", "</div>", "<div" + ">", *[random_page(rng, n) for n in [3, 8, 20, 60, 127, 128, 129, 300] for _ in range(12)]]
     df = spark.createDataFrame(list(enumerate(pages)) + [(-1, None)], "id int, page string")
     found = E.elements(E.tag_parts(F.col("page"), NAMES), NAMES, [PATH])
-    for r in df.select("id", "page", found.alias("e")).collect():
+    fewer = E.elements(E.tag_parts(F.col("page"), NAMES), NAMES, [PATH], ["ul"])
+    for r in df.select("id", "page", found.alias("e"), fewer.alias("fewer")).collect():
+        assert r.fewer == [e for e in r.e if e.tag == "ul" or e.hit[0]]
         if r.id < 0:
             assert r.e == []
         else:
