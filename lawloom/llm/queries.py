@@ -60,7 +60,11 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chat_records(turns: DataFrame) -> DataFrame:
-    """(conv_id, record): the conversations as records of four layouts, by the roles that speak in them."""
+    """(conv_id, record): the conversations as records of four layouts, by the roles that speak in them.
+
+    Rows go by turn, a NULL turn before all others; rows of one turn by role, then text, and repeated rows stay. Rows without a conv_id
+    are one conversation of their own. NULL roles and texts are empty; an empty table gives no records; other columns are not read.
+    """
     said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("t"))
     roles = F.transform("t", lambda t: t["role"])

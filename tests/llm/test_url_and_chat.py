@@ -85,3 +85,18 @@ def test_layouts_by_fingerprint(spark):
     assert got[3]["fingerprint"] == hashlib.sha256("messages\nmessages[].content\nmessages[].role".encode()).hexdigest()
     assert chat.format_chats(no_rows(df), "id", "rec").count() == 0
     assert re.fullmatch("[0-9a-f]{64}", got[4]["fingerprint"])
+
+
+def test_awkward_turns(spark):
+    rows = [
+        (1, 1, "assistant", "b", 0), (1, None, "user", "a", 1), (1, 1, "assistant", "b", 2), (None, 0, "user", "x", 3), (None, 1, "assistant", None, 4),
+        (2, 0, None, None, 5), (3, 0, "user", "t" * 40_000, 6), (3, 0, "assistant", "", 7),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, record int")
+    formatted = chat.format_chats(queries.chat_records(turns), "conv_id", "record")
+    got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in rows_of(formatted.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns")))}
+    assert got == {
+        1: [("user", "a"), ("assistant", "b"), ("assistant", "b")], None: [("user", "x"), ("assistant", "")], 2: [("", "")],
+        3: [("assistant", ""), ("user", "t" * 40_000)],
+    }
+    assert chat.format_chats(queries.chat_records(no_rows(turns)), "conv_id", "record").count() == 0
