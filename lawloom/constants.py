@@ -173,3 +173,16 @@ LEADING_BULLETS_KEEP_DECIMALS = rf"(?:{WS}*(?:[\-–—•·/]|[①-⑳]|\(?\p{{
 ILLEGAL_FILE_CHARS = '<>:"/\\|?*'
 DEFAULT_LAW_NAME = "법령"
 SENTENCE_LIMIT = 120
+
+# Headers of the ICT table and the columns that they become.
+ICT_COLUMNS = {
+    "번호": "index",
+    "구분": "category",
+    "서비스명": "title",
+    "서비스 내용": "main_content",
+    "규제": "regulatory_issue",
+    "특례 내용": "regulatory_relief",
+    "부가조건": "conditions",
+    "기대효과": "expected_effect",
+    "개선결과": "achievements",
+}

@@ -75,19 +75,7 @@ def _mapped(df: DataFrame, pos: str, index: Column, kind: str, **columns: Column
 
 
 def normalize_ict(df: DataFrame, pos: str = "pos") -> DataFrame:
-    mapping = {
-        "번호": "index",
-        "구분": "category",
-        "서비스명": "title",
-        "서비스 내용": "main_content",
-        "규제": "regulatory_issue",
-        "특례 내용": "regulatory_relief",
-        "부가조건": "conditions",
-        "기대효과": "expected_effect",
-        "개선결과": "achievements",
-        pos: "ord",
-    }
-    return conform(strict_rename(df, mapping).withColumn("sandbox_type", F.lit("ICT")), ("ord",))
+    return conform(strict_rename(df, C.ICT_COLUMNS | {pos: "ord"}).withColumn("sandbox_type", F.lit("ICT")), ("ord",))
 
 
 def normalize_regzone(df: DataFrame, pos: str = "pos", compat: bool = False) -> DataFrame:
