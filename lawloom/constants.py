@@ -8,8 +8,12 @@ WS_CHARS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same set in a form that is quick to test: the regex engine keeps single characters below 256 in one table, but tries ranges in turn.
+WS_QUICK = r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
 # A run that is not already one plain blank: single blanks, the common case, are never rewritten.
-WS_RUN = rf"(?:{WS.replace(chr(92) + 'x20', chr(92) + 'x1f')}{WS}*| {WS}+)"
+WS_RUN = rf"{WS_QUICK}(?:(?<=[^ ]){WS_QUICK}*+|{WS_QUICK}++)"
+# Digits, Latin, Hangul syllables and jamo, in the same quick form; for use inside a class.
+LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz가-힣ㄱ-ㅣ"
 NOT_WS = WS.replace("[", "[^", 1)
 LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 

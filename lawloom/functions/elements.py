@@ -74,12 +74,15 @@ def _ended(tags: Column, name: Column, close: Column, names: list[str]) -> Colum
     return F.when(close, by_end).otherwise(by_open).cast("int")
 
 
-def elements(parts: Column, names: list[str], chains: list[list[str]] = [], only: list[str] | None = None) -> Column:
+def elements(
+    parts: Column, names: list[str], chains: list[list[str]] = [], only: list[str] | None = None, inert: str | None = None
+) -> Column:
     """array<struct<begin,end,parent,depth,tag,hit>> in page order; `parent` is the parent's `begin`, 0 at the top.
 
     chains: at most seven descendant paths such as ["form", "table", "td"], of up to 127 names. hit[k] says that the element
     completes path k, outermost first, so that an element within one that was hit is not hit again. only: give just
-    the elements of these names and those that were hit. A page that is absent or has no such tags has no elements. Names have at most 14 letters.
+    the elements of these names and those that were hit. inert: pattern of tags, each written as `name number;` or `/name number;`, that
+    end nothing, complete no path and leave open what was open; the fold passes over them, but for those of the pattern's first group. A page that is absent or has no such tags has no elements. Names have at most 14 letters.
     """
     names = [n.lower() for n in names]
     no_texts, no_numbers = F.array().cast("array<string>"), F.array().cast("array<bigint>")
@@ -88,6 +91,21 @@ def elements(parts: Column, names: list[str], chains: list[list[str]] = [], only
         name = F.lower(F.regexp_extract(F.substring(part, 1, 16), r"^</?([A-Za-z0-9]+)", 1))
         return F.struct((i + 1).cast("bigint").alias("at"), name.alias("name"), F.startswith(part, F.lit("</")).alias("close"))
 
+    def without_inert(parts):
+        def word(part, i):
+            name = F.lower(F.regexp_extract(F.substring(part, 1, 16), r"^<(/?[A-Za-z0-9]+)", 1))
+            return F.concat(name, F.lit(" "), (i + 1).cast("string"), F.lit(";"))
+
+        def of_words(words):
+            name = F.get(words, F.lit(0))
+            close = F.startswith(name, F.lit("/"))
+            return F.struct(
+                F.get(words, F.lit(1)).cast("bigint").alias("at"), F.when(close, F.substring(name, 2, 16)).otherwise(name).alias("name"), close.alias("close"))
+
+        written = F.array_join(F.transform(parts, word), "")
+        left = bind(F.split(F.regexp_replace(written, inert, "$1"), ";"), lambda w: F.slice(w, F.lit(1), F.size(w) - 1))
+        return F.transform(left, lambda w: bind(F.split(w, " "), of_words))
+
     # Spark copies a fold's state at every step: open elements are kept in flat arrays, ended ones in one text.
     def state(tags, at, way, done):
         return F.struct(tags.alias("tags"), at.alias("at"), way.alias("way"), done.alias("done"))
@@ -142,7 +160,7 @@ def elements(parts: Column, names: list[str], chains: list[list[str]] = [], only
 
         return bind(F.split(text, " "), of_values)
 
-    def folded(tokens):
+    def folded(tokens, last):
         chunks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(tokens), F.lit(1)) - 1) / CHUNK).cast("int"))
 
         def over(s, k):
@@ -150,12 +168,13 @@ def elements(parts: Column, names: list[str], chains: list[list[str]] = [], only
             return bind(inner, lambda r: state(r["tags"], r["at"], r["way"], F.concat(s["done"], F.array(r["done"]))))
 
         def texts(s):
-            still_open = F.when(F.size(s["at"]) > 0, ended_texts(s, F.size(s["at"]), F.size(tokens) + 1)).otherwise("")
+            still_open = F.when(F.size(s["at"]) > 0, ended_texts(s, F.size(s["at"]), last + 1)).otherwise("")
             return runs_after(F.concat(F.array_join(s["done"], ""), still_open), ";")
 
         return bind(F.aggregate(chunks, state(no_texts, no_numbers, no_numbers, no_texts), over), texts)
 
-    return F.sort_array(F.transform(bind(F.transform(parts, token), folded), element))
+    tokens = F.transform(parts, token) if inert is None else without_inert(parts)
+    return F.sort_array(F.transform(bind(tokens, lambda t: folded(t, F.size(parts))), element))
 
 
 def markup_of(parts: Column, e: Column) -> Column:

@@ -82,8 +82,8 @@ def iso_date(c: Column) -> Column:
 def letters_spaced(c: Column) -> Column:
     """Keep digits, Latin, Hangul and jamo; every other run becomes one blank."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    kept = "0-9A-Za-z가-힣ㄱ-ㅎㅏ-ㅣ"
-    return F.trim(F.regexp_replace(text, f"[^{kept} ][^{kept}]*| [^{kept}]+", " "))
+    other = f"[^{C.LETTERS}]"
+    return F.trim(F.regexp_replace(text, f"{other}(?:(?<=[^ ]){other}*+|{other}++)", " "))
 
 
 def letters_only(c: Column) -> Column:
@@ -93,8 +93,14 @@ def letters_only(c: Column) -> Column:
     return F.trim(F.regexp_replace(kept, " {2,}", " "))
 
 
+def kept_letters(c: Column) -> Column:
+    """Digits, Latin, Hangul and jamo; everything else deleted."""
+    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"[^{C.LETTERS}]++", "")
+
+
 def compare_key(c: Column) -> Column:
-    return F.lower(F.replace(letters_spaced(c), F.lit(" "), F.lit("")))
+    """The kept letters in lower case, which has as many."""
+    return F.lower(kept_letters(c))
 
 
 def drop_law_tags(c: Column) -> Column:
@@ -219,8 +225,14 @@ def null_word_to_blank(c: Column) -> Column:
     )
 
 
+def any_of(words) -> str:
+    """Pattern of an alternation of words, not empty; characters that none of them begins with are mostly passed over by one comparison."""
+    first = sorted(w[0] for w in words)
+    return rf"(?=[{first[0]}-{first[-1]}])(?:{'|'.join(words)})"
+
+
 def is_noise(c: Column) -> Column:
-    return bind(F.coalesce(c, F.lit("")), lambda t: ~t.rlike(C.NOT_WS) | t.rlike("|".join(C.NOISE_TOKENS)))
+    return bind(F.coalesce(c, F.lit("")), lambda t: ~t.rlike(C.NOT_WS) | t.rlike(any_of(C.NOISE_TOKENS)))
 
 
 def signature(texts: Column, n: int = 5) -> Column:

@@ -10,7 +10,7 @@ from lawloom.functions.markup import (
     FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, pieces, prepare, raw_of, cut_at,
     runs_after, steps, until,
 )
-from lawloom.functions.text import blank_to_null, collapse, compare_key, is_noise, letters_spaced, remove_once, strip_separators
+from lawloom.functions.text import any_of, blank_to_null, collapse, compare_key, is_noise, kept_letters, letters_spaced, remove_once, strip_separators
 
 
 CELL_PATHS = [
@@ -19,6 +19,20 @@ CELL_PATHS = [
 CONTENT_ELEMENTS = ["body", "section", "form", "div", "table", "thead", "tbody", "tfoot", "tr", "td", "th"]
 
 
+def _tags(opening: str) -> str:
+    return rf"{opening} \d++;"
+
+
+# Complete rows: cells and rows that are all closed in order.
+_ROWS = f"(?:{_tags('tr')}(?:{_tags('td')}{_tags('/td')}|{_tags('th')}{_tags('/th')})*+{_tags('/tr')})*+"
+# Complete tables in a cell that has a row, a group and a table around it. They open and close nothing else, and no cell in them can complete
+# one of CELL_PATHS: its last four names are those of the cell around them, which has completed it or lies in one that has.
+TABLES_IN_CELL = (
+    rf"((?<!/){_tags('table')}{_tags('tbody')}{_ROWS}{_tags('tr')}(?:{_tags('t[dh]')}{_tags('/t[dh]')})*+{_tags('td')})"
+    rf"(?:{_tags('table')}(?:{_tags('tbody')}{_ROWS}{_tags('/tbody')}|{_ROWS}){_tags('/table')})++"
+)
+
+
 def _longest(parts: Column, found: Column) -> Column:
     """Markup of the element with the longest text, the first one among equals; NULL when none has text."""
 
@@ -46,7 +60,7 @@ def content_cell(page: Column) -> Column:
         return F.coalesce(_longest(parts, in_third), _longest(parts, hits(1)), _longest(parts, hits(0)), _longest(parts, hits(2)))
 
     return bind(tag_parts(page, CONTENT_ELEMENTS), lambda parts: bind(
-        elements(parts, CONTENT_ELEMENTS, CELL_PATHS, ["body", "section"]), lambda found: of_page(parts, found)))
+        elements(parts, CONTENT_ELEMENTS, CELL_PATHS, ["body", "section"], TABLES_IN_CELL), lambda found: of_page(parts, found)))
 
 
 def strong_sections(root: Column, title: Column) -> Column:
@@ -57,7 +71,9 @@ def strong_sections(root: Column, title: Column) -> Column:
     strong = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
     def body(own, title_key):
-        keep = ~is_noise(own) & ~compare_key(own).eqNullSafe(title_key)
+        is_title = (F.length(own) >= F.length(title_key)) & bind(
+            kept_letters(own), lambda k: (F.length(k) == F.length(title_key)) & (F.lower(k) == title_key))
+        keep = ~is_noise(own) & ~is_title
         return F.when(keep, F.concat(F.lit(" "), own)).otherwise("")
 
     def headed(inner, title_key):
@@ -178,7 +194,7 @@ def label_parts(lines: Column) -> Column:
     Of the aliases that end at one colon the pass takes the longest; the others are its endings.
     """
     aliases = sorted({a for names in C.FIELD_ALIASES.values() for a in names}, key=lambda a: (-len(a), a))
-    pattern = rf"({'|'.join(aliases)})({C.WS}*[:：]{C.WS}*)(?=.)"
+    pattern = rf"({any_of(aliases)})({C.WS}*[:：]{C.WS}*)(?=.)"
     return runs_after(F.regexp_replace(lines, pattern, f"{MARK_A}$1{FIELD}$2{FIELD}"), MARK_A)
 
 

@@ -134,3 +134,48 @@ def test_labels_in_one_pass_equal_a_search_per_alias(spark):
         rows = df.select("t", fields.labelled_text(F.col("p"), f).alias("got"), wanted.alias("wanted")).collect()
         assert [(r.t, r.got) for r in rows] == [(r.t, r.wanted) for r in rows], f
         assert any(r.got for r in rows)
+
+
+def content_folds(spark, pages, inert):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, page string")
+    parts = E.tag_parts(F.col("page"), fields.CONTENT_ELEMENTS)
+    found = E.elements(parts, fields.CONTENT_ELEMENTS, fields.CELL_PATHS, ["body", "section"], inert)
+    return [[tuple(e) for e in r.e] for r in df.select("i", found.alias("e")).orderBy("i").collect()]
+
+
+def test_tables_in_a_cell_change_no_element(spark):
+    rng = random.Random(7)
+    inner = "<table><tbody><tr><th>a</th><td>b</td></tr><tr></tr></tbody></table><TABLE><tr><td>c</td></tr></TABLE>"
+    frames = ["<table><tbody><tr><td>{}</td></tr></tbody></table>", "<table><tbody><tr><th>x</th></tr><tr><td>y</td><td>{}<td>z</table>",
+              "<form><div>{}</div></form>", "</table><tbody><tr><td>{}", "<section>{}</section>", "<table><tr><td>{}</td></tr></table>"]
+    pages = []
+    for _ in range(120):
+        page = "".join(rng.choice([inner, "<td>", "</tr>", "</table>", "x"]) for _ in range(rng.randint(1, 3)))
+        for _ in range(rng.randint(0, 4)):
+            page = rng.choice(frames).format(page + rng.choice(["", inner]))
+        pages.append(page)
+    assert content_folds(spark, pages, fields.TABLES_IN_CELL) == content_folds(spark, pages, None)
+
+
+def test_fold_passes_over_tables_in_a_cell(spark):
+    page = "<table><tbody><tr><td>" + "<table><tbody>" + "<tr><td>x</td></tr>" * 5000 + "</tbody></table></td></tr></tbody></table>"
+    tags = "".join(f"{t} {i};" for i, t in enumerate(re.findall(r"<(/?\w+)", page), 1))
+    left = spark.createDataFrame([(tags,)], "t string").select(F.regexp_replace("t", fields.TABLES_IN_CELL, "$1").alias("t")).first().t
+    assert left.count(";") == 8
+
+
+def test_quick_patterns_take_the_same_characters(spark):
+    df = spark.range(0x10FFFF + 1).where("id > 0 and (id < 55296 or id > 57343)")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    quick = {C.WS: C.WS_QUICK, "[0-9A-Za-z가-힣ㄱ-ㅎㅏ-ㅣ]": f"[{C.LETTERS}]"}
+    for plain, other in quick.items():
+        assert df.select(char.alias("c")).where(F.col("c").rlike(plain) != F.col("c").rlike(other)).count() == 0
+    long = "[0-9A-Za-z가-힣ㄱ-ㅎㅏ-ㅣ]"
+    rows = spark.range(3000).select(F.concat(*[F.element_at(F.array(*[F.lit(x) for x in [" ", "a", "\t", "가", "　", "-", "B", "\U0001F600"]]),
+        (F.xxhash64("id", F.lit(k)) % 4 + 4).cast("int") + 1) for k in range(9)]).alias("t"))
+    run = rf"(?:{C.WS.replace(chr(92) + 'x20', chr(92) + 'x1f')}{C.WS}*| {C.WS}+)"
+    spaced = f"[^{long[1:-1]} ][^{long[1:-1]}]*| [^{long[1:-1]}]+"
+    pairs = [(X.collapse(F.col("t")), F.trim(F.regexp_replace("t", run, " "))), (X.letters_spaced(F.col("t")), F.trim(F.regexp_replace("t", spaced, " "))),
+             (X.compare_key(F.col("t")), F.lower(F.replace(F.regexp_replace("t", spaced, " "), F.lit(" "), F.lit(""))))]
+    for new, old in pairs:
+        assert rows.where(~new.eqNullSafe(old)).count() == 0
