@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from lawloom import constants as C
-from lawloom.functions.arrays import exploded
+from lawloom.functions.arrays import bind, exploded
 from lawloom.functions import clauses, markup, text as X
 from lawloom.sources import readers, writers
 from lawloom.operators import cases, dedup, fields, lawhtml, listing, lookup, manifest, normalize, order, paged, segment, tables
@@ -215,8 +215,7 @@ def kv_table(spark, sf):
 
 
 def _root():
-    page = markup.prepare(F.col("html"))
-    return F.coalesce(fields.content_cell(page), page)
+    return bind(markup.prepare(F.col("html")), lambda page: F.coalesce(fields.content_cell(page), page))
 
 
 def kv_pairs(spark, sf):
