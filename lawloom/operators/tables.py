@@ -139,14 +139,19 @@ def absolute_url(href: Column, page_url: str) -> Column:
 
 
 def _url_of(tag: Column, token: str, base: str, page_url: str | None) -> Column:
-    href, onclick = strip(attribute(tag, "href")), strip(F.regexp_extract(tag, r"(?is)\sonclick\s*=\s*(?:\"([^\"]*)|'[^']*)", 0))
-    by_id = F.regexp_extract(onclick, r"id=([0-9]{1,10})", 1)
-    by_call = F.regexp_extract(onclick, r"['\"]?([0-9]{1,10})['\"]?\)", 1)
-    return (
-        F.when(F.contains(href, F.lit(token)), absolute_url(href, page_url) if page_url else href)
-        .when(by_id != "", F.concat(F.lit(base), by_id))
-        .when(by_call != "", F.concat(F.lit(base), by_call))
-    )
+    """Address by `href`, else by `onclick`; a tag without an equals sign has neither."""
+
+    def of_href(href):
+        return F.when(F.contains(href, F.lit(token)), absolute_url(href, page_url) if page_url else href)
+
+    def of_onclick(onclick):
+        by_id = bind(F.regexp_extract(onclick, r"id=([0-9]{1,10})", 1), lambda i: F.when(i != "", F.concat(F.lit(base), i)))
+        by_call = bind(F.regexp_extract(onclick, r"['\"]?([0-9]{1,10})['\"]?\)", 1), lambda i: F.when(i != "", F.concat(F.lit(base), i)))
+        return F.coalesce(by_id, by_call)
+
+    href = bind(strip(attribute(tag, "href")), of_href)
+    onclick = bind(strip(F.regexp_extract(tag, r"(?is)\sonclick\s*=\s*(?:\"([^\"]*)|'[^']*)", 0)), of_onclick)
+    return F.when(F.contains(tag, F.lit("=")), F.coalesce(href, onclick))
 
 
 def row_link(row: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DETAIL_BASE, page_url: str | None = None) -> Column:
@@ -155,12 +160,16 @@ def row_link(row: Column, token: str = C.DETAIL_HREF_TOKEN, base: str = C.FIN_DE
     With `page_url` relative links are resolved against it.
     """
     fifth = F.get(F.filter(pieces(row, "td|th"), lambda c: c.rlike("(?i)^<td")), F.lit(4))
-    tags = F.concat(
+    places = [
         F.array(open_tag(row)),
-        F.coalesce(F.regexp_extract_all(fifth, F.lit(ANY_TAG), F.lit(0)), F.array().cast("array<string>")),
+        F.regexp_extract_all(fifth, F.lit(ANY_TAG), F.lit(0)),
         F.regexp_extract_all(row, F.lit(rf"(?i){opens('a|button|em')}[^>]*>"), F.lit(0)),
-    )
-    return F.get(F.filter(F.transform(tags, lambda t: _url_of(t, token, base, page_url)), lambda u: u.isNotNull()), F.lit(0))
+    ]
+
+    def first_url(tags):
+        return F.get(F.filter(F.transform(tags, lambda t: _url_of(t, token, base, page_url)), lambda u: u.isNotNull()), F.lit(0))
+
+    return F.coalesce(*[first_url(tags) for tags in places])
 
 
 def page_links(
@@ -168,6 +177,10 @@ def page_links(
     page_url: str | None = None,
 ) -> Column:
     """All detail links of a list page, in first-seen order without repeats; relative ones against `page_url`, else `base`."""
+    return bind(page, lambda p: _links_of(p, token, base, literal, page_url))
+
+
+def _links_of(page: Column, token: str, base: str, literal: str, page_url: str | None) -> Column:
     table = list_table(page)
     rows = F.transform(_body_rows(table), lambda r: row_link(r, token, base, page_url or base))
     row_links = F.coalesce(F.filter(rows, lambda u: u.isNotNull()), F.array().cast("array<string>"))
