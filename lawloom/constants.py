@@ -14,6 +14,10 @@ WS_QUICK = r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&[\u1680\
 WS_RUN = rf"{WS_QUICK}(?:(?<=[^ ]){WS_QUICK}*+|{WS_QUICK}++)"
 # Digits, Latin, Hangul syllables and jamo, in the same quick form; for use inside a class.
 LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz가-힣ㄱ-ㅣ"
+# All other characters. A negated class is slow to test, with a call for each single character, so what lies below 256 is listed.
+NOT_LETTER = "[{}\\u0100-\\u3130\\u3164-\\uabff\\ud7a4-\\x{{10ffff}}]".format(
+    "".join(f"\\x{i:02x}" for i in range(256) if not (chr(i).isascii() and chr(i).isalnum()))
+)
 NOT_WS = WS.replace("[", "[^", 1)
 LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 

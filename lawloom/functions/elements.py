@@ -13,7 +13,7 @@ row.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lawloom.functions.arrays import bind
+from lawloom.functions.arrays import CUT, bind
 from lawloom.functions.markup import after_open, cut_at, runs_after
 
 GROUPS = ("thead", "tbody", "tfoot")
@@ -93,8 +93,7 @@ def elements(
 
     def without_inert(parts):
         def word(part, i):
-            name = F.lower(F.regexp_extract(F.substring(part, 1, 16), r"^<(/?[A-Za-z0-9]+)", 1))
-            return F.concat(name, F.lit(" "), (i + 1).cast("string"), F.lit(";"))
+            return F.concat((i + 1).cast("string"), F.substring(part, 1, 16), F.lit(CUT))
 
         def of_words(words):
             name = F.get(words, F.lit(0))
@@ -102,7 +101,7 @@ def elements(
             return F.struct(
                 F.get(words, F.lit(1)).cast("bigint").alias("at"), F.when(close, F.substring(name, 2, 16)).otherwise(name).alias("name"), close.alias("close"))
 
-        written = F.array_join(F.transform(parts, word), "")
+        written = F.lower(F.regexp_replace(F.array_join(F.transform(parts, word), ""), rf"(\d++)<(/?[A-Za-z0-9]++)[^{CUT}]*+{CUT}", "$2 $1;"))
         left = bind(F.split(F.regexp_replace(written, inert, "$1"), ";"), lambda w: F.slice(w, F.lit(1), F.size(w) - 1))
         return F.transform(left, lambda w: bind(F.split(w, " "), of_words))
 

@@ -82,7 +82,7 @@ def iso_date(c: Column) -> Column:
 def letters_spaced(c: Column) -> Column:
     """Keep digits, Latin, Hangul and jamo; every other run becomes one blank."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    other = f"[^{C.LETTERS}]"
+    other = C.NOT_LETTER
     return F.trim(F.regexp_replace(text, f"{other}(?:(?<=[^ ]){other}*+|{other}++)", " "))
 
 
@@ -95,7 +95,7 @@ def letters_only(c: Column) -> Column:
 
 def kept_letters(c: Column) -> Column:
     """Digits, Latin, Hangul and jamo; everything else deleted."""
-    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"[^{C.LETTERS}]++", "")
+    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"{C.NOT_LETTER}++", "")
 
 
 def compare_key(c: Column) -> Column:
@@ -212,10 +212,19 @@ def decode_entities(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """The six entities that `decode_entities` leaves; '&amp;' last."""
-    for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """The six entities that `decode_entities` leaves, each once: '&amp;lt;' becomes '&lt;'. Most texts have none and are only searched for '&'."""
+    chars = F.create_map(*[F.lit(x) for code, entity in _KEPT.items() for x in (entity[1:-1], chr(code))])
+
+    def of_part(part):
+        name = F.substring_index(F.substring(part, 1, 5), ";", 1)
+        return bind(F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", F.try_element_at(chars, name)), lambda char: F.when(
+            char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, F.substr(part, F.length(name) + 2))))
+
+    def unescaped(text):
+        parts = F.transform(F.split(text, "&"), lambda p, i: F.when(i == 0, p).otherwise(of_part(p)))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+
+    return bind(c, unescaped)
 
 
 def null_word_to_blank(c: Column) -> Column:

@@ -4,10 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom import constants as C
-from lawloom.functions.arrays import bind, last_of, running_sum
+from lawloom.functions.arrays import CUT, bind, last_of, running_sum
 from lawloom.functions.elements import children, elements, holds, markup_of, tag_parts
 from lawloom.functions.markup import (
-    FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, pieces, prepare, raw_of, cut_at,
+    FIELD, MARK_A, MARK_B, after_open, block, cells, flow_text, inside, node_lines, opens, pieces, prepare, raw_of,
     runs_after, steps, until,
 )
 from lawloom.functions.text import any_of, blank_to_null, collapse, compare_key, is_noise, kept_letters, letters_spaced, remove_once, strip_separators
@@ -71,7 +71,9 @@ def strong_sections(root: Column, title: Column) -> Column:
     strong = r"(?is)<strong\b[^>]*>(.*?)</strong\s*>"
 
     def body(own, title_key):
-        is_title = (F.length(own) >= F.length(title_key)) & bind(
+        # A repeat of the title begins with the same word; few paragraphs go on to the whole comparison.
+        same_word = F.startswith(title_key, F.lower(F.regexp_extract(own, f"[{C.LETTERS}]++", 0)))
+        is_title = (F.length(own) >= F.length(title_key)) & same_word & bind(
             kept_letters(own), lambda k: (F.length(k) == F.length(title_key)) & (F.lower(k) == title_key))
         keep = ~is_noise(own) & ~is_title
         return F.when(keep, F.concat(F.lit(" "), own)).otherwise("")
@@ -86,16 +88,17 @@ def strong_sections(root: Column, title: Column) -> Column:
     def tagged(p, title_key):
         return bind(
             block(p),
-            lambda inner: F.when(inner.rlike(strong), headed(inner, title_key)).otherwise(
+            lambda inner: F.when(F.contains(inner, F.lit("<")) & inner.rlike(strong), headed(inner, title_key)).otherwise(
                 bind(flow_text(inner), lambda own: body(own, title_key))
             ),
         )
 
     def placed(parts, title_key):
-        """Each paragraph with the depth of tables and blocks in which it stands, and a mark where one of those ends."""
+        """Each paragraph with the depth of tables and blocks in which it stands, and a mark where one of those begins or ends."""
         nested = F.zip_with(parts, running_sum(steps(parts, "table|div")), lambda p, d: F.struct(p.alias("p"), d.cast("string").alias("d")))
-        return F.array_join(F.transform(nested, lambda x: F.when(x["p"].rlike(r"(?i)^<p"), marked(x["p"], x["d"], title_key)).otherwise(
-            F.concat(F.lit(MARK_B), x["d"], F.lit(FIELD + FIELD)))), "")
+        return F.array_join(F.transform(nested, lambda x, k: F.concat(
+            F.when(k == 0, "").otherwise(F.concat(F.lit(MARK_B), x["d"], F.lit(FIELD + FIELD))),
+            F.array_join(F.transform(pieces(x["p"], "p"), lambda p: marked(p, x["d"], title_key)), ""))), "")
 
     def marked(p, depth, title_key):
         return bind(tagged(p, title_key), lambda t: F.when(
@@ -107,14 +110,20 @@ def strong_sections(root: Column, title: Column) -> Column:
 
     def of_head(head, parts):
         own = F.get(head, F.lit(0)).cast("int")
-        after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.split(p, FIELD))
-        ended = F.array_position(F.transform(after, lambda p: F.get(p, F.lit(0)).cast("int") < own), F.lit(True)).cast("int")
-        siblings = F.slice(after, F.lit(1), F.when(ended > 0, ended - 1).otherwise(F.size(after)))
-        siblings = F.filter(siblings, lambda p: F.get(p, F.lit(0)).cast("int") == own)
-        texts = F.concat(F.array(F.get(head, F.lit(2))), F.transform(siblings, lambda p: F.get(p, F.lit(1))))
-        return F.struct(F.get(head, F.lit(1)).alias("header"), collapse(F.array_join(texts, "")).alias("body"))
-
-    parts = cut_at(root, rf"(?i)(?:</?(?:table|div)(?=[\s>/])|{opens('p')})")
+        after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: bind(
+            F.split(p, FIELD), lambda v: F.struct(F.get(v, F.lit(0)).cast("int").alias("depth"), F.get(v, F.lit(1)).alias("text"))))
+
+        def body_of(after, own):
+            ended = F.array_position(F.transform(after, lambda p: p["depth"] < own), F.lit(True)).cast("int")
+            siblings = bind(ended, lambda e: F.slice(after, F.lit(1), F.when(e > 0, e - 1).otherwise(F.size(after))))
+            siblings = F.filter(siblings, lambda p: p["depth"] == own)
+            return F.array_join(F.concat(F.array(F.get(head, F.lit(2))), F.transform(siblings, lambda p: p["text"])), "")
+
+        text = bind(own, lambda o: bind(after, lambda a: body_of(a, o)))
+        return F.struct(F.get(head, F.lit(1)).alias("header"), collapse(text).alias("body"))
+
+    # The text up to the first table or block is a part too.
+    parts = F.split(F.regexp_replace(root, r"(?i)</?(?:table|div)(?=[\s>/])", f"{CUT}$0"), CUT)
     joined = bind(compare_key(title), lambda key: bind(parts, lambda ps: placed(ps, key)))
     return F.filter(F.transform(runs_after(joined, MARK_A), section), lambda s: s.body != "")
 
@@ -175,7 +184,7 @@ def label_pairs(root: Column) -> Column:
             inside(dl, "dl"), lambda i: bind(pieces(i, "dt"), lambda dts: bind(pieces(i, "dd"), lambda dds: zipped(dts, dds)))
         )
 
-    tables = F.flatten(F.transform(pieces(root, "tr"), row_pairs))
+    tables = F.flatten(F.transform(F.filter(pieces(root, "tr"), lambda row: row.rlike(rf"(?i){opens('th')}")), row_pairs))
     lists = F.flatten(F.transform(pieces(root, "dl"), list_pairs))
     return F.filter(F.concat(tables, lists), lambda p: (p.label != "") & (p.value != "") & ~is_noise(p.value))
 
@@ -243,21 +252,25 @@ def with_fields(df: DataFrame, html: str = "html", title: str = "서비스명",
                 lambda s: F.struct(header_field(s.header).alias("field"), s.body.alias("body")),
             ),
             "_pairs": label_pairs(F.col("_root")),
-            "_labelled": label_parts(node_lines(F.col("_root"))),
-            "_whole": flow_text(F.col("_root")),
         }
     )
-    found = {}
+    first_rules = {}
     for f in C.FIELDS:
         strong = F.array_join(F.transform(F.filter("_strong", lambda s: s.field == f), lambda s: s.body), " ")
         pairs = last_of(F.transform(F.filter("_pairs", lambda p: label_matches(p.label, f, exact_labels)), lambda p: p.value))
-        rules = [("strong", blank_to_null(strong)), ("pairs", blank_to_null(pairs)), ("label", labelled_text(F.col("_labelled"), f))]
+        first_rules["_f_" + f] = F.coalesce(*[bind(v, _found(name)) for name, v in [("strong", blank_to_null(strong)), ("pairs", blank_to_null(pairs))]])
+    df = df.withColumns(first_rules)
+    # Lines and the whole text are worked out only for pages where a field still needs them.
+    missing = F.greatest(*[F.col(f"`{name}`").isNull() for name in first_rules])
+    df = df.withColumn("_labelled", F.when(missing, label_parts(node_lines(F.col("_root")))))
+    found = {}
+    for name, f in zip(first_rules, C.FIELDS):
+        rules = [("label", labelled_text(F.col("_labelled"), f))]
         if f == "서비스 내용":
-            rules.append(("fallback", F.when(~is_noise(F.col("_whole")), F.col("_whole"))))
+            rules.append(("fallback", bind(flow_text(F.col("_root")), lambda whole: F.when(~is_noise(whole), whole))))
         rules.append(("empty", F.lit("")))
-        picked = [bind(v, _found(name)) for name, v in rules]
-        found["_f_" + f] = F.coalesce(*picked)
-    df = df.withColumns(found).drop("_page", "_root", "_strong", "_pairs", "_labelled", "_whole")
+        found[name] = F.coalesce(F.col(f"`{name}`"), *[bind(v, _found(rule)) for rule, v in rules])
+    df = df.withColumns(found).drop("_page", "_root", "_strong", "_pairs", "_labelled")
     return df.withColumns(
         {f: F.col(f"_f_{f}.value") for f in C.FIELDS} | {f"src_{f}": F.col(f"_f_{f}.src") for f in C.FIELDS}
     ).drop(*found)
