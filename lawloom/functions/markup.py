@@ -83,7 +83,7 @@ def inside(piece: Column, name: str) -> Column:
 
 def flow_text(fragment: Column) -> Column:
     """Text with a blank for every tag."""
-    return bind(fragment, lambda t: collapse(unescape(F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, r"<[^>]*>", " ")).otherwise(t))))
+    return collapse(unescape(F.regexp_replace(fragment, r"<[^>]*>", " ")))
 
 
 def plain_text(fragment: Column) -> Column:
@@ -155,9 +155,9 @@ def steps(parts: Column, names: str) -> Column:
     """+1 for a part that begins with an opening tag of `names`, -1 for a closing one, else 0. Names have at most 14 letters."""
     return F.transform(
         parts,
-        lambda p: bind(F.substring(p, 1, 17), lambda start: F.when(start.rlike(rf"(?i)^<(?:{names})\b"), F.lit(1))
-        .when(start.rlike(rf"(?i)^</(?:{names})\b"), F.lit(-1))
-        .otherwise(F.lit(0))),
+        lambda p: F.when(F.substring(p, 1, 17).rlike(rf"(?i)^<(?:{names})\b"), F.lit(1))
+        .when(F.substring(p, 1, 17).rlike(rf"(?i)^</(?:{names})\b"), F.lit(-1))
+        .otherwise(F.lit(0)),
     )
 
 

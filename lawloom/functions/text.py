@@ -212,19 +212,14 @@ def decode_entities(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """The six entities that `decode_entities` leaves, each once: '&amp;lt;' becomes '&lt;'. Most texts have none and are only searched for '&'."""
-    chars = F.create_map(*[F.lit(x) for code, entity in _KEPT.items() for x in (entity[1:-1], chr(code))])
+    """The six entities that `decode_entities` leaves; '&amp;' last. Most texts have none and are only searched for '&'."""
 
-    def of_part(part):
-        name = F.substring_index(F.substring(part, 1, 5), ";", 1)
-        return bind(F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", F.try_element_at(chars, name)), lambda char: F.when(
-            char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, F.substr(part, F.length(name) + 2))))
+    def replaced(text):
+        for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]:
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
 
-    def unescaped(text):
-        parts = F.transform(F.split(text, "&"), lambda p, i: F.when(i == 0, p).otherwise(of_part(p)))
-        return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
-
-    return bind(c, unescaped)
+    return bind(c, lambda t: F.when(F.contains(t, F.lit("&")), replaced(t)).otherwise(t))
 
 
 def null_word_to_blank(c: Column) -> Column:

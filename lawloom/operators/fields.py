@@ -106,21 +106,20 @@ def strong_sections(root: Column, title: Column) -> Column:
         ).otherwise(F.concat(F.lit(MARK_B), depth, F.lit(FIELD), t)))
 
     def section(run):
-        return bind(F.split(run, MARK_B), lambda parts: bind(F.split(F.get(parts, F.lit(0)), FIELD), lambda head: of_head(head, parts)))
+        def read(parts):
+            after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.struct(
+                F.get(F.split(p, FIELD), F.lit(0)).cast("int").alias("depth"), F.get(F.split(p, FIELD), F.lit(1)).alias("text")))
+            return F.struct(F.split(F.get(parts, F.lit(0)), FIELD).alias("head"), after.alias("after"))
 
-    def of_head(head, parts):
-        own = F.get(head, F.lit(0)).cast("int")
-        after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: bind(
-            F.split(p, FIELD), lambda v: F.struct(F.get(v, F.lit(0)).cast("int").alias("depth"), F.get(v, F.lit(1)).alias("text"))))
-
-        def body_of(after, own):
-            ended = F.array_position(F.transform(after, lambda p: p["depth"] < own), F.lit(True)).cast("int")
-            siblings = bind(ended, lambda e: F.slice(after, F.lit(1), F.when(e > 0, e - 1).otherwise(F.size(after))))
-            siblings = F.filter(siblings, lambda p: p["depth"] == own)
-            return F.array_join(F.concat(F.array(F.get(head, F.lit(2))), F.transform(siblings, lambda p: p["text"])), "")
+        return bind(F.split(run, MARK_B), lambda parts: bind(read(parts), lambda s: of_head(s["head"], s["after"])))
 
-        text = bind(own, lambda o: bind(after, lambda a: body_of(a, o)))
-        return F.struct(F.get(head, F.lit(1)).alias("header"), collapse(text).alias("body"))
+    def of_head(head, after):
+        own = F.get(head, F.lit(0)).cast("int")
+        ended = F.array_position(F.transform(after, lambda p: p["depth"] < own), F.lit(True)).cast("int")
+        siblings = F.slice(after, F.lit(1), F.when(ended > 0, ended - 1).otherwise(F.size(after)))
+        siblings = F.filter(siblings, lambda p: p["depth"] == own)
+        texts = F.concat(F.array(F.get(head, F.lit(2))), F.transform(siblings, lambda p: p["text"]))
+        return F.struct(F.get(head, F.lit(1)).alias("header"), collapse(F.array_join(texts, "")).alias("body"))
 
     # The text up to the first table or block is a part too.
     parts = F.split(F.regexp_replace(root, r"(?i)</?(?:table|div)(?=[\s>/])", f"{CUT}$0"), CUT)
