@@ -1,5 +1,10 @@
 """Reading case tables, law-name lists, documents and file listings."""
 
+import itertools
+import os
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,10 +63,103 @@ def metadata_path() -> Column:
 PDF_GLOB, DOCX_GLOB, DOC_GLOB = "*.[pP][dD][fF]", "*.docx", "*.doc"
 
 
+#: Tasks for each core that files are dealt out to, bytes of text handed on at a time, and paths.
+FILE_TASKS, TEXT_BATCH, PATH_BATCH = 8, 4 << 20, 10_000
+
+
 def read_law_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """(law_name, text): one text file per law, the name from the file name."""
-    files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    return files.select(file_stem(metadata_path()).alias("law_name"), F.col("value").alias("text"))
+    """(law_name, text): one text file per law, the name from the file name; empty files have no row.
+
+    Laws may be millions of files. Those of a folder that tasks can open are listed and read by tasks, so that the driver holds none of
+    their names. In other stores (and for compressed files, or a pattern of more than * and ?) Spark's own reader lists them, in the driver.
+    """
+    local = _local_folder(spark, folder, glob)
+    if local is None:
+        files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+        return files.select(file_stem(metadata_path()).alias("law_name"), F.col("value").alias("text"))
+    parts = FILE_TASKS * spark.sparkContext.defaultParallelism
+    top = spark.range(0, 1, 1, 1).select(F.encode(F.lit(local), "UTF-8").alias("path"), F.lit(1).alias("levels"))
+    entries = top.mapInArrow(_listed(glob), "path binary, levels int").repartition(parts)
+    paths = entries.mapInArrow(_listed(glob), "path binary, levels int").select("path").repartition(parts)
+    files = paths.mapInArrow(_read_whole(), "path binary, value binary")
+    return files.select(file_stem(F.col("path").cast("string")).alias("law_name"), F.col("value").cast("string").alias("text"))
+
+
+def _local_folder(spark: SparkSession, folder: str, glob: str) -> str | None:
+    """The folder's plain path, if tasks can list it and read its files as Spark's reader does."""
+    suffix = glob.rsplit(".", 1)[-1] if "." in glob else ""
+    if not suffix.isalnum() or set(glob) & set("[]{}\\") or set(folder) & set("[]{}*?\\"):
+        return None
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    if hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop.fs.Path(f"a.{suffix}")) is not None:
+        return None
+    path = hadoop.fs.Path(folder)
+    system = path.getFileSystem(conf)
+    if system.getScheme() != "file" or not system.exists(path) or not system.getFileStatus(path).isDirectory():
+        return None
+    return system.makeQualified(path).toUri().getPath()
+
+
+def _listed(glob: str):
+    """Of paths and levels: files of 0 levels as they are; the files below folders of -1 levels, and what lies one level below those of 1.
+
+    Names are bytes, as they are on disk. Names that Spark's readers take as hidden are passed over.
+    """
+    wanted = re.compile("".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in glob), re.DOTALL)
+
+    def hidden(name, is_file):
+        marked = name.startswith(".") or name.startswith("_") and "=" not in name
+        kept = not is_file and name.startswith(("_common_metadata", "_metadata"))
+        return (marked or name.endswith("._COPYING_")) and not kept
+
+    def below(path, levels):
+        if levels == 0:
+            yield path, 0
+            return
+        folders = [path]
+        while folders:
+            with os.scandir(folders.pop()) as entries:
+                for entry in entries:
+                    name, is_file = entry.name.decode("utf-8", "surrogateescape"), not entry.is_dir()
+                    if hidden(name, is_file):
+                        continue
+                    if is_file and wanted.fullmatch(name):
+                        yield entry.path, 0
+                    elif not is_file and levels == 1:
+                        yield entry.path, -1
+                    elif not is_file:
+                        folders.append(entry.path)
+
+    def listed(batches):
+        found = (f for b in batches for path, levels in zip(b["path"].to_pylist(), b["levels"].to_pylist()) for f in below(path, levels))
+        while some := list(itertools.islice(found, PATH_BATCH)):
+            paths, levels = zip(*some)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.binary()), pa.array(levels, pa.int32())], ["path", "levels"])
+
+    return listed
+
+
+def _read_whole():
+    """Of paths: (path, value), bytes of the files that are not empty. A function made here is sent to tasks as it is, without this module."""
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], ["path", "value"])
+
+    def read(batches):
+        rows, size = [], 0
+        for path in (p for b in batches for p in b["path"].to_pylist()):
+            with open(path, "rb") as file:
+                value = file.read()
+            if value:
+                rows.append((path, value))
+                size += len(path) + len(value)
+            if size >= TEXT_BATCH:
+                yield packed(rows)
+                rows, size = [], 0
+        if rows:
+            yield packed(rows)
+
+    return read
 
 
 def page_lines(pages: DataFrame, keys: list[str], page: str = "page_no", text: str = "text") -> DataFrame:
