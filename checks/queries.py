@@ -245,10 +245,13 @@ def best_container_loose(spark, sf):
 
 
 def best_table(spark, sf):
-    page = markup.prepare(F.col("html"))
-    by_score = markup.flow_text(markup.inside(tables.section_table(page, anchor=None), "table"))
-    by_header = markup.flow_text(markup.inside(tables.list_table(page), "table"))
-    return I.financial_pages(spark, sf).select("doc_id", by_score.alias("section_text"), by_header.alias("list_text"))
+    pages = I.financial_pages(spark, sf).select("doc_id", markup.prepare(F.col("html")).alias("page"))
+    by_score, by_header = tables.section_table(F.col("page"), anchor=None), tables.list_table(F.col("page"))
+    best = pages.select("doc_id", by_score.alias("by_score"), by_header.alias("by_header"))
+    section_text, list_text = (markup.flow_text(markup.inside(F.col(c), "table")) for c in ("by_score", "by_header"))
+    texts = best.withColumn("section_text", section_text)
+    same = F.col("by_header").eqNullSafe(F.col("by_score"))
+    return texts.select("doc_id", "section_text", F.when(same, F.col("section_text")).otherwise(list_text).alias("list_text"))
 
 
 def financial_fields(spark, sf):

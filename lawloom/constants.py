@@ -19,7 +19,7 @@ NOT_LETTER = "[{}\\u0100-\\u3130\\u3164-\\uabff\\ud7a4-\\x{{10ffff}}]".format(
     "".join(f"\\x{i:02x}" for i in range(256) if not (chr(i).isascii() and chr(i).isalnum()))
 )
 NOT_WS = WS.replace("[", "[^", 1)
-LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
+LINE_BREAK = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029](?:(?<=\r)\n)?+"
 
 # --- fixed values: common case schema ------------------------------------
 COMMON_COLUMNS = [

@@ -15,6 +15,8 @@ TAG = r"<(/?)([A-Za-z][A-Za-z0-9]*)([^>]*)>([^<]*)"
 BLOCK_EDGE = (
     r"(?i)</?(?:p|div|table|thead|tbody|tr|td|th|ul|ol|li|dl|dt|dd|section|article|h[1-6]|form|body|html)\b"
 )
+# Runs of \s that are not already one plain blank.
+BLANKS = r"\s(?:(?<=[^ ])\s*+|\s++)"
 # Line separators are white space in page text, so they are free to serve as group marks.
 MARK_A, MARK_B, FIELD = "\x1c", "\x1d", "\x0b"
 
@@ -22,7 +24,7 @@ MARK_A, MARK_B, FIELD = "\x1c", "\x1d", "\x0b"
 def prepare(html: Column) -> Column:
     """Scripts, styles, comments and doctype out; entities decoded but for those of markup itself; control characters to blanks."""
     body = bind(F.regexp_replace(F.coalesce(html, F.lit("")), NOT_CONTENT, ""), decode_entities)
-    return F.regexp_replace(body, r"[\x0b\x0c\x1c-\x1f\x85]", " ")
+    return F.regexp_replace(body, r"[\x0b\x0c\x1c\x1d\x1e\x1f\x85]", " ")
 
 
 def tag_tokens(html: Column) -> Column:
@@ -93,7 +95,7 @@ def plain_text(fragment: Column) -> Column:
 
 def line_text(fragment: Column) -> Column:
     """Text as a reader sees it: block edges and <br> break the line."""
-    broken = F.regexp_replace(fragment, r"\s+", " ")
+    broken = F.regexp_replace(fragment, BLANKS, " ")
     broken = F.regexp_replace(broken, r"(?i)</?(?:br|p|div|tr|li|ul|ol|h[1-6])\b[^>]*>", "\n")
     return unescape(F.regexp_replace(broken, r"<[^>]*>", ""))
 

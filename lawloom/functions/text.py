@@ -104,8 +104,13 @@ def compare_key(c: Column) -> Column:
 
 
 def drop_law_tags(c: Column) -> Column:
-    no_tags = F.regexp_replace(c, "(?i)</?LAW[^>]*>", "")
-    return F.regexp_replace(no_tags, rf"(?i)<{C.WS}*LAW[_A-Za-z0-9\-]*{C.WS}*>", "")
+    """Most texts have no tag and are only searched for '<'."""
+
+    def dropped(text):
+        no_tags = F.regexp_replace(text, "(?i)</?LAW[^>]*>", "")
+        return F.regexp_replace(no_tags, rf"(?i)<{C.WS}*LAW[_A-Za-z0-9\-]*{C.WS}*>", "")
+
+    return bind(c, lambda t: F.when(F.contains(t, F.lit("<")), dropped(t)).otherwise(t))
 
 
 def clean_cell(c: Column) -> Column:
@@ -125,13 +130,14 @@ def keep_law_lines(c: Column, keep_decimals: bool = False) -> Column:
     """
     bullets = C.LEADING_BULLETS_KEEP_DECIMALS if keep_decimals else C.LEADING_BULLETS
     t = F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("\r"), F.lit("\n")), F.lit("\u00a0"), F.lit(" "))
-    t = F.regexp_replace(strip(t), "\n{3,}", "\n\n")
+    t = bind(strip(t), lambda s: F.when(F.contains(s, F.lit("\n\n\n")), F.regexp_replace(s, "\n{3,}", "\n\n")).otherwise(s))
     t = F.array_join(F.transform(_split_lines(t), strip), "\n")
-    t = drop_law_tags(F.regexp_replace(t, "[ \t]{2,}", " "))
+    wide = lambda s: F.contains(s, F.lit("  ")) | F.contains(s, F.lit("\t"))
+    t = drop_law_tags(bind(t, lambda s: F.when(wide(s), F.regexp_replace(s, "[ \t]{2,}", " ")).otherwise(s)))
     return strip(
         F.array_join(
             F.transform(
-                _split_lines(t),
+                F.split(t, "\n"),
                 lambda l: F.when(l.rlike(rf"^{C.WS}*제{C.WS}*\p{{Nd}}+{C.WS}*조"), strip(l)).otherwise(
                     strip(F.regexp_replace(l, rf"^{bullets}++", ""))
                 ),
@@ -208,7 +214,7 @@ def decode_entities(c: Column) -> Column:
         return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(fixed(p))), "")
 
     odd = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)#?[A-Za-z0-9]+;"
-    return F.when(c.rlike(odd), bind(F.split(c, "&"), of_parts)).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")) & c.rlike(odd), bind(F.split(c, "&"), of_parts)).otherwise(c)
 
 
 def unescape(c: Column) -> Column:

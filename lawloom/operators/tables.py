@@ -14,7 +14,7 @@ ANY_TAG = r"<[A-Za-z][^>]*>"
 
 
 def _score(text: Column, words: list[str]) -> Column:
-    return sum((F.contains(text, F.lit(w)).cast("int") for w in words), F.lit(0))
+    return bind(text, lambda t: sum((F.contains(t, F.lit(w)).cast("int") for w in words), F.lit(0)))
 
 
 def _shown(fragment: Column) -> Column:
@@ -29,6 +29,27 @@ def _body_rows(table: Column) -> Column:
     return pieces(until(inside(F.get(pieces(table, "tbody"), F.lit(0)), "tbody"), r"(?i)</table\s*>"), "tr")
 
 
+def _first_row(table: Column) -> Column:
+    """First of `_rows`, '' without one: what stands before the next row or the table's end is read, no more."""
+    first = F.regexp_extract(after_open(table), rf"(?is)(</table\s*>|{opens('tr')}.*?(?={opens('tr')}|</table\s*>|\z))", 1)
+    return bind(first, lambda r: F.when(F.startswith(r, F.lit("</")), F.lit("")).otherwise(r))
+
+
+#: Tags that body rows are counted by. The one of a table body is read to its end, as `inside` does, when there is one before the next body.
+BODY_TAG = r"(?i)<(?:tbody(?=[\s>/])(?:(?:(?!<tbody[\s>/])[^>])*+>)?+|tr(?=[\s>/])|/t(?:body|able)\s*>)"
+
+
+def _has_body_rows(table: Column, n: int) -> Column:
+    """size(_body_rows(table)) >= n, from one pass over the tags."""
+
+    def counted(tags):
+        kinds = F.transform(tags, lambda t: F.lower(F.substring(t, 1, 3)))
+        from_body = F.transform(kinds, lambda k: F.when(k == "<tb", "b").when(k == "<tr", "r").otherwise("e"))
+        return F.regexp_extract(F.array_join(from_body, ""), "b(r*)", 1)
+
+    return F.length(counted(F.regexp_extract_all(table, F.lit(BODY_TAG), F.lit(0)))) >= n
+
+
 def _first_best(tables: Column, score) -> Column:
     """Table of the highest score; the first one wins among equals."""
     return F.array_max(
@@ -41,13 +62,10 @@ def list_table(page: Column, words: list[str] = C.LIST_TABLE_WORDS) -> Column:
 
     def score(t):
         head = F.regexp_extract(t, r"(?is)<thead(?=[\s>])[^>]*>(.*?)</thead\s*>", 1)
-        head_cells = cells_of(head, "th")
-        first_row = F.get(_rows(t), F.lit(0))
-        shown = F.when(F.size(head_cells) > 0, head_cells).otherwise(
-            F.transform(cells(F.coalesce(first_row, F.lit(""))), lambda c: c.raw)
-        )
+        first_cells = F.transform(cells(_first_row(t)), lambda c: c.raw)
+        shown = bind(cells_of(head, "th"), lambda ths: F.when(F.size(ths) > 0, ths).otherwise(first_cells))
         text = F.array_join(F.transform(shown, _shown), " ")
-        return _score(text, words) + F.when(F.size(_body_rows(t)) >= 5, 1).otherwise(0)
+        return _score(text, words) + F.when(_has_body_rows(t, 5), 1).otherwise(0)
 
     return _first_best(pieces(page, "table"), score)
 
@@ -55,8 +73,9 @@ def list_table(page: Column, words: list[str] = C.LIST_TABLE_WORDS) -> Column:
 def section_table(page: Column, anchor: str | None = C.SECTION_ANCHOR, words: list[str] = C.SECTION_TABLE_WORDS) -> Column:
     """First table after the anchor text; else the longest-worded table of more than 30 characters."""
     after = F.regexp_extract(page, rf"(?s){anchor}(.*)\z", 1) if anchor else F.lit("")
-    long_tables = F.filter(pieces(page, "table"), lambda t: F.length(strip(line_text(inside(t, "table")))) > 30)
-    best = _first_best(long_tables, lambda t: _score(line_text(inside(t, "table")), words))
+    read = F.transform(pieces(page, "table"), lambda t: F.struct(t.alias("table"), line_text(inside(t, "table")).alias("text")))
+    long_tables = F.filter(read, lambda t: F.length(strip(t.text)) > 30)
+    best = _first_best(long_tables, lambda t: _score(t.text, words)).table
     return F.coalesce(F.get(pieces(after, "table"), F.lit(0)), best)
 
 
