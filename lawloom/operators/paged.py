@@ -90,6 +90,12 @@ def levels_for(last_block: int | None) -> int:
     return max(1, -(-(last_block or 0).bit_length() // BLOCK_BITS))
 
 
+def _effects(blocks: DataFrame, numbers: Column, gap: int) -> DataFrame:
+    """(law_name, blk, effect) of the blocks that have headings."""
+    numbered = blocks.select("law_name", "blk", numbers.alias("numbers")).where(F.size("numbers") > 0)
+    return numbered.select("law_name", "blk", block_effect(F.col("numbers"), gap).alias("effect"))
+
+
 def guard_entries(blocks: DataFrame, rules: S.Rules, levels: int = 5) -> DataFrame:
     """(law_name, blk, entry): the last accepted heading number before every block that has headings. blocks: (law_name, blk, _lines).
 
@@ -97,17 +103,19 @@ def guard_entries(blocks: DataFrame, rules: S.Rules, levels: int = 5) -> DataFra
     `levels` levels; then the entries are handed down level by level. Only heading numbers take part, an effect names each number at most
     once, and no row holds more than 64 effects as long as the levels reach (see levels_for).
     """
-    gap = rules.gap_limit
-    numbers = blocks.select("law_name", "blk", _numbers(F.col("_lines"), rules).alias("numbers")).where(F.size("numbers") > 0)
-    part = numbers.select("law_name", "blk", block_effect(F.col("numbers"), gap).alias("effect"))
-    groups = []
+    effects = _effects(blocks, _numbers(F.col("_lines"), rules), rules.gap_limit)
+    return _handed_on(effects.withColumn("pos", F.col("blk")), rules.gap_limit, levels)
+
+
+def _handed_on(effects: DataFrame, gap: int, levels: int) -> DataFrame:
+    """guard_entries of (law_name, pos, blk, effect); `pos` orders the blocks of a law, and the levels are as many as its numbers need."""
+    part, held, groups = effects, F.struct("pos", "blk", "effect"), []
     for _ in range(levels):
-        grp = F.shiftright("blk", BLOCK_BITS).alias("grp")
-        own = part.groupBy("law_name", grp).agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("parts"))
+        own = part.groupBy("law_name", F.shiftright("pos", BLOCK_BITS).alias("grp")).agg(F.array_sort(F.collect_list(held)).alias("parts"))
         groups.append(own)
         composed = F.aggregate("parts", F.array().cast(EFFECT), lambda acc, b: _after(acc, b["effect"], gap))
-        part = own.select("law_name", F.col("grp").alias("blk"), composed.alias("effect"))
-    laws = part.groupBy("law_name").agg(F.array_sort(F.collect_list(F.struct("blk", "effect"))).alias("parts"))
+        part = own.select("law_name", F.col("grp").alias("pos"), F.col("grp").alias("blk"), composed.alias("effect"))
+    laws = part.groupBy("law_name").agg(F.array_sort(F.collect_list(held)).alias("parts"))
     entries = laws.select("law_name", F.inline(_entered(F.col("parts"), F.lit(None), "blk", gap)))
     for own in reversed(groups):
         entered = own.join(entries.withColumnRenamed("blk", "grp"), ["law_name", "grp"])
@@ -115,8 +123,21 @@ def guard_entries(blocks: DataFrame, rules: S.Rules, levels: int = 5) -> DataFra
     return entries
 
 
+def _stored_entries(blocks: DataFrame, rules: S.Rules) -> DataFrame:
+    """guard_entries over blocks (law_name, blk, _outline) whose numbers may lie far apart: as many levels as the most blocks of a law need.
+
+    The effects are worked out once and kept in files, numbered in their law's order.
+    """
+    place = F.row_number().over(Window.partitionBy("law_name").orderBy("blk")) - 1
+    numbers = S.candidate_numbers(split_before(F.col("_outline"), S.CANDIDATE))
+    effects = _effects(blocks, numbers, rules.gap_limit).withColumn("pos", place.cast("bigint"))
+    effects, seen = stored(effects, "law-effects", last=F.max("pos"))
+    last = seen.get("last") or 0
+    return _handed_on(effects, rules.gap_limit, levels_for(last) if last >= 2**BLOCK_BITS else 0)
+
+
 def _summaries(tagged: DataFrame) -> DataFrame:
-    """What every block hands on, and what it receives from the blocks before it."""
+    """What every block hands on, and what it receives from the blocks before it; `entry` is passed through."""
 
     def last_piece(mark):
         return F.element_at(split_before(F.col("_tagged"), mark), -1)
@@ -144,12 +165,14 @@ def _summaries(tagged: DataFrame) -> DataFrame:
         ).alias("clause"),
         F.when(bound > 0, F.struct("blk", bound.alias("no"))).alias("bound"),
         F.when((bound > 0) | (leaf > 0), F.struct("blk", bound.alias("no"), leaf.alias("leaf"))).alias("leaf"),
+        F.struct(bound.alias("no"), leaf.alias("leaf")).alias("end"),
+        "entry",
     )
     whole = Window.partitionBy("law_name")
     before = whole.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     carried = {f"in_{c}": F.last(c, ignorenulls=True).over(before) for c in ["chapter", "article", "clause", "bound", "leaf"]}
     return ends.withColumns(carried | {"first_blk": F.min("blk").over(whole), "last_blk": F.max("blk").over(whole)}).select(
-        "law_name", "blk", *carried, "first_blk", "last_blk"
+        "law_name", "blk", *carried, "first_blk", "last_blk", "end", "entry"
     )
 
 
@@ -165,7 +188,9 @@ def segment_pages(
     """Law rows of (law_name, page_no, text); `page` is a whole number, unique within its law.
 
     `whole_rows` takes every input row as one line (paragraphs). `ord` is a struct that sorts the
-    rows of a law into reading order. Pages are read and cut into lines once; blocks are kept in files, before and after headings are known. Rows without a law name are one law of their own. A page without a number is a block of
+    rows of a law into reading order. Pages are read and cut into marked lines once; blocks are kept in files, and an outline
+    without texts beside them, from which headings and the state before each block are found. Blocks then meet their state, are cut once, and
+    their rows are kept in files. Only texts at a block's edge are brought together. Rows without a law name are one law of their own. A page without a number is a block of
     its own after all others of its law, in the order of a hash of its text. A text that runs over
     many blocks is one output value and is therefore gathered in one row.
     """
@@ -177,21 +202,24 @@ def segment_pages(
         F.coalesce(F.floor(F.col(page) / pages_per_block), unplaced).alias("blk"),
         _kept(_row_lines(F.col(text), whole_rows), law, rules).alias("_lines"),
     )
-    rows = rows.withColumn("law_name", F.coalesce(F.concat(F.lit("="), "law_name"), F.lit("")))
-    blocks, seen = stored(_packed(rows, "_lines"), "law-blocks", last=F.max("blk"))
-    entry = None
+    packed = _packed(rows, "_lines").withColumn("law_name", F.coalesce(F.concat(F.lit("="), "law_name"), F.lit("")))
+    marked = packed.select("law_name", "blk", S.marked_lines(F.col("_lines"), rules).alias("_marked"))
+    joined = marked.select("law_name", "blk", S.joined_lines(F.col("_marked")).alias("_joined"), S.joined_outline(F.col("_marked")).alias("_outline"))
+    blocks, _ = stored(joined, "law-blocks")
+    outlines = blocks.select("law_name", "blk", "_outline")
     if rules.gap_limit is not None:
-        blocks = blocks.join(guard_entries(blocks, rules, levels_for(seen.get("last"))), ["law_name", "blk"], "left")
-        entry = F.col("entry")
-    tagged, _ = stored(S.with_tagged_text(blocks, "_lines", rules, entry).select("law_name", "blk", "_tagged"), "tagged-blocks")
-    placed = tagged.join(_summaries(tagged), ["law_name", "blk"])
+        outlines = outlines.join(_stored_entries(outlines, rules), ["law_name", "blk"], "left")
+    else:
+        outlines = outlines.withColumn("entry", F.lit(None).cast("bigint"))
+    states, _ = stored(_summaries(S.with_resolved_text(outlines.withColumnRenamed("_outline", "_joined"), rules, F.col("entry"))), "block-states")
+    placed = S.with_resolved_text(blocks.drop("_outline").join(states, ["law_name", "blk"]), rules, F.col("entry"))
     if not rules.keep_preamble:
         seen = F.col("in_article").isNotNull()
         placed = placed.withColumn("_tagged", S._drop_text_before_first_article(F.col("_tagged"), seen))
-    in_one_block = F.col("first_blk") == F.col("last_blk")
     fields = ["chapter", "article_number", "article_title", "clause_number"]
-    whole = _cut(placed.where(in_one_block), fields).select("law_name", "ord", *fields, "text")
-    parts = _cut(placed.where(~in_one_block), fields).groupBy("law_name", "ord", *fields)
+    cut, _ = stored(_cut(placed, fields), "law-rows")
+    whole = cut.where("not at_edge").select("law_name", "ord", *fields, "text")
+    parts = cut.where("at_edge").groupBy("law_name", "ord", *fields)
     rejoined = parts.agg(F.array_sort(F.collect_list(F.struct("blk", "text"))).alias("_t")).select(
         "law_name", "ord", *fields, F.array_join(F.transform("_t", lambda t: t.text), " ").alias("text")
     )
@@ -200,14 +228,17 @@ def segment_pages(
 
 
 def _cut(placed: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of every block; `ord` is the place in the law of the text that a row belongs to."""
+    """Rows of every block; `ord` is the place in the law of the text that a row belongs to.
+
+    Only what goes on from an earlier block, and the last text that the block opens, can belong to a text of several blocks (`at_edge`).
+    """
     state = {
         "chapter": F.col("in_chapter"),
         "article_number": F.col("in_article.number"),
         "article_title": F.col("in_article.title"),
         "mark": F.col("in_clause.mark"),
     }
-    keep = ["law_name", "blk", "in_bound", "in_leaf", "first_blk"]
+    keep = ["law_name", "blk", "in_bound", "in_leaf", "first_blk", "last_blk", "end"]
     cut = exploded(S.with_row_array(placed, state), keep, "_rows", "_pos", "_row").select(*keep, "_row.*")
     zero, first = F.lit(0), F.col("first_blk").alias("blk")
     own_bound = F.struct("blk", F.col("bound").alias("no"))
@@ -217,4 +248,7 @@ def _cut(placed: DataFrame, fields: list[str]) -> DataFrame:
     bound = F.when(F.col("bound") == 0, going_on).otherwise(own_bound)
     leaf = F.when((F.col("bound") == 0) & (F.col("leaf") == 0), running).otherwise(own_leaf)
     order = F.struct(bound.alias("bound"), F.col("clause_number").isNull().alias("is_head"), leaf.alias("leaf"))
-    return cut.select("law_name", order.alias("ord"), *fields, "text", "blk")
+    goes_on = (F.col("bound") == 0) & (F.col("leaf") == 0)
+    ends = (F.col("bound") == F.col("end.no")) & (F.col("leaf") == F.col("end.leaf"))
+    at_edge = (F.col("first_blk") != F.col("last_blk")) & (goes_on | ends)
+    return cut.select("law_name", order.alias("ord"), *fields, "text", "blk", at_edge.alias("at_edge"))

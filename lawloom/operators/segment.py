@@ -155,17 +155,43 @@ def _header_field(piece: Column, k: int) -> Column:
     return F.substring_index(F.substring_index(piece, FIELD, k), FIELD, -1)
 
 
+def marked_lines(lines: Column, rules: Rules) -> Column:
+    """Every line with the mark of what it opens; headings are candidates."""
+    return F.transform(lines, lambda l: _tag_line(l, rules))
+
+
+def joined_lines(marked: Column) -> Column:
+    return F.concat(F.lit(FIELD), F.array_join(marked, ""))
+
+
+def joined_outline(marked: Column) -> Column:
+    """joined_lines without texts: chapters, headings and clause marks only."""
+
+    def opened(m):
+        clause = F.concat(F.substring_index(m, FIELD, 1), F.lit(FIELD))
+        return F.when(F.startswith(m, F.lit(PLAIN)), F.lit("")).when(F.startswith(m, F.lit(CLAUSE)), clause).otherwise(m)
+
+    return joined_lines(F.transform(marked, opened))
+
+
+def candidate_numbers(parts: Column) -> Column:
+    """Numbers of the heading candidates; `parts` is a joined text split before them."""
+    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), heading_number)
+
+
 def with_tagged_text(df: DataFrame, lines: str, rules: Rules, entry: Column | None = None) -> DataFrame:
     """Adds `_tagged` (one string with marks) and `_last` (last accepted number)."""
+    return with_resolved_text(df.withColumn("_joined", joined_lines(marked_lines(F.col(lines), rules))), rules, entry)
+
+
+def with_resolved_text(df: DataFrame, rules: Rules, entry: Column | None = None) -> DataFrame:
+    """with_tagged_text of lines that are marked and joined already, in `_joined`."""
     start = entry if entry is not None else F.lit(None)
-    df = df.withColumn(
-        "_joined", F.concat(F.lit(FIELD), F.array_join(F.transform(F.col(lines), lambda l: _tag_line(l, rules)), ""))
-    ).withColumn("_parts", split_before(F.col("_joined"), CANDIDATE))
+    df = df.withColumn("_parts", split_before(F.col("_joined"), CANDIDATE))
     if rules.gap_limit is None:
         fold = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit("").alias("flags"))
     else:
-        numbers = F.transform(F.slice("_parts", 2, F.size("_parts")), heading_number)
-        fold = accepted_flags(numbers, start, rules.gap_limit)
+        fold = accepted_flags(candidate_numbers(F.col("_parts")), start, rules.gap_limit)
     df = df.withColumn("_fold", fold).withColumn("_flags", F.split("_fold.flags", ""))
 
     def resolve(part, ok):

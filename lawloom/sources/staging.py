@@ -22,5 +22,5 @@ def stored(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dic
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     seen = Observation(name)
     watched = df.observe(seen, *[c.alias(m) for m, c in measures.items()]) if measures else df
-    watched.write.parquet(path)
+    watched.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if measures else {}
