@@ -1,6 +1,7 @@
 """Laws over many blocks move their texts few times: one join, and only texts at a block's edge are brought together."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -78,3 +79,18 @@ def test_pages_of_laws_with_several_documents(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     last = got.groupBy("law_name").agg(F.max("page_no").alias("last"))
     assert exchanges(spark, paged._packed(got.join(last, "law_name").select("law_name", F.col("page_no").alias("blk"), "page_no", F.array("text").alias("t")), "t")) == 2
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(staging.CLEAN_UP, None)
+    rows, _ = staging.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and rows.count() == 7 and spark.conf.get(staging.CLEAN_UP, None) == setting
